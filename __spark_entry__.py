@@ -140,25 +140,21 @@ def null_counts(spark, sf_dir):
 
 
 def _kept(spark, sf_dir):
+    """Rows with both critical values, written once as in a cleaning run."""
     kept = drop_critical(spark, sf_dir)
-    return kept.drop(*[f"{metric}_invalid" for metric in config.METRICS])
+    kept = kept.drop(*[f"{metric}_invalid" for metric in config.METRICS])
+    return Workspace(spark).stage(kept, "kept")
 
 
 def median_fill(spark, sf_dir):
     kept = _kept(spark, sf_dir)
-    workspace = Workspace(spark)
-    medians = workspace.stage(cleaning.file_medians(kept), "medians")
+    medians = Workspace(spark).stage(cleaning.file_medians(kept), "medians")
     return cleaning.fill_medians(kept, medians)
 
 
 def median_by_brackets(spark, sf_dir):
     """The medians as they are found in files too large for one buffer."""
-    medians = cleaning.exact_quantiles(
-        _kept(spark, sf_dir), [FILE], config.MEDIAN_FILLED, [0.5], buffer_rows=0
-    )
-    return medians.select(
-        FILE, *[F.col(name)[0].alias(f"{name}_median") for name in config.MEDIAN_FILLED]
-    )
+    return cleaning.file_medians(_kept(spark, sf_dir), buffer_rows=0)
 
 
 def parse_ts_strict(spark, sf_dir):
@@ -232,27 +228,27 @@ def _daily(spark, sf_dir):
 
 
 def monthly_mean(spark, sf_dir):
-    return _rounded(_monthly(spark, sf_dir), 4, "active_power")
+    return _monthly(spark, sf_dir)
 
 
 def monthly_mean_gaps(spark, sf_dir):
-    return _rounded(timeseries.monthly_mean(sparse_scada(spark, sf_dir)), 4, "active_power")
+    return timeseries.monthly_mean(sparse_scada(spark, sf_dir))
 
 
 def daily_total(spark, sf_dir):
-    return _rounded(_daily(spark, sf_dir), 4, "active_power")
+    return _daily(spark, sf_dir)
 
 
 def daily_total_gaps(spark, sf_dir):
-    return _rounded(timeseries.daily_total(sparse_scada(spark, sf_dir)), 4, "active_power")
+    return timeseries.daily_total(sparse_scada(spark, sf_dir))
 
 
 def hourly_mean(spark, sf_dir):
-    return _rounded(timeseries.hourly_mean(scada(spark, sf_dir)), 4, "active_power")
+    return timeseries.hourly_mean(scada(spark, sf_dir))
 
 
 def mean_daily_yield(spark, sf_dir):
-    return _rounded(timeseries.mean_daily_yield(_daily(spark, sf_dir)), 4, "mean_daily_total")
+    return timeseries.mean_daily_yield(_daily(spark, sf_dir))
 
 
 def wind_bins(spark, sf_dir):
@@ -276,7 +272,7 @@ def operational_hours(spark, sf_dir):
 
 
 def peak_month(spark, sf_dir):
-    return _rounded(timeseries.peak_month(_monthly(spark, sf_dir)), 4, "active_power")
+    return timeseries.peak_month(_monthly(spark, sf_dir))
 
 
 def headline_stats(spark, sf_dir):
@@ -309,7 +305,7 @@ def trend_sheet(spark, sf_dir):
 
 
 def chart_power_trend(spark, sf_dir):
-    return _rounded(sheets.power_trend_chart(_daily(spark, sf_dir)), 4, "active_power")
+    return sheets.power_trend_chart(_daily(spark, sf_dir))
 
 
 def chart_scatter(spark, sf_dir):
@@ -325,7 +321,7 @@ def chart_theoretical_curve(spark, sf_dir):
 
 
 def chart_monthly_bar(spark, sf_dir):
-    return _rounded(sheets.monthly_bar_chart(_monthly(spark, sf_dir)), 4, "active_power")
+    return sheets.monthly_bar_chart(_monthly(spark, sf_dir))
 
 
 _QUERIES = [

@@ -38,9 +38,10 @@ STRICT_DATE = (
     r"^\d{4}-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9])"
     r"\s+(2[0-3]|[01]?\d):[0-5]?\d:[0-5]?\d$"
 )
-CLOCK = r"(?:(?:\s+|T)(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?"
-YEAR_FIRST_DATE = r"^\s*(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})" + CLOCK + r"\s*$"
-YEAR_LAST_DATE = r"^\s*(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4})" + CLOCK + r"\s*$"
+CLOCK = r"(?:(?:\s+|T)(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?\s*$"
+YEAR_FIRST_DATE = r"^\s*(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})" + CLOCK
+MONTH_FIRST_DATE = r"^\s*(1[0-2]|0?[1-9])[-/. ](\d{1,2})[-/. ](\d{4})" + CLOCK
+DAY_FIRST_DATE = r"^\s*(\d{1,2})[-/. ](1[0-2]|0?[1-9])[-/. ](\d{4})" + CLOCK
 
 # Timestamps outside this range do not fit 64-bit nanoseconds and are rejected.
 EARLIEST = "1677-09-21 00:12:43.145225"

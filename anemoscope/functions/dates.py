@@ -6,49 +6,29 @@ from pyspark.sql import functions as F
 from anemoscope import config
 
 
-def strict_timestamp(text: Column) -> Column:
-    """Year-month-day hours:minutes:seconds; NULL for any other text."""
-    one_space = F.regexp_replace(text, r"\s+", " ")
-    parsed = F.when(
-        text.rlike(config.STRICT_DATE), one_space.try_cast("timestamp_ntz")
-    )
-    return _in_range(parsed)
+def is_strict(text: Column) -> Column:
+    """Whether text is written year-month-day hours:minutes:seconds."""
+    return text.rlike(config.STRICT_DATE)
 
 
-def flexible_timestamp(text: Column, dayfirst: bool = False) -> Column:
-    """Strict text, else year-first or year-last numeric dates.
+def timestamp(text: Column, dayfirst: bool = False) -> Column:
+    """Strict text, else year-first or year-last numeric dates, else NULL.
 
     A year-last date is read month first, and day first only where the first
-    number cannot be a month. ``dayfirst`` turns that preference round.
+    number cannot be a month. ``dayfirst`` turns that preference round. Each
+    form is rewritten to the ISO form, which the cast then checks.
     """
-    return F.coalesce(
-        strict_timestamp(text),
-        _in_range(_from_parts(text, config.YEAR_FIRST_DATE, (1, 2, 3))),
-        _in_range(_year_last(text, dayfirst)),
-    )
-
-
-def _year_last(text: Column, dayfirst: bool) -> Column:
-    month_first = _from_parts(text, config.YEAR_LAST_DATE, (3, 1, 2))
-    day_first = _from_parts(text, config.YEAR_LAST_DATE, (3, 2, 1))
-    first = _part(text, config.YEAR_LAST_DATE, 1)
-    second = _part(text, config.YEAR_LAST_DATE, 2)
+    month_first = (config.MONTH_FIRST_DATE, "$3-$1-$2")
+    day_first = (config.DAY_FIRST_DATE, "$3-$2-$1")
+    forms = [(config.YEAR_FIRST_DATE, "$1-$2-$3"), month_first, day_first]
     if dayfirst:
-        return F.when(second > 12, month_first).otherwise(day_first)
-    return F.when(first > 12, day_first).otherwise(month_first)
-
-
-def _from_parts(text: Column, pattern: str, order: tuple) -> Column:
-    year, month, day = (_part(text, pattern, group) for group in order)
-    hour, minute = (F.coalesce(_part(text, pattern, g), F.lit(0)) for g in (4, 5))
-    second = F.regexp_extract(text, pattern, 6).try_cast("decimal(16,6)")
-    second = F.coalesce(second, F.lit(0).cast("decimal(16,6)"))
-    made = F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
-    return F.when(text.rlike(pattern) & (second < 60), made)
-
-
-def _part(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+        forms = [forms[0], day_first, month_first]
+    iso = F.when(is_strict(text), F.regexp_replace(text, r"\s+", " "))
+    for pattern, day in forms:
+        written = F.regexp_replace(text, pattern, day + " $4:$5:$6")
+        written = F.regexp_replace(written, " ::$", "")  # no clock
+        iso = iso.when(text.rlike(pattern), F.regexp_replace(written, ":$", ":00"))
+    return _in_range(iso.try_cast("timestamp_ntz"))
 
 
 def _in_range(moment: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemoscope import config
-from anemoscope.functions.dates import flexible_timestamp, strict_timestamp
+from anemoscope.functions.dates import is_strict, timestamp
 from anemoscope.functions.numbers import integer, number
 from anemoscope.functions.text import col
 from anemoscope.operators.lookup import attach
@@ -40,12 +40,13 @@ def extra_columns(table: DataFrame) -> list[str]:
 
 def coerce_numeric(raw: DataFrame) -> DataFrame:
     """The four metrics as DOUBLE, each with a flag for text that is no number."""
+    numbers = {f"__{m}": number(col(m).cast("string")) for m in config.METRICS}
     typed = {}
     for metric in config.METRICS:
-        text = col(metric).cast("string")
-        typed[f"{metric}_invalid"] = text.isNotNull() & number(text).isNull()
-        typed[metric] = number(text)
-    return raw.withColumns(typed)
+        value = col(f"__{metric}")
+        typed[f"{metric}_invalid"] = col(metric).isNotNull() & value.isNull()
+        typed[metric] = value
+    return raw.withColumns(numbers).withColumns(typed).drop(*numbers)
 
 
 def coercion_counts(typed: DataFrame) -> DataFrame:
@@ -88,20 +89,22 @@ def _none(condition: Column, name: str, wanted: bool = False) -> Column:
     return (~found if wanted else found).alias(name)
 
 
-def deduplicate(raw: DataFrame, profile: DataFrame) -> DataFrame:
+def deduplicate(
+    raw: DataFrame, profile: DataFrame, files: int | None = None
+) -> DataFrame:
     """One row per distinct row of each loadable file, metrics typed.
 
     The grouping key is the whole row, so copies collapse before the shuffle
     and no key is hot. ``date_time`` stays text here.
     """
     extras = extra_columns(raw)
-    rows = raw.select(
-        FILE, *[col(c).cast("string").alias(c) for c in [*config.COLUMNS.values(), *extras]]
-    )
-    loadable = profile.filter(F.col("long_rows") == 0).drop(ROWS_IN, "long_rows")
-    if profile.count() > config.BROADCAST_ROWS:
+    files = profile.count() if files is None else files
+    texts = [col(c).cast("string").alias(c) for c in [*config.COLUMNS.values(), *extras]]
+    rows = raw.select(FILE, *texts)
+    if files > config.BROADCAST_ROWS:
         rows = rows.distinct()  # copies must not meet in one salted join task
-    rows = attach(rows, loadable, [FILE], "inner")
+    loadable = profile.filter(F.col("long_rows") == 0).drop(ROWS_IN, "long_rows")
+    rows = attach(rows, loadable, [FILE], "inner", files)
     keys = [F.col(FILE), F.col("date_time")]
     for metric in config.METRICS:
         is_text = F.col(f"{metric}_text")
@@ -111,14 +114,14 @@ def deduplicate(raw: DataFrame, profile: DataFrame) -> DataFrame:
         ]
     keys += [_canonical(col(name), i).alias(name) for i, name in enumerate(extras)]
     distinct = rows.select(*keys).distinct()
-    values = []
     for metric in config.METRICS:
         text = F.col(f"{metric}_text")
-        values += [
-            F.coalesce(col(metric), number(text)).alias(metric),
-            (text.isNotNull() & number(text).isNull()).alias(f"{metric}_invalid"),
-        ]
-    return distinct.select(FILE, "date_time", *values, *[col(name) for name in extras])
+        distinct = distinct.withColumn(metric, F.coalesce(col(metric), number(text)))
+    invalid = {
+        f"{m}_invalid": F.col(f"{m}_text").isNotNull() & col(m).isNull()
+        for m in config.METRICS
+    }
+    return distinct.withColumns(invalid).drop(*[f"{m}_text" for m in config.METRICS])
 
 
 def _canonical(text: Column, i: int) -> Column:
@@ -151,14 +154,18 @@ def parse_dates(table: DataFrame, dayfirst: bool = False) -> DataFrame:
     in the strict format mean the same either way, so rows are parsed alone.
     """
     text = F.col("date_time").cast("string")
-    moment = flexible_timestamp(text, dayfirst)
+    moment = F.col("__moment")
     understood = (
         F.when(text.isNull(), None)
-        .when(strict_timestamp(text).isNotNull(), "strict")
-        .when(moment.isNotNull(), "flexible")
-        .otherwise("failed")
+        .when(moment.isNull(), "failed")
+        .when(is_strict(text), "strict")
+        .otherwise("flexible")
+    )
+    return (
+        table.withColumn("__moment", timestamp(text, dayfirst))
+        .withColumns({DATE_FORMAT: understood, "date_time": moment})
+        .drop("__moment")
     )
-    return table.withColumns({DATE_FORMAT: understood, "date_time": moment})
 
 
 # --- Missing values --------------------------------------------------------------
@@ -198,20 +205,24 @@ def null_counts(table: DataFrame) -> DataFrame:
 def file_medians(
     kept: DataFrame,
     largest_file: int | None = None,
+    files: int | None = None,
     workspace: Workspace | None = None,
+    buffer_rows: int | None = None,
 ) -> DataFrame:
     """Per file: exact medians of the filled columns over the kept rows."""
     medians = exact_quantiles(
-        kept, [FILE], config.MEDIAN_FILLED, [0.5], largest_file, workspace
+        kept, [FILE], config.MEDIAN_FILLED, [0.5], largest_file, files, workspace, buffer_rows
     )
     return medians.select(
         FILE, *[F.col(m)[0].alias(f"{m}_median") for m in config.MEDIAN_FILLED]
     )
 
 
-def fill_medians(kept: DataFrame, medians: DataFrame) -> DataFrame:
+def fill_medians(
+    kept: DataFrame, medians: DataFrame, files: int | None = None
+) -> DataFrame:
     """Nulls replaced by the file's median; all-null columns stay null."""
-    filled = attach(kept, medians, [FILE]).withColumns(
+    filled = attach(kept, medians, [FILE], "left", files).withColumns(
         {m: F.coalesce(m, f"{m}_median") for m in config.MEDIAN_FILLED}
     )
     return filled.drop(*[f"{m}_median" for m in config.MEDIAN_FILLED])
@@ -366,8 +377,8 @@ def clean(
     run = run or Run.start()
     workspace = workspace or Workspace(raw.sparkSession)
     raw_facts = workspace.stage(raw_profile(raw), "raw-profile")
-    typed = parse_dates(deduplicate(raw, raw_facts), dayfirst)
-    typed = workspace.stage(typed, "typed")
+    distinct = deduplicate(raw, raw_facts, raw_facts.count())
+    typed = workspace.stage(parse_dates(distinct, dayfirst), "typed")
     typed_facts = typed_profile(typed)
     files = workspace.stage(file_facts(raw_facts, typed_facts, run, names), "files")
     return CleanResult(_clean_rows(typed, files, workspace), files, quality_log(files))
@@ -380,15 +391,18 @@ def _clean_rows(typed: DataFrame, files: DataFrame, workspace: Workspace) -> Dat
     to_fill = reduce(lambda a, b: a + b, [F.col(f"null_{m}") for m in config.MEDIAN_FILLED])
     valid = F.col("stage").isNull()
     summary = files.agg(
+        F.count(F.lit(1)).alias("files"),
         F.max("rows_kept").alias("largest"),
         F.count_if(~valid).alias("skipped"),
         F.count_if(valid & (to_fill > 0)).alias("to_fill"),
     ).first()
     if summary["skipped"]:
-        kept = attach(kept, files.filter(valid).select(FILE), [FILE], "left_semi")
+        names = files.filter(valid).select(FILE)
+        kept = attach(kept, names, [FILE], "left_semi", summary["files"])
     if summary["to_fill"]:
-        holed = files.filter(valid & (to_fill > 0)).select(FILE)
-        holed_rows = attach(kept, holed, [FILE], "left_semi")
-        medians = file_medians(holed_rows, summary["largest"], workspace)
-        kept = fill_medians(kept, workspace.stage(medians, "medians"))
+        names = files.filter(valid & (to_fill > 0)).select(FILE)
+        holed = attach(kept, names, [FILE], "left_semi", summary["to_fill"])
+        medians = file_medians(holed, summary["largest"], summary["to_fill"], workspace)
+        medians = workspace.stage(medians, "medians")
+        kept = fill_medians(kept, medians, summary["to_fill"])
     return kept

@@ -1,33 +1,35 @@
 """Adding the columns of a small per-group table to a large one."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.text import col
 
 
+def with_values(rows: DataFrame, values: Row) -> DataFrame:
+    """Add one row of values, the lookup of a table without groups."""
+    named = [F.lit(value).alias(name) for name, value in values.asDict().items()]
+    return rows.select("*", *named)
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
     how: str = "left",
-    broadcast_rows: int | None = None,
+    lookup_rows: int | None = None,
 ) -> DataFrame:
     """Join a staged one-row-per-group table to the rows of its groups.
 
-    The table is broadcast only if its counted rows stay within the bound.
-    Beyond it both sides are shuffled, and a salt spreads a group that holds
-    much of the data over many tasks. Without keys the table has one row, whose
-    values become literals.
+    The table is broadcast only if its rows, counted here unless the caller
+    already has an upper bound of them, stay within the limit. Beyond it both
+    sides are shuffled, and a salt spreads a group that holds much of the data
+    over many tasks.
     """
-    if not keys:
-        values = lookup.first()
-        return rows.select(
-            "*", *[F.lit(values[name]).alias(name) for name in lookup.columns]
-        )
-    bound = config.BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if lookup.count() <= bound:
+    if lookup_rows is None:
+        lookup_rows = lookup.count()
+    if lookup_rows <= config.BROADCAST_ROWS:
         return rows.join(F.broadcast(lookup), keys, how)
     salt = F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(config.SALTS))
     salts = F.explode(F.sequence(F.lit(0), F.lit(config.SALTS - 1)))

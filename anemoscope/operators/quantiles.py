@@ -10,17 +10,18 @@ no task ever holds a whole group and the result stays exact.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.text import col
-from anemoscope.operators.lookup import attach
+from anemoscope.operators.lookup import attach, with_values
 from anemoscope.sources.storage import Workspace
 
 SKETCH_ACCURACY = 10_000
 BRACKET_HALF_WIDTH = 2 / SKETCH_ACCURACY
 PIECES = 64
+SMALL_BRACKET = 100_000
 
 
 def exact_quantiles(
@@ -29,12 +30,14 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     largest_group: int | None = None,
+    groups: int | None = None,
     workspace: Workspace | None = None,
     buffer_rows: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles: per group, one array per column.
 
-    ``largest_group`` saves the count when the caller knows an upper bound.
+    ``largest_group`` and ``groups`` save their counts when the caller knows an
+    upper bound of the rows in any group and of the number of groups.
     A column without values has a NULL array.
     """
     buffer_rows = config.QUANTILE_BUFFER_ROWS if buffer_rows is None else buffer_rows
@@ -43,7 +46,14 @@ def exact_quantiles(
     if largest_group <= buffer_rows:
         return table.groupBy(*keys).agg(*buffered(columns, probabilities))
     workspace = workspace or Workspace(table.sparkSession)
-    return _bracketed(table, keys, columns, probabilities, workspace, buffer_rows)
+    targets = [
+        _Target(column, index, probability, i * len(probabilities) + index)
+        for i, column in enumerate(columns)
+        for index, probability in enumerate(probabilities)
+    ]
+    if keys:
+        return _of_groups(table, keys, columns, targets, groups, workspace, buffer_rows)
+    return _of_all(table, columns, targets, workspace, buffer_rows)
 
 
 def buffered(columns: list[str], probabilities: list[float]) -> list[Column]:
@@ -67,31 +77,44 @@ class _Target:
         self.id = sequence
         self.low, self.high = f"__low{sequence}", f"__high{sequence}"
         self.below, self.position = f"__below{sequence}", f"__position{sequence}"
+        self.inside = f"__inside{sequence}"
 
     def holds(self) -> Column:
         return col(self.column).between(F.col(self.low), F.col(self.high))
 
 
-def _bracketed(table, keys, columns, probabilities, workspace, buffer_rows):
-    targets = [
-        _Target(column, index, probability, i * len(probabilities) + index)
-        for i, column in enumerate(columns)
-        for index, probability in enumerate(probabilities)
-    ]
+def _of_groups(table, keys, columns, targets, groups, workspace, buffer_rows):
+    # Staged, because evaluating a sketch again may give another bracket.
     sketch = workspace.stage(_sketch(table, keys, columns, targets), "sketch")
-    brackets = workspace.stage(
-        _checked_brackets(attach(table, sketch, keys), keys, targets), "brackets"
-    )
-    values = workspace.stage(
-        _values_inside(attach(table, brackets, keys), keys, targets), "values"
-    )
-    while _largest_bracket(values, keys) > max(buffer_rows, PIECES):
+    groups = sketch.count() if groups is None else groups
+    counted = _checked_brackets(attach(table, sketch, keys, "left", groups), keys, targets)
+    brackets = workspace.stage(counted, "brackets")
+    most = F.greatest(*[F.coalesce(t.inside, F.lit(0)) for t in targets], F.lit(0))
+    most_inside = brackets.agg(F.max(most)).first()[0] or 0
+    values = _values_inside(attach(table, brackets, keys, "left", groups), keys, targets)
+    values = _small_brackets(values, keys, most_inside, workspace, buffer_rows)
+    picked = workspace.stage(_picked(values, keys, targets, columns), "picked")
+    return attach(brackets.select(*[col(k) for k in keys]), picked, keys, "left", groups)
+
+
+def _of_all(table, columns, targets, workspace, buffer_rows):
+    sketch: Row = _sketch(table, [], columns, targets).first()
+    brackets: Row = _checked_brackets(with_values(table, sketch), [], targets).first()
+    most_inside = max(brackets[t.inside] or 0 for t in targets)
+    values = _values_inside(with_values(table, brackets), [], targets)
+    values = _small_brackets(values, [], most_inside, workspace, buffer_rows)
+    return _picked(values, [], targets, columns)
+
+
+def _small_brackets(values, keys, most_inside, workspace, buffer_rows):
+    """Cut brackets until the distinct values of each fit one task."""
+    limit = max(buffer_rows, SMALL_BRACKET)
+    if most_inside <= limit:  # its rows bound its distinct values
+        return values
+    values = workspace.stage(values, "values")
+    while _largest_bracket(values, keys) > limit:
         values = workspace.stage(_narrowed(values, keys, workspace), "values")
-    picked = _picked(values, keys, targets, columns)
-    if not keys:
-        return picked
-    groups = brackets.select(*keys)
-    return attach(groups, workspace.stage(picked, "picked"), keys)
+    return values
 
 
 def _sketch(table, keys, columns, targets):
@@ -134,7 +157,8 @@ def _checked_brackets(rows, keys, targets):
         below = F.count_if(col(target.column) < F.col(target.low))
         aggregates += [
             below.alias(target.below),
-            F.count_if(target.holds()).alias(f"__inside{target.id}"),
+            F.count_if(target.holds()).alias(target.inside),
+            F.count(col(target.column)).alias(f"__rows{target.id}"),
         ]
         aggregates += [
             F.max(name).alias(name)
@@ -147,13 +171,15 @@ def _checked_brackets(rows, keys, targets):
     for target in targets:
         i = columns.index(target.column)
         below, position = F.col(target.below), F.col(target.position)
-        covered = below + F.col(f"__inside{target.id}")
+        covered = below + F.col(target.inside)
+        missed = F.col(f"__rows{target.id}")
         starts = below <= F.floor(position)
         ends = covered > F.ceil(position)
         kept += [
             F.when(starts, F.col(target.low)).otherwise(F.col(f"__min{i}")).alias(target.low),
             F.when(ends, F.col(target.high)).otherwise(F.col(f"__max{i}")).alias(target.high),
             F.when(starts, below).otherwise(F.lit(0)).cast("bigint").alias(target.below),
+            F.when(starts & ends, F.col(target.inside)).otherwise(missed).alias(target.inside),
             position.alias(target.position),
         ]
     return counted.select(*kept)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.text import col
-from anemoscope.operators.lookup import attach
+from anemoscope.operators.lookup import with_values
 from anemoscope.operators.quantiles import buffered, exact_quantiles
 from anemoscope.sources.storage import Workspace
 
@@ -39,9 +39,10 @@ def describe(
         facts = table.agg(*moments, *buffered(columns, config.QUARTILES))
     else:
         quartiles = exact_quantiles(
-            table, [], columns, config.QUARTILES, rows, workspace, buffer_rows
+            table, [], columns, config.QUARTILES, rows,
+            workspace=workspace, buffer_rows=buffer_rows,
         )
-        facts = attach(table.agg(*moments), quartiles, [])
+        facts = with_values(table.agg(*moments), quartiles.first())
     return facts.select(F.inline(F.array(*_statistics(columns))))
 
 

@@ -1,6 +1,8 @@
 """Distribution of the wind direction over equal-width bins."""
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemoscope import config
@@ -11,15 +13,12 @@ BINS = config.WIND_DIRECTION_BINS
 def wind_bins(table: DataFrame) -> DataFrame:
     """Sixteen right-closed bins between the observed extremes, none left out.
 
-    Two scans of one column: the extremes, then one count per edge of the
-    readings beyond it. No reading is shuffled.
+    Two scans of one column: the extremes, one row that becomes literals, then
+    one count per edge of the readings beyond it. No reading is shuffled.
+    Without any reading the edges are null and every count is zero.
     """
-    extremes = table.agg(
-        F.struct(
-            F.min("wind_direction").alias("low"), F.max("wind_direction").alias("high")
-        ).alias("extremes")
-    ).scalar()
-    return _count_bins(table, observed_edges(extremes["low"], extremes["high"]))
+    low, high = table.agg(F.min("wind_direction"), F.max("wind_direction")).first()
+    return _count_bins(table, observed_edges(low, high))
 
 
 def compass_bins(table: DataFrame) -> DataFrame:
@@ -27,7 +26,7 @@ def compass_bins(table: DataFrame) -> DataFrame:
 
     The first bin takes in 0 itself, as the lowest observed edge does above.
     """
-    edges = [F.lit(k * 360.0 / BINS) for k in range(BINS + 1)]
+    edges = [k * 360.0 / BINS for k in range(BINS + 1)]
     return _count_bins(table, edges, closed_below=True)
 
 
@@ -36,52 +35,54 @@ def dominant_direction(bins: DataFrame) -> DataFrame:
     return bins.orderBy(F.col("count").desc(), "bin_index").limit(1)
 
 
-def observed_edges(low: Column, high: Column) -> list[Column]:
+def observed_edges(low: float | None, high: float | None) -> list:
     """Edges of equal steps; the lowest moves down to take in the minimum.
 
     A single observed value is widened to a range around itself.
     """
-    constant = low == high
-    margin = F.when(low == 0, F.lit(0.001)).otherwise(F.abs(low) * 0.001)
-    start = F.when(constant, low - margin).otherwise(low)
-    end = F.when(constant, high + margin).otherwise(high)
-    width = (end - start) / BINS
-    lowered = F.when(constant, start).otherwise(low - (high - low) * 0.001)
-    inner = [start + F.lit(float(k)) * width for k in range(1, BINS)]
-    return [lowered, *inner, end]
+    if low is None:
+        return [None] * (BINS + 1)
+    if low == high:
+        margin = 0.001 * abs(low) if low else 0.001
+        low, high = low - margin, high + margin
+        lowest = low
+    else:
+        lowest = low - (high - low) * 0.001
+    width = (high - low) / BINS
+    return [lowest, *[low + k * width for k in range(1, BINS)], high]
 
 
 def _count_bins(table, edges, closed_below=False):
     direction = F.col("wind_direction")
-    inside = direction >= edges[0] if closed_below else direction > edges[0]
+    limits = [F.lit(edge).cast("double") for edge in edges]
+    inside = direction >= limits[0] if closed_below else direction > limits[0]
     beyond = [F.count_if(inside).alias("beyond0")]
     beyond += [
-        F.count_if(direction > edge).alias(f"beyond{k}")
-        for k, edge in enumerate(edges[1:], start=1)
+        F.count_if(direction > limit).alias(f"beyond{k}")
+        for k, limit in enumerate(limits[1:], start=1)
     ]
-    counted = table.agg(*beyond).select("*", F.array(*edges).alias("edges"))
-    rows = []
-    for k in range(BINS):
-        lower, upper = F.col("edges")[k], F.col("edges")[k + 1]
-        rows.append(
-            F.struct(
-                F.lit(k + 1).alias("bin_index"),
-                lower.alias("bin_lower"),
-                upper.alias("bin_upper"),
-                F.concat(
-                    F.lit("("), _edge_label(lower), F.lit(", "), _edge_label(upper), F.lit("]")
-                ).alias("wind_direction_bin"),
-                (F.col(f"beyond{k}") - F.col(f"beyond{k + 1}")).alias("count"),
-            )
+    rows = [
+        F.struct(
+            F.lit(k + 1).alias("bin_index"),
+            limits[k].alias("bin_lower"),
+            limits[k + 1].alias("bin_upper"),
+            F.lit(_label(edges[k], edges[k + 1])).alias("wind_direction_bin"),
+            (F.col(f"beyond{k}") - F.col(f"beyond{k + 1}")).alias("count"),
         )
-    return counted.select(F.inline(F.array(*rows)))
+        for k in range(BINS)
+    ]
+    return table.agg(*beyond).select(F.inline(F.array(*rows)))
+
+
+def _label(lower, upper):
+    if lower is None:
+        return None
+    return f"({_short(lower)}, {_short(upper)}]"
 
 
-def _edge_label(edge: Column) -> Column:
+def _short(edge: float) -> float:
     """Three decimals, or three significant digits below one."""
-    fraction = F.abs(edge)
-    digits = F.when(
-        (fraction < 1) & (fraction > 0), -F.floor(F.log10(fraction)) + F.lit(2)
-    ).otherwise(F.lit(3))
-    scale = F.pow(F.lit(10.0), digits)
-    return (F.rint(edge * scale) / scale).cast("string")
+    digits = 3
+    if 0 < abs(edge) < 1:
+        digits = 2 - math.floor(math.log10(abs(edge)))
+    return round(edge * 10**digits) / 10**digits

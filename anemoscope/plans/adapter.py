@@ -1,6 +1,7 @@
 """SCADA-shaped views of the ``lineitem`` table, typed, raw and as CSV files.
 
-Text is built from integers only, so that another engine writes the same text.
+Text is built from integers only, so that another engine writes the same text,
+and powers are whole quarters, so that their sums are exact in any order.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ def scada(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A clean table: typed, without duplicates to remove or nulls to fill."""
     return lineitem(spark, sf_dir).selectExpr(
         "l_shipdate AS date_time",
-        "l_extendedprice - 20000 AS active_power",
+        "floor(l_extendedprice * 4) / 4 - 20000 AS active_power",
         "l_quantity AS wind_speed",
         "CASE WHEN l_linenumber = 7 THEN cast(0 AS double)"
         " ELSE l_extendedprice * (1 + l_tax) END AS theoretical_power",

@@ -1,10 +1,10 @@
 """The report of one clean table."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.text import col
@@ -14,6 +14,8 @@ from anemoscope.plans.analysis import analyse
 from anemoscope.sources import bundle
 from anemoscope.sources.storage import Workspace
 
+WRITERS = 4
+
 
 @dataclass(frozen=True)
 class ReportOptions:
@@ -65,22 +67,26 @@ def finish_report(
     curve = sheets.with_display_headers(results["efficiency"])
     if options.sort_rows:
         curve = curve.orderBy(config.DISPLAY_HEADERS["date_time"])
-    order = F.col("step")
+    monthly, daily = results["monthly"], results["daily"]
     members = {
-        "summary/narrative": narrative(facts, results["monthly"]),
+        "summary/narrative": narrative(facts, monthly),
         "summary/headline_stats": headline_stats(facts).orderBy("ord"),
         "summary/stats": results["stats"],
-        "trend_analysis": sheets.trend_sheet(results["monthly"], results["daily"])
-        .orderBy("section_ord", "ord"),
+        "trend_analysis": sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
         "power_curve_analysis": curve,
-        "charts/power_trend": sheets.power_trend_chart(results["daily"]),
+        "charts/power_trend": sheets.power_trend_chart(daily),
         "charts/wind_scatter": sheets.scatter_chart(report.table),
         "charts/wind_scatter_density": sheets.scatter_density(report.table),
         "charts/theoretical_curve": sheets.theoretical_curve_chart(report.table),
-        "charts/monthly_bar": sheets.monthly_bar_chart(results["monthly"]),
+        "charts/monthly_bar": sheets.monthly_bar_chart(monthly),
         "wind_bins": results["wind_bins"],
-        "data_quality_log": quality_log.orderBy(config.SOURCE_FILE, order)
-        .select(*config.LOG_FIELDS),
     }
-    for name, table in members.items():
-        bundle.write_dataset(table, f"{report.path}/{name}", options.fmt)
+
+    def write(member):
+        bundle.write_dataset(members[member], f"{report.path}/{member}", options.fmt)
+
+    # Members do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(write, members))
+    log = quality_log.orderBy(config.SOURCE_FILE, "step").select(*config.LOG_FIELDS)
+    bundle.write_dataset(log, f"{report.path}/data_quality_log", options.fmt)

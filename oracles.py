@@ -17,7 +17,7 @@ MIXED_DATES = f"""
     ELSE strftime(l_shipdate, '{STRICT}') END"""
 
 SCADA = f"""scada AS (
-  SELECT l_shipdate AS date_time, l_extendedprice - 20000 AS active_power,
+  SELECT l_shipdate AS date_time, floor(l_extendedprice * 4) / 4 - 20000 AS active_power,
     l_quantity AS wind_speed,
     CASE WHEN l_linenumber = 7 THEN CAST(0 AS DOUBLE)
          ELSE l_extendedprice * (1 + l_tax) END AS theoretical_power,
@@ -272,7 +272,7 @@ RATIO = "date_time, active_power, wind_speed, theoretical_power, active_power /
 RATIOS = f"{OPERATIONAL}, ratios AS (SELECT {RATIO} FROM operational)"
 EFFICIENCY_COLUMNS = ["date_time", "active_power", "wind_speed", "theoretical_power", "efficiency_ratio"]
 CLEAN_COLUMNS = ["date_time", "active_power", "wind_speed", "theoretical_power", "wind_direction", "source_file"]
-ROUNDED_PERIODS = "SELECT period_start, round(active_power, 4) AS active_power FROM"
+PERIODS = "SELECT period_start, active_power FROM"
 
 
 def na_tokens():
@@ -340,14 +340,14 @@ SELECT count(*) AS total_rows,
   count(*) FILTER (NOT (theoretical_power > 0 AND active_power > 0)) AS excluded_rows
 FROM scada""",
         "efficiency": f"WITH {RATIOS} SELECT * FROM ratios",
-        "monthly_mean": f"WITH {SCADA}, {monthly()} {ROUNDED_PERIODS} monthly",
-        "monthly_mean_gaps": f"WITH {SPARSE}, {monthly('sparse')} {ROUNDED_PERIODS} monthly",
-        "daily_total": f"WITH {SCADA}, {daily()} {ROUNDED_PERIODS} daily",
-        "daily_total_gaps": f"WITH {SPARSE}, {daily('sparse')} {ROUNDED_PERIODS} daily",
-        "hourly_mean": f"WITH {SCADA}, {HOURLY} {ROUNDED_PERIODS} hourly",
+        "monthly_mean": f"WITH {SCADA}, {monthly()} {PERIODS} monthly",
+        "monthly_mean_gaps": f"WITH {SPARSE}, {monthly('sparse')} {PERIODS} monthly",
+        "daily_total": f"WITH {SCADA}, {daily()} {PERIODS} daily",
+        "daily_total_gaps": f"WITH {SPARSE}, {daily('sparse')} {PERIODS} daily",
+        "hourly_mean": f"WITH {SCADA}, {HOURLY} {PERIODS} hourly",
         "mean_daily_yield": f"""WITH {SCADA}, {daily()}
 SELECT CAST(date_trunc('month', period_start) AS TIMESTAMP) AS period_start,
-  round(avg(active_power), 4) AS mean_daily_total FROM daily GROUP BY 1""",
+  avg(active_power) AS mean_daily_total FROM daily GROUP BY 1""",
         "wind_bins": f"WITH {SCADA}, {OBSERVED_BINS} {BIN_COLUMNS}",
         "compass_bins": f"WITH {SCADA}, {COMPASS_BINS} {BIN_COLUMNS}",
         "dominant_direction": f"WITH {SCADA}, {OBSERVED_BINS} {BIN_COLUMNS} ORDER BY count DESC, bin_index LIMIT 1",
@@ -356,7 +356,7 @@ SELECT round(avg(active_power / theoretical_power) * 100, 6) AS mean_efficiency_
         "operational_hours": f"""WITH {OPERATIONAL}
 SELECT CAST(round_even(count(*) * 10 / 60, 0) AS BIGINT) AS operational_hours FROM operational""",
         "peak_month": f"""WITH {SCADA}, {monthly()}, {PEAK}
-SELECT period_start, round(active_power, 4) AS active_power, month_label FROM peak""",
+SELECT period_start, active_power, month_label FROM peak""",
         "headline_stats": headline(),
         "narrative": narrative(),
         "preview_efficiency": f"""WITH {RATIOS} SELECT * FROM ratios
@@ -364,7 +364,7 @@ ORDER BY date_time, active_power, wind_speed, theoretical_power LIMIT 5""",
         "clean_data_sheet": f"WITH {SCADA} SELECT {headers(CLEAN_COLUMNS)} FROM scada",
         "power_curve_sheet": f"WITH {RATIOS} SELECT {headers(EFFICIENCY_COLUMNS)} FROM ratios",
         "trend_sheet": trend(f"{SCADA}, {monthly()}, {daily()}"),
-        "chart_power_trend": f"WITH {SCADA}, {daily()} {ROUNDED_PERIODS} daily",
+        "chart_power_trend": f"WITH {SCADA}, {daily()} {PERIODS} daily",
         "chart_scatter": f"WITH {OPERATIONAL} SELECT wind_speed, active_power FROM operational",
         "chart_scatter_density": f"""WITH {OPERATIONAL}
 SELECT CAST(floor(wind_speed / 0.1::DOUBLE) AS BIGINT) AS speed_cell,
@@ -373,5 +373,5 @@ FROM operational GROUP BY 1, 2""",
         "chart_theoretical_curve": f"WITH {OPERATIONAL} SELECT wind_speed, date_time, theoretical_power FROM operational",
         "chart_monthly_bar": f"""WITH {SCADA}, {monthly()}
 SELECT period_start, strftime(period_start, '%b %Y') AS label,
-  round(active_power, 4) AS active_power FROM monthly""",
+  active_power FROM monthly""",
     }
