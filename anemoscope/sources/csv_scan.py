@@ -191,6 +191,7 @@ def _read_layout(
         .option("header", True)
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", _MALFORMED)
+        .option("columnPruning", False)  # a pruned parse does not see long rows
         .csv([_literal_path(path) for path in paths])
     )
     return rows.select(
@@ -206,10 +207,13 @@ def _literal_path(path: str) -> str:
 
 
 def _source_name(in_folder: bool):
-    segment = F.element_at(
-        F.split(F.col("_metadata.file_path"), "/"), -2 if in_folder else -1
-    )
-    return F.url_decode(F.replace(segment, F.lit("+"), F.lit("%2B")))
+    """The file's name, or its folder's, freed of URL escapes if it has any."""
+    name = F.col("_metadata.file_name")
+    if in_folder:
+        last_two = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+        name = F.substring_index(last_two, "/", 1)
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
 
 def _has_more_fields(malformed, width: int):
