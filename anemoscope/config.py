@@ -34,6 +34,7 @@ INTEGER = r"^\s*[+-]?\d+\s*$"
 BOOLEANS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 
 DATE_FORMAT = "%Y-%m-%d %H:%M:%S"
+PADDED_DATE = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 STRICT_DATE = (
     r"^\d{4}-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9])"
     r"\s+(2[0-3]|[01]?\d):[0-5]?\d:[0-5]?\d$"

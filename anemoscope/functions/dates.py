@@ -6,32 +6,36 @@ from pyspark.sql import functions as F
 from anemoscope import config
 
 
+def is_padded(text: Column) -> Column:
+    """Whether text is in the strict format with every number padded."""
+    return text.rlike(config.PADDED_DATE)
+
+
 def is_strict(text: Column) -> Column:
     """Whether text is written year-month-day hours:minutes:seconds."""
     return text.rlike(config.STRICT_DATE)
 
 
-def timestamp(text: Column, dayfirst: bool = False) -> Column:
-    """Strict text, else year-first or year-last numeric dates, else NULL.
+def iso_text(text: Column, dayfirst: bool = False) -> Column:
+    """A date in any known form rewritten to the ISO form, else NULL.
 
     A year-last date is read month first, and day first only where the first
-    number cannot be a month. ``dayfirst`` turns that preference round. Each
-    form is rewritten to the ISO form, which the cast then checks.
+    number cannot be a month. ``dayfirst`` turns that preference round. Whether
+    the numbers make a date is left to the cast.
     """
-    month_first = (config.MONTH_FIRST_DATE, "$3-$1-$2")
-    day_first = (config.DAY_FIRST_DATE, "$3-$2-$1")
-    forms = [(config.YEAR_FIRST_DATE, "$1-$2-$3"), month_first, day_first]
-    if dayfirst:
-        forms = [forms[0], day_first, month_first]
-    iso = F.when(is_strict(text), F.regexp_replace(text, r"\s+", " "))
-    for pattern, day in forms:
-        written = F.regexp_replace(text, pattern, day + " $4:$5:$6")
-        written = F.regexp_replace(written, " ::$", "")  # no clock
-        iso = iso.when(text.rlike(pattern), F.regexp_replace(written, ":$", ":00"))
-    return _in_range(iso.try_cast("timestamp_ntz"))
-
-
-def _in_range(moment: Column) -> Column:
+    year_first = (config.YEAR_FIRST_DATE, "$1-$2-$3 $4:$5:$6")
+    month_first = (config.MONTH_FIRST_DATE, "$3-$1-$2 $4:$5:$6")
+    day_first = (config.DAY_FIRST_DATE, "$3-$2-$1 $4:$5:$6")
+    year_last = [day_first, month_first] if dayfirst else [month_first, day_first]
+    written = F.when(is_strict(text), F.regexp_replace(text, r"\s+", " "))
+    for pattern, order in [year_first, *year_last]:
+        written = written.when(text.rlike(pattern), F.regexp_replace(text, pattern, order))
+    no_clock = F.regexp_replace(written, " ::$", "")
+    return F.regexp_replace(no_clock, ":$", ":00")  # no seconds
+
+
+def in_range(moment: Column) -> Column:
+    """The moment, NULL if it does not fit 64-bit nanoseconds."""
     earliest = F.lit(config.EARLIEST).cast("timestamp_ntz")
     latest = F.lit(config.LATEST).cast("timestamp_ntz")
     return F.when(moment.between(earliest, latest), moment)

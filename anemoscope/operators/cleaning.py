@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemoscope import config
-from anemoscope.functions.dates import is_strict, timestamp
+from anemoscope.functions.dates import in_range, is_padded, is_strict, iso_text
 from anemoscope.functions.numbers import integer, number
 from anemoscope.functions.text import col
 from anemoscope.operators.lookup import attach
@@ -114,14 +114,13 @@ def deduplicate(
         ]
     keys += [_canonical(col(name), i).alias(name) for i, name in enumerate(extras)]
     distinct = rows.select(*keys).distinct()
-    for metric in config.METRICS:
-        text = F.col(f"{metric}_text")
-        distinct = distinct.withColumn(metric, F.coalesce(col(metric), number(text)))
+    values = {m: F.coalesce(col(m), number(col(f"{m}_text"))) for m in config.METRICS}
     invalid = {
         f"{m}_invalid": F.col(f"{m}_text").isNotNull() & col(m).isNull()
         for m in config.METRICS
     }
-    return distinct.withColumns(invalid).drop(*[f"{m}_text" for m in config.METRICS])
+    typed = distinct.withColumns(values).withColumns(invalid)
+    return typed.drop(*[f"{m}_text" for m in config.METRICS])
 
 
 def _canonical(text: Column, i: int) -> Column:
@@ -153,19 +152,23 @@ def parse_dates(table: DataFrame, dayfirst: bool = False) -> DataFrame:
     A file with any value outside the strict format counts as inferred. Values
     in the strict format mean the same either way, so rows are parsed alone.
     """
-    text = F.col("date_time").cast("string")
-    moment = F.col("__moment")
+    text, padded = F.col("__text"), F.col("__padded")
+    # One column per step: a single expression would outgrow what the JIT compiles.
+    stepwise = (
+        table.withColumn("__text", F.col("date_time").cast("string"))
+        .withColumn("__padded", is_padded(text))
+        .withColumn("__iso", F.when(padded, text).otherwise(iso_text(text, dayfirst)))
+        .withColumn("__moment", F.col("__iso").try_cast("timestamp_ntz"))
+        .withColumn("date_time", in_range(F.col("__moment")))
+    )
     understood = (
         F.when(text.isNull(), None)
-        .when(moment.isNull(), "failed")
-        .when(is_strict(text), "strict")
+        .when(F.col("date_time").isNull(), "failed")
+        .when(padded | is_strict(text), "strict")
         .otherwise("flexible")
     )
-    return (
-        table.withColumn("__moment", timestamp(text, dayfirst))
-        .withColumns({DATE_FORMAT: understood, "date_time": moment})
-        .drop("__moment")
-    )
+    parsed = stepwise.withColumn(DATE_FORMAT, understood)
+    return parsed.drop("__text", "__padded", "__iso", "__moment")
 
 
 # --- Missing values --------------------------------------------------------------

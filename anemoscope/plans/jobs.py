@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from anemoscope import config
 from anemoscope.errors import ReportError
-from anemoscope.operators import efficiency, sheets
+from anemoscope.operators import sheets
 from anemoscope.operators.cleaning import FILE, CleanResult, clean, quality_log
 from anemoscope.plans.report import ReportOptions, finish_report, start_report
 from anemoscope.sources import bundle, csv_scan
@@ -145,7 +145,7 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
     with _Stage("export"):
         report = start_report(table, rows, options.report, workspace)
     with _Stage("analysis"):
-        excluded = efficiency.row_counts(report.table).first()["excluded_rows"]
+        excluded = report.facts.first()["excluded_rows"]
         print(
             f"[ANALYSE] {excluded:,} rows excluded from efficiency "
             "(zero theoretical or non-positive output)"

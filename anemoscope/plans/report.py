@@ -14,7 +14,7 @@ from anemoscope.plans.analysis import analyse
 from anemoscope.sources import bundle
 from anemoscope.sources.storage import Workspace
 
-WRITERS = 4
+WRITERS = 8
 
 
 @dataclass(frozen=True)
@@ -27,9 +27,12 @@ class ReportOptions:
 
 @dataclass(frozen=True)
 class Report:
+    """The started report, its clean table, and what is planned on it."""
+
     path: str
     table: DataFrame
     results: dict
+    facts: DataFrame
 
 
 def start_report(
@@ -53,40 +56,48 @@ def start_report(
         written = clean.sparkSession.read.schema(shown.schema).parquet(f"{path}/clean_data")
         names = {shown_name: name for name, shown_name in config.DISPLAY_HEADERS.items()}
         clean = written.select(*[col(c).alias(names.get(c, c)) for c in written.columns])
-    return Report(path, clean, analyse(clean, rows, workspace))
+    facts = workspace.stage(headline_facts(clean), "headline")
+    return Report(path, clean, analyse(clean, rows, workspace), facts)
 
 
 def finish_report(
     report: Report, quality_log: DataFrame, options: ReportOptions, workspace: Workspace
 ) -> None:
     """Write the remaining members; the audit member comes last."""
-    results = dict(report.results)
-    for name in ("monthly", "daily"):  # one row per period, used several times
-        results[name] = workspace.stage(results[name].coalesce(1), name)
-    facts = workspace.stage(headline_facts(report.table), "headline")
-    curve = sheets.with_display_headers(results["efficiency"])
+    # Members do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        staged = pool.map(
+            lambda name: workspace.stage(report.results[name].coalesce(1), name),
+            ("monthly", "daily"),  # one row per period, used several times
+        )
+        monthly, daily = staged
+        members = _members(report, monthly, daily, options)
+        list(
+            pool.map(
+                lambda member: bundle.write_dataset(
+                    members[member], f"{report.path}/{member}", options.fmt
+                ),
+                members,
+            )
+        )
+    log = quality_log.orderBy(config.SOURCE_FILE, "step").select(*config.LOG_FIELDS)
+    bundle.write_dataset(log, f"{report.path}/data_quality_log", options.fmt)
+
+
+def _members(report, monthly, daily, options) -> dict[str, DataFrame]:
+    curve = sheets.with_display_headers(report.results["efficiency"])
     if options.sort_rows:
         curve = curve.orderBy(config.DISPLAY_HEADERS["date_time"])
-    monthly, daily = results["monthly"], results["daily"]
-    members = {
-        "summary/narrative": narrative(facts, monthly),
-        "summary/headline_stats": headline_stats(facts).orderBy("ord"),
-        "summary/stats": results["stats"],
-        "trend_analysis": sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
+    return {
         "power_curve_analysis": curve,
-        "charts/power_trend": sheets.power_trend_chart(daily),
+        "charts/theoretical_curve": sheets.theoretical_curve_chart(report.table),
         "charts/wind_scatter": sheets.scatter_chart(report.table),
         "charts/wind_scatter_density": sheets.scatter_density(report.table),
-        "charts/theoretical_curve": sheets.theoretical_curve_chart(report.table),
+        "summary/stats": report.results["stats"],
+        "summary/narrative": narrative(report.facts, monthly),
+        "summary/headline_stats": headline_stats(report.facts).orderBy("ord"),
+        "trend_analysis": sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
+        "charts/power_trend": sheets.power_trend_chart(daily),
         "charts/monthly_bar": sheets.monthly_bar_chart(monthly),
-        "wind_bins": results["wind_bins"],
+        "wind_bins": report.results["wind_bins"],
     }
-
-    def write(member):
-        bundle.write_dataset(members[member], f"{report.path}/{member}", options.fmt)
-
-    # Members do not depend on each other, so their jobs share the cluster.
-    with ThreadPoolExecutor(WRITERS) as pool:
-        list(pool.map(write, members))
-    log = quality_log.orderBy(config.SOURCE_FILE, "step").select(*config.LOG_FIELDS)
-    bundle.write_dataset(log, f"{report.path}/data_quality_log", options.fmt)

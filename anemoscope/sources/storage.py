@@ -1,5 +1,6 @@
 """Driver-side file metadata, and tables staged in the cluster's shared folder."""
 
+import itertools
 import tempfile
 import uuid
 
@@ -59,11 +60,10 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/anemoscope/{uuid.uuid4().hex}"
-        self._tables = 0
+        self._numbers = itertools.count()
 
     def stage(self, table: DataFrame, label: str) -> DataFrame:
-        self._tables += 1
-        path = f"{self.path}/{self._tables:03d}-{label}"
+        path = f"{self.path}/{next(self._numbers):03d}-{label}"
         table.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 

@@ -7,7 +7,6 @@ from conftest import GOLDEN, clean_one, scan_one, write_csv
 from pyspark.sql import functions as F
 
 from anemoscope import config
-from anemoscope.functions.dates import is_strict, timestamp
 from anemoscope.functions.numbers import number
 from anemoscope.operators import cleaning
 
@@ -148,45 +147,45 @@ def test_number_grammar(spark, text, value):
 
 
 def parse(spark, text, dayfirst=False):
-    column = F.lit(text)
-    row = spark.range(1).select(
-        timestamp(column, dayfirst).cast("string").alias("v"), is_strict(column).alias("s")
+    table = spark.range(1).select(F.lit(text).alias("date_time"))
+    row = cleaning.parse_dates(table, dayfirst).withColumn(
+        "date_time", F.col("date_time").cast("string")
     ).first()
-    return row.v, row.s
+    return row.date_time, row.date_format
 
 
 @pytest.mark.parametrize(
-    "text, moment, strict",
+    "text, moment, understood",
     [
-        ("2018-01-02 03:04:05", "2018-01-02 03:04:05", True),
-        ("2018-1-2 3:4:5", "2018-01-02 03:04:05", True),
-        ("2018-01-02  03:04:05", "2018-01-02 03:04:05", True),
-        ("2018-01-02T03:04:05", "2018-01-02 03:04:05", False),
-        ("2018-01-02", "2018-01-02 00:00:00", False),
-        ("2018-01-02 03:04", "2018-01-02 03:04:00", False),
-        (" 2018-01-02 03:04:05", "2018-01-02 03:04:05", False),
-        ("2018-01-02 03:04:05.5", "2018-01-02 03:04:05.5", False),
-        ("2018/01/02 03:04", "2018-01-02 03:04:00", False),
-        ("2018.01.02", "2018-01-02 00:00:00", False),
-        ("02/01/2018", "2018-02-01 00:00:00", False),
-        ("2/1/2018 5:07", "2018-02-01 05:07:00", False),
-        ("13/1/2018 05:07:09", "2018-01-13 05:07:09", False),
-        ("01-02-2018 00:00:00", "2018-01-02 00:00:00", False),
-        ("13.01.2018 00:00", "2018-01-13 00:00:00", False),
-        ("02-01-2018T03:04", "2018-02-01 03:04:00", False),
-        ("13/13/2018", None, False),
-        ("31 04 2018", None, False),
-        ("2018-02-30 00:00:00", None, True),
-        ("2018-01-01 24:00:00", None, False),
-        ("2018-13-02", None, False),
-        ("02 01 2018 24:00", None, False),
-        ("1500-01-01 00:00:00", None, True),
-        ("2300-01-01 00:00:00", None, True),
-        ("xx", None, False),
+        ("2018-01-02 03:04:05", "2018-01-02 03:04:05", "strict"),
+        ("2018-1-2 3:4:5", "2018-01-02 03:04:05", "strict"),
+        ("2018-01-02  03:04:05", "2018-01-02 03:04:05", "strict"),
+        ("2018-01-02T03:04:05", "2018-01-02 03:04:05", "flexible"),
+        ("2018-01-02", "2018-01-02 00:00:00", "flexible"),
+        ("2018-01-02 03:04", "2018-01-02 03:04:00", "flexible"),
+        (" 2018-01-02 03:04:05", "2018-01-02 03:04:05", "flexible"),
+        ("2018-01-02 03:04:05.5", "2018-01-02 03:04:05.5", "flexible"),
+        ("2018/01/02 03:04", "2018-01-02 03:04:00", "flexible"),
+        ("2018.01.02", "2018-01-02 00:00:00", "flexible"),
+        ("02/01/2018", "2018-02-01 00:00:00", "flexible"),
+        ("2/1/2018 5:07", "2018-02-01 05:07:00", "flexible"),
+        ("13/1/2018 05:07:09", "2018-01-13 05:07:09", "flexible"),
+        ("01-02-2018 00:00:00", "2018-01-02 00:00:00", "flexible"),
+        ("13.01.2018 00:00", "2018-01-13 00:00:00", "flexible"),
+        ("02-01-2018T03:04", "2018-02-01 03:04:00", "flexible"),
+        ("13/13/2018", None, "failed"),
+        ("31 04 2018", None, "failed"),
+        ("2018-02-30 00:00:00", None, "failed"),
+        ("2018-01-01 24:00:00", None, "failed"),
+        ("2018-13-02", None, "failed"),
+        ("02 01 2018 24:00", None, "failed"),
+        ("1500-01-01 00:00:00", None, "failed"),
+        ("2300-01-01 00:00:00", None, "failed"),
+        ("xx", None, "failed"),
     ],
 )
-def test_date_grammar(spark, text, moment, strict):
-    assert parse(spark, text) == (moment, strict)
+def test_date_grammar(spark, text, moment, understood):
+    assert parse(spark, text) == (moment, understood)
 
 
 def test_dates_do_not_depend_on_the_session_time_zone(spark):
