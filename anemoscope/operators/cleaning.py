@@ -211,24 +211,25 @@ def file_medians(
     files: int | None = None,
     workspace: Workspace | None = None,
     buffer_rows: int | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Per file: exact medians of the filled columns over the kept rows."""
+    columns = columns or config.MEDIAN_FILLED
     medians = exact_quantiles(
-        kept, [FILE], config.MEDIAN_FILLED, [0.5], largest_file, files, workspace, buffer_rows
-    )
-    return medians.select(
-        FILE, *[F.col(m)[0].alias(f"{m}_median") for m in config.MEDIAN_FILLED]
+        kept, [FILE], columns, [0.5], largest_file, files, workspace, buffer_rows
     )
+    return medians.select(FILE, *[F.col(m)[0].alias(f"{m}_median") for m in columns])
 
 
 def fill_medians(
     kept: DataFrame, medians: DataFrame, files: int | None = None
 ) -> DataFrame:
     """Nulls replaced by the file's median; all-null columns stay null."""
+    columns = [m for m in config.MEDIAN_FILLED if f"{m}_median" in medians.columns]
     filled = attach(kept, medians, [FILE], "left", files).withColumns(
-        {m: F.coalesce(m, f"{m}_median") for m in config.MEDIAN_FILLED}
+        {m: F.coalesce(m, f"{m}_median") for m in columns}
     )
-    return filled.drop(*[f"{m}_median" for m in config.MEDIAN_FILLED])
+    return filled.drop(*[f"{m}_median" for m in columns])
 
 
 # --- The whole cleaning run --------------------------------------------------------
@@ -393,19 +394,23 @@ def _clean_rows(typed: DataFrame, files: DataFrame, workspace: Workspace) -> Dat
     kept = drop_critical(typed).select(*[col(name) for name in columns])
     to_fill = reduce(lambda a, b: a + b, [F.col(f"null_{m}") for m in config.MEDIAN_FILLED])
     valid = F.col("stage").isNull()
+    holed = valid & (to_fill > 0)
     summary = files.agg(
         F.count(F.lit(1)).alias("files"),
-        F.max("rows_kept").alias("largest"),
+        F.max(F.when(holed, F.col("rows_kept"))).alias("largest"),
         F.count_if(~valid).alias("skipped"),
-        F.count_if(valid & (to_fill > 0)).alias("to_fill"),
+        F.count_if(holed).alias("holed"),
+        *[F.sum(F.when(valid, F.col(f"null_{m}"))).alias(m) for m in config.MEDIAN_FILLED],
     ).first()
     if summary["skipped"]:
         names = files.filter(valid).select(FILE)
         kept = attach(kept, names, [FILE], "left_semi", summary["files"])
-    if summary["to_fill"]:
-        names = files.filter(valid & (to_fill > 0)).select(FILE)
-        holed = attach(kept, names, [FILE], "left_semi", summary["to_fill"])
-        medians = file_medians(holed, summary["largest"], summary["to_fill"], workspace)
-        medians = workspace.stage(medians, "medians")
-        kept = fill_medians(kept, medians, summary["to_fill"])
+    if summary["holed"]:
+        names = files.filter(holed).select(FILE)
+        rows = attach(kept, names, [FILE], "left_semi", summary["holed"])
+        columns = [m for m in config.MEDIAN_FILLED if summary[m]]
+        medians = file_medians(
+            rows, summary["largest"], summary["holed"], workspace, columns=columns
+        )
+        kept = fill_medians(kept, workspace.stage(medians, "medians"), summary["holed"])
     return kept

@@ -12,6 +12,7 @@ from anemoscope import config
 from anemoscope.errors import ReportError
 from anemoscope.operators import sheets
 from anemoscope.operators.cleaning import FILE, CleanResult, clean, quality_log
+from anemoscope.plans.analysis import analyse
 from anemoscope.plans.report import ReportOptions, finish_report, start_report
 from anemoscope.sources import bundle, csv_scan
 from anemoscope.sources import quality_log as log_table
@@ -152,7 +153,7 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
         )
         print("[ANALYSE]")
         if options.preview:
-            _say_previews(report.results)
+            _say_previews(analyse(report.table, report.rows, workspace))
     with _Stage("export"):
         print("[EXPORT]")
         finish_report(report, result.quality_log, options.report, workspace)

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame
 from anemoscope import config
 from anemoscope.functions.text import col
 from anemoscope.operators import sheets
+from anemoscope.operators.efficiency import efficiency
+from anemoscope.operators.statistics import describe
 from anemoscope.operators.summary import headline_facts, headline_stats, narrative
-from anemoscope.plans.analysis import analyse
+from anemoscope.operators.timeseries import daily_total, monthly_mean
+from anemoscope.operators.wind import wind_bins
 from anemoscope.sources import bundle
 from anemoscope.sources.storage import Workspace
 
@@ -27,11 +30,11 @@ class ReportOptions:
 
 @dataclass(frozen=True)
 class Report:
-    """The started report, its clean table, and what is planned on it."""
+    """A started report: its folder, the clean table and its headline figures."""
 
     path: str
     table: DataFrame
-    results: dict
+    rows: int
     facts: DataFrame
 
 
@@ -57,7 +60,7 @@ def start_report(
         names = {shown_name: name for name, shown_name in config.DISPLAY_HEADERS.items()}
         clean = written.select(*[col(c).alias(names.get(c, c)) for c in written.columns])
     facts = workspace.stage(headline_facts(clean), "headline")
-    return Report(path, clean, analyse(clean, rows, workspace), facts)
+    return Report(path, clean, rows, facts)
 
 
 def finish_report(
@@ -66,38 +69,40 @@ def finish_report(
     """Write the remaining members; the audit member comes last."""
     # Members do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(WRITERS) as pool:
-        staged = pool.map(
-            lambda name: workspace.stage(report.results[name].coalesce(1), name),
-            ("monthly", "daily"),  # one row per period, used several times
+        monthly, daily = pool.map(  # one row per period, used several times
+            lambda resample: workspace.stage(resample(report.table).coalesce(1), "periods"),
+            (monthly_mean, daily_total),
         )
-        monthly, daily = staged
-        members = _members(report, monthly, daily, options)
-        list(
-            pool.map(
-                lambda member: bundle.write_dataset(
-                    members[member], f"{report.path}/{member}", options.fmt
-                ),
-                members,
-            )
+        members = _members(report, monthly, daily, options, workspace)
+        written = pool.map(
+            lambda member: bundle.write_dataset(
+                members[member](), f"{report.path}/{member}", options.fmt
+            ),
+            members,
         )
+        list(written)  # raises what a writer raised
     log = quality_log.orderBy(config.SOURCE_FILE, "step").select(*config.LOG_FIELDS)
     bundle.write_dataset(log, f"{report.path}/data_quality_log", options.fmt)
 
 
-def _members(report, monthly, daily, options) -> dict[str, DataFrame]:
-    curve = sheets.with_display_headers(report.results["efficiency"])
-    if options.sort_rows:
-        curve = curve.orderBy(config.DISPLAY_HEADERS["date_time"])
+def _members(report, monthly, daily, options, workspace) -> dict:
+    """How to plan each member; planning some of them runs a small job."""
+    table, facts = report.table, report.facts
+
+    def power_curve():
+        curve = sheets.with_display_headers(efficiency(table))
+        return curve.orderBy(config.DISPLAY_HEADERS["date_time"]) if options.sort_rows else curve
+
     return {
-        "power_curve_analysis": curve,
-        "charts/theoretical_curve": sheets.theoretical_curve_chart(report.table),
-        "charts/wind_scatter": sheets.scatter_chart(report.table),
-        "charts/wind_scatter_density": sheets.scatter_density(report.table),
-        "summary/stats": report.results["stats"],
-        "summary/narrative": narrative(report.facts, monthly),
-        "summary/headline_stats": headline_stats(report.facts).orderBy("ord"),
-        "trend_analysis": sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
-        "charts/power_trend": sheets.power_trend_chart(daily),
-        "charts/monthly_bar": sheets.monthly_bar_chart(monthly),
-        "wind_bins": report.results["wind_bins"],
+        "power_curve_analysis": power_curve,
+        "charts/theoretical_curve": lambda: sheets.theoretical_curve_chart(table),
+        "charts/wind_scatter": lambda: sheets.scatter_chart(table),
+        "charts/wind_scatter_density": lambda: sheets.scatter_density(table),
+        "summary/stats": lambda: describe(table, rows=report.rows, workspace=workspace),
+        "summary/narrative": lambda: narrative(facts, monthly),
+        "summary/headline_stats": lambda: headline_stats(facts).orderBy("ord"),
+        "trend_analysis": lambda: sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
+        "charts/power_trend": lambda: sheets.power_trend_chart(daily),
+        "charts/monthly_bar": lambda: sheets.monthly_bar_chart(monthly),
+        "wind_bins": lambda: wind_bins(table),
     }
