@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -102,7 +104,8 @@ def report_bundle(spark, sf_dir):
     """A whole batch run; the trend member of the report it wrote."""
     folder = Workspace(spark).path
     options = jobs.JobOptions(ReportOptions(f"{folder}/output"), f"{folder}/log")
-    result = jobs.run_batch(spark, csv_folder(spark, sf_dir, scada_raw), options)
+    with contextlib.redirect_stdout(io.StringIO()):
+        result = jobs.run_batch(spark, csv_folder(spark, sf_dir, scada_raw), options)
     return spark.read.parquet(f"{result.report_path}/trend_analysis")
 
 

@@ -63,8 +63,11 @@ def run_single(
     spark: SparkSession, path: str, options: JobOptions | None = None
 ) -> JobResult:
     """Load, clean, analyse and report one CSV source."""
-    options = options or JobOptions()
-    workspace = Workspace(spark)
+    with Workspace(spark) as workspace:
+        return _single(spark, path, options or JobOptions(), workspace)
+
+
+def _single(spark, path, options, workspace) -> JobResult:
     with _Stage("ingestion"):
         bundle.check_output(spark, [path], options.report.output)
         scan = csv_scan.scan(spark, csv_scan.list_source(spark, path))
@@ -91,8 +94,11 @@ def run_batch(
     All files run in one job keyed by ``source_file``; a file that fails is
     named with its reason and the others go on.
     """
-    options = options or JobOptions()
-    workspace = Workspace(spark)
+    with Workspace(spark) as workspace:
+        return _batch(spark, folder, options or JobOptions(), workspace)
+
+
+def _batch(spark, folder, options, workspace) -> JobResult:
     with _Stage("ingestion"):
         parts = csv_scan.list_sources(spark, folder)
         inputs = sorted({_source_path(part) for part in parts})
@@ -161,7 +167,6 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
         print(f"Report saved → {report.path}")
     good = result.files.filter(F.col("stage").isNull())
     last = good.agg(F.max_by("run_id", FILE)).first()[0]
-    workspace.delete()
     return JobResult(report.path, last, rows)
 
 

@@ -67,8 +67,12 @@ class Workspace:
         table.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
-    def delete(self) -> None:
+    def __enter__(self):
+        return self
+
+    def __exit__(self, kind, error, trace):
         """Remove the staged tables; only for a run whose results are written."""
         file_system(self.spark, self.path).delete(
             hadoop_path(self.spark, self.path), True
         )
+        return False
