@@ -30,6 +30,22 @@ from anemoscope.sources.storage import Workspace
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """The operators for training data and their SQL, where that subpackage is installed."""
+    try:
+        import corpus_pipeline
+        from anemoscope.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").split(".")[0] not in ("anemoscope", "corpus_pipeline"):
+            raise
+        return {}, {}
+    found = dict(llm.QUERIES) | {"pipeline": corpus_pipeline.run}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Headline statistics of the smallest data set."""
     return headline_stats(spark, "/root/testdata/sf0.001")
@@ -38,11 +54,11 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     """Every operator over the whole tables of a data set."""
     keys = {"efficiency_ratio": "efficiency", "quality_log_rows": "quality_log"}
-    return {keys.get(q.__name__, q.__name__): q for q in _QUERIES}
+    return {keys.get(q.__name__, q.__name__): q for q in _QUERIES} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | _training_data()[1]
 
 
 def _rounded(table: DataFrame, digits: int, *names: str) -> DataFrame:
