@@ -1,7 +1,14 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import hyperlang, packing
+from anemoscope.llm import hyperlang, linecrf, packing
 
-QUERIES = {q.__name__: q for q in (packing.op9_packing, hyperlang.op10_language_id)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        linecrf.op2_quality_rules,
+        packing.op9_packing,
+        hyperlang.op10_language_id,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}
