@@ -1,10 +1,11 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import hyperlang, linecrf, packing
+from anemoscope.llm import gapkernel, hyperlang, linecrf, packing
 
 QUERIES = {
     q.__name__: q
     for q in (
+        gapkernel.op1_toxicity,
         linecrf.op2_quality_rules,
         packing.op9_packing,
         hyperlang.op10_language_id,
