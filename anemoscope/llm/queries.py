@@ -1,12 +1,14 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import gapkernel, hyperlang, linecrf, packing
+from anemoscope.llm import gapkernel, hyperlang, linecrf, mixing, packing, sharding
 
 QUERIES = {
     q.__name__: q
     for q in (
         gapkernel.op1_toxicity,
         linecrf.op2_quality_rules,
+        mixing.op3_mixing,
+        sharding.op4_sharding,
         packing.op9_packing,
         hyperlang.op10_language_id,
     )
