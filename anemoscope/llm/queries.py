@@ -1,6 +1,6 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import gapkernel, hyperlang, linecrf, mixing, packing, sharding
+from anemoscope.llm import gapkernel, hyperlang, linecrf, mixing, packing, sharding, spherical
 
 QUERIES = {
     q.__name__: q
@@ -9,6 +9,7 @@ QUERIES = {
         linecrf.op2_quality_rules,
         mixing.op3_mixing,
         sharding.op4_sharding,
+        spherical.op7_embedding_near_dedup,
         packing.op9_packing,
         hyperlang.op10_language_id,
     )
