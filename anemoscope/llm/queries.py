@@ -1,6 +1,6 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import gapkernel, hyperlang, linecrf, mixing, packing, sharding, spherical
+from anemoscope.llm import countrtree, gapkernel, hyperlang, linecrf, mixing, packing, sharding, spherical
 
 QUERIES = {
     q.__name__: q
@@ -10,6 +10,7 @@ QUERIES = {
         mixing.op3_mixing,
         sharding.op4_sharding,
         spherical.op7_embedding_near_dedup,
+        countrtree.op8_ngram_jaccard_join,
         packing.op9_packing,
         hyperlang.op10_language_id,
     )
