@@ -1,6 +1,6 @@
 """Registered queries of the operators, and the SQL of those that SQL can express."""
 
-from anemoscope.llm import countrtree, gapkernel, hyperlang, linecrf, mixing, packing, sharding, spherical, twostage
+from anemoscope.llm import contextmix, countrtree, gapkernel, hyperlang, linecrf, mixing, packing, sharding, spherical, twostage
 
 QUERIES = {
     q.__name__: q
@@ -9,6 +9,7 @@ QUERIES = {
         linecrf.op2_quality_rules,
         mixing.op3_mixing,
         sharding.op4_sharding,
+        contextmix.op5_lm_scoring,
         twostage.op6_suffix_array_dedup,
         spherical.op7_embedding_near_dedup,
         countrtree.op8_ngram_jaccard_join,
