@@ -172,18 +172,21 @@ def exact_bundle(vectors: Vectors, grams: np.ndarray, counts: np.ndarray) -> np.
     return total
 
 
-def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` to ``doc_id`` and the other columns of ``docs``.
+def predict(
+    docs: DataFrame, profiles: Profiles, added: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """Adds the language and the score, under the names ``added``, to the rows of ``docs``.
 
     The score is the cosine, from 0 to 1. A null text, a text without letters and any
     text when no language was learned give ``und`` with score 0; equal cosines give
-    the first language by name. Columns of these two names are replaced.
+    the first language by name. ``docs`` needs ``text``; its columns of the added names
+    are replaced. Repeated rows give repeated results, an empty table none.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(*added)
     names = docs.columns
     schema = docs.select(
         *(F.col(f"`{n}`") for n in names),
-        F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"),
+        F.lit("").alias(added[0]), F.lit(0.0).alias(added[1]),
     ).schema
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -205,7 +208,7 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
                     scores.append(float(min(1.0, max(0.0, cosines[best]))))
             yield pa.RecordBatch.from_arrays(
                 [*whole.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names, "lang_pred", "score"],
+                names=[*names, *added],
             )
 
     return docs.mapInArrow(run, schema)

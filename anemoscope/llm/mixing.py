@@ -130,39 +130,42 @@ def mix(docs: DataFrame, target: Target, staging: common.Staging) -> tuple[DataF
     plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
     plan = staging.stage(plan, "plan")
     sources = plan.count()
-    lookup = plan.select(F.col("source").alias("__source"), "blocks", "whole", "rest")
+    lookup = plan.select(
+        F.col("source").alias("__source"),
+        *[F.col(c).alias(f"__{c}") for c in ("blocks", "whole", "rest")],
+    )
     if sources <= MOST_BROADCAST:
         lookup = F.broadcast(lookup)
-    any_pass = (F.col("whole") > 0) | (F.col("rest") > 0)
-    last = F.col("whole") - F.when(F.col("rest") > 0, 0).otherwise(1)
+    any_pass = (F.col("__whole") > 0) | (F.col("__rest") > 0)
+    last = F.col("__whole") - F.when(F.col("__rest") > 0, 0).otherwise(1)
     passes = F.when(any_pass, F.sequence(F.lit(0).cast("long"), last))
     rows = hashed.join(lookup, "__source").withColumn("__pass", F.explode(passes))
     rows = rows.withColumns({
         "__block": F.pmod(
-            F.xxhash64(F.lit(target.seed), "doc_id", F.length("text")), F.col("blocks")
+            F.xxhash64(F.lit(target.seed), "doc_id", F.length("text")), F.col("__blocks")
         ),
         "__hash": F.xxhash64(F.lit(target.seed), "__pass", "doc_id", "text"),
     })
     rows = rows.withColumn(
         "__place", F.xxhash64(F.lit(target.seed), "__pass", "__source", "__block")
     )
-    cut = F.col("__pass") == F.col("whole")
+    cut = F.col("__pass") == F.col("__whole")
     sizes = rows.where(cut).groupBy("__source", "__block", "__place").agg(
-        F.sum("__tokens").alias("block_tokens"), F.first("rest").alias("rest")
+        F.sum("__tokens").alias("block_tokens"), F.first("__rest").alias("rest")
     )
     before = W.partitionBy("__source").orderBy("__place", "__block").rowsBetween(
         W.unboundedPreceding, -1
     )
     begins = sizes.withColumn("begin", F.coalesce(F.sum("block_tokens").over(before), F.lit(0)))
-    begins = begins.select("__source", "__block", (F.col("rest") - F.col("begin")).alias("room"))
-    begins = begins.where("room > 0")
+    begins = begins.select("__source", "__block", (F.col("rest") - F.col("begin")).alias("__room"))
+    begins = begins.where("__room > 0")
     whole = rows.where(~cut)
     partial = rows.where(cut).join(begins, ["__source", "__block"])
     in_block = W.partitionBy("__source", "__block").orderBy("__hash", "doc_id").rowsBetween(
         W.unboundedPreceding, -1
     )
     partial = partial.withColumn("__begin", F.coalesce(F.sum("__tokens").over(in_block), F.lit(0)))
-    partial = partial.where(F.col("__begin") < F.col("room")).drop("room", "__begin")
+    partial = partial.where(F.col("__begin") < F.col("__room")).drop("__room", "__begin")
     names = [F.col(f"`{c}`") for c in docs.columns]
     kept = ["__pass", "__tokens", "__block", F.col("__hash").alias("__order")]
     taken = whole.select(*names, *kept).unionByName(partial.select(*names, *kept))

@@ -195,13 +195,13 @@ class Anchors:
         self.hash = least[self.first]
 
 
-def _ordered(table: pa.Table) -> tuple[list, list[bytes]]:
-    """Documents of a chunk in an order that every step repeats."""
-    rows = sorted(
-        zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True),
-        key=lambda r: (LAST if r[0] is None else r[0], r[1] or ""),
+def _ordered(table: pa.Table) -> tuple[list, list[bytes], list[int]]:
+    """Documents of a chunk in an order that every step repeats, and their rows."""
+    ids, texts = table.column("doc_id").to_pylist(), table.column("text").to_pylist()
+    order = sorted(
+        range(len(ids)), key=lambda n: (LAST if ids[n] is None else ids[n], texts[n] or "")
     )
-    return [i for i, _ in rows], [(t or "").encode() for _, t in rows]
+    return [ids[n] for n in order], [(texts[n] or "").encode() for n in order], order
 
 
 def _ids(ids: list) -> np.ndarray:
@@ -239,7 +239,7 @@ def _runs(ids: np.ndarray, anchors: list[Anchors]):
 def _send_keys(width: int, parts: int):
     def run(key, table):
         """Distinct anchors of a chunk with the smallest and largest document of each."""
-        ids, texts = _ordered(table)
+        ids, texts, _ = _ordered(table)
         hashes, _, _, _, owner = _runs(_ids(ids), [Anchors(t, width) for t in texts])
         order = np.lexsort((owner, hashes))
         hashes, owner = hashes[order], owner[order]
@@ -286,7 +286,7 @@ class Shared:
     """The anchors of a chunk that several documents have, and the stretches around them."""
 
     def __init__(self, table: pa.Table, keys: list[bytes], width: int):
-        self.ids, self.texts = _ordered(table)
+        self.ids, self.texts, self.rows = _ordered(table)
         shared = np.sort(np.frombuffer(b"".join(keys), np.uint64))
         owner = _ids(self.ids)
         anchors = []
@@ -402,19 +402,36 @@ def _find_repeats(width: int):
 SPANS = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
     ("n_spans", pa.int64()), ("kept", pa.binary()), ("starts", pa.list_(pa.int64())),
-    ("ends", pa.list_(pa.int64())), ("row", pa.int64()),
+    ("ends", pa.list_(pa.int64())),
 ])
 SPANS_DDL = (
     "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, "
-    "starts array<bigint>, ends array<bigint>, row bigint"
+    "starts array<bigint>, ends array<bigint>"
 )
 
 
-def _remove(width: int, parts: int):
+def whole_characters(data: bytes, starts: list[int], ends: list[int]):
+    """Spans of UTF-8 bytes narrowed so that they cut no character."""
+    inside = lambda n: n < len(data) and data[n] & 0xC0 == 0x80
+    out = []
+    for i, j in zip(starts, ends, strict=True):
+        while inside(i):
+            i += 1
+        while inside(j):
+            j -= 1
+        if i < j:
+            out.append((i, j))
+    return [i for i, _ in out], [j for _, j in out]
+
+
+def _remove(width: int, parts: int, characters: bool, carried: list[str]):
     def run(key, left, right):
         """Drop the bytes of the marked windows of every document of a chunk."""
         if not left.num_rows:
-            return pa.table([pa.array([], f.type) for f in SPANS], schema=SPANS)
+            empty = pa.table([pa.array([], f.type) for f in SPANS], schema=SPANS)
+            for name in carried:
+                empty = empty.append_column(name, pa.array([], left.schema.field(name).type))
+            return empty
         kinds = right.column("kind").to_pylist()
         blobs = _blob(right.column("keys"))
         where = right.column("part").to_pylist()
@@ -446,6 +463,8 @@ def _remove(width: int, parts: int):
                 breaks = np.flatnonzero(at[1:] > at[:-1] + width)
                 starts = at[np.append(0, breaks + 1)].tolist()
                 ends = (at[np.append(breaks, len(at) - 1)] + width).tolist()
+            if characters:
+                starts, ends = whole_characters(data, starts, ends)
             kept, last = [], 0
             for i, j in zip(starts, ends, strict=True):
                 kept.append(data[last:i])
@@ -453,18 +472,29 @@ def _remove(width: int, parts: int):
             kept.append(data[last:])
             rest = b"".join(kept)
             rows.append((
-                shared.ids[n], len(data), len(data) - len(rest), len(starts), rest, starts, ends, n,
+                shared.ids[n], len(data), len(data) - len(rest), len(starts), rest, starts, ends,
             ))
         columns = map(list, zip(*rows, strict=True))
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, SPANS, strict=True)], schema=SPANS)
+        out = pa.table([pa.array(c, f.type) for c, f in zip(columns, SPANS, strict=True)], schema=SPANS)
+        for name in carried:
+            out = out.append_column(name, left.column(name).take(pa.array(shared.rows)))
+        return out
 
     return run
 
 
-def deduplicate(docs: DataFrame, staging: common.Staging, width: int = WIDTH) -> DataFrame:
+def deduplicate(
+    docs: DataFrame,
+    staging: common.Staging,
+    width: int = WIDTH,
+    characters: bool = False,
+    carry: bool = False,
+) -> DataFrame:
     """Every row of ``docs`` with its removed spans and the ``kept`` bytes.
 
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Gives ``doc_id``,
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, or with ``carry``
+    returned in a struct ``carried``. With ``characters`` a character goes only if all its
+    bytes do. Gives ``doc_id``,
     ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``, and ``starts`` and ``ends`` of the
     maximal removed runs in the UTF-8 bytes of the text. Null is an empty text. A null id
     counts as after all others. Rows with the same id don't take bytes from each other, so
@@ -474,10 +504,8 @@ def deduplicate(docs: DataFrame, staging: common.Staging, width: int = WIDTH) ->
         raise ValueError("width must be from 8 to 62 bytes")
     size = common.text_bytes(docs)
     chunks, parts = common.chunks_for(size, PER_CHUNK), common.chunks_for(size, PER_PART)
-    rows = docs.select(
-        F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(chunks)).alias("chunk"), "doc_id", "text"
-    )
-    by_chunk = rows.groupBy("chunk")
+    chunk = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(chunks)).alias("chunk")
+    by_chunk = docs.select(chunk, "doc_id", "text").groupBy("chunk")
     keys = by_chunk.applyInArrow(_send_keys(width, parts), PART_DDL)
     shared = staging.stage(keys.groupBy("part").applyInArrow(_shared_keys, PART_DDL), "anchors")
     sent = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(
@@ -488,7 +516,19 @@ def deduplicate(docs: DataFrame, staging: common.Staging, width: int = WIDTH) ->
     answers = shared.select("chunk", "part", "keys", F.lit("anchor").alias("kind")).unionByName(
         masks.select("chunk", "part", "keys", F.lit("mask").alias("kind"))
     )
-    return by_chunk.cogroup(answers.groupBy("chunk")).applyInArrow(_remove(width, parts), SPANS_DDL)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
+    names = [f"c{n}" for n in range(len(others))]
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)]
+    whole = docs.select(chunk, "doc_id", "text", *columns)
+    kinds = dict(whole.dtypes)
+    schema = ", ".join([SPANS_DDL, *(f"{n} {kinds[n]}" for n in names)])
+    found = whole.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _remove(width, parts, characters, names), schema
+    )
+    if not carry:
+        return found
+    back = F.struct(*[F.col(n).alias(c) for c, n in zip(others, names, strict=True)]) if others else F.lit(None)
+    return found.withColumn("carried", back).drop(*names)
 
 
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
