@@ -141,7 +141,7 @@ def near_duplicates(
         "first": F.least("block", "other"), "second": F.greatest("block", "other"),
     }).drop("other", "blocks")
 
-    def compare(key, part: pd.DataFrame) -> pd.DataFrame:
+    def compare(key, part):
         """Links between two blocks: weighted counts, and a spanning link for every point."""
         first, second = key[3], key[4]
         part = part.sort_values(["vec", "vec2"], ignore_index=True)
