@@ -13,11 +13,15 @@ def database():
     return connect(SF)
 
 
+#: Queries of operators for training data are tested with their subpackage.
+OWN = sorted(set(registry.queries()) - set(registry._training_data()[0]))
+
+
 def test_every_query_has_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(OWN) <= set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, database, name):
     found = registry.queries()[name](spark, SF).toArrow()
     expected = database.sql(registry.oracle_sql()[name]).to_arrow_table()
