@@ -18,4 +18,107 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_COMPONENTS = """
+reach(a, b) AS (
+    SELECT id, id FROM nodes
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+),
+component AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+"""
+
+_OP6 = """
+WITH texts AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
+        octet_length(encode(coalesce(text, ''))) AS n_bytes
+    FROM documents
+),
+windows AS (SELECT doc_id, h, unnest(range(n_bytes - 49)) AS p FROM texts WHERE n_bytes >= 50),
+marked AS (
+    SELECT doc_id, p FROM (
+        SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) AS low
+        FROM windows
+    ) WHERE low < doc_id
+),
+breaks AS (
+    SELECT doc_id, p,
+        coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS fresh
+    FROM marked
+),
+numbered AS (
+    SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM breaks
+),
+spans AS (
+    SELECT doc_id, span, min(p) AS s, max(p) + 50 AS e FROM numbered GROUP BY doc_id, span
+),
+pieces AS (
+    SELECT doc_id, s, e, e - s AS size,
+        coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before
+    FROM spans
+),
+kept AS (
+    SELECT t.doc_id, sum(size)::BIGINT AS n_removed, count(*) AS n_spans,
+        string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s)
+            || substr(any_value(h), 2 * max(e) + 1) AS rest
+    FROM pieces p JOIN texts t ON t.doc_id = p.doc_id GROUP BY t.doc_id
+)
+SELECT t.doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+_OP7 = f"""
+WITH RECURSIVE nodes AS (
+    SELECT vec_id AS id, label, embedding::DOUBLE[] AS v,
+        label IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+            AND len([x for x in embedding if x <> 0]) > 0 AS good
+    FROM embeddings
+),
+links AS (
+    SELECT x.id AS a, y.id AS b FROM nodes x JOIN nodes y ON x.label = y.label AND x.id <> y.id
+    WHERE x.good AND y.good AND len(x.v) = len(y.v)
+        AND list_dot_product(x.v, y.v)
+            / (sqrt(list_dot_product(x.v, x.v)) * sqrt(list_dot_product(y.v, y.v))) >= 0.98
+),
+{_COMPONENTS},
+counted AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT c.id AS vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, c.id = component_id AS kept
+FROM component c LEFT JOIN counted n ON n.id = c.id
+"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP8 = rf"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)
+    UNION ALL
+    SELECT doc_id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND 2
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+    SELECT s.a, s.b FROM shared s JOIN sizes x ON x.doc_id = s.a JOIN sizes y ON y.doc_id = s.b
+    WHERE 100 * s.n >= 90 * (x.n + y.n - s.n)
+),
+nodes AS (SELECT doc_id AS id FROM words),
+{_COMPONENTS}
+SELECT c.id AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM component c LEFT JOIN sizes s ON s.doc_id = c.id
+"""
+
+#: The others have hashes, models or tokenizers that SQL lacks; tests use brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op6_suffix_array_dedup": _OP6,
+    "op7_embedding_near_dedup": _OP7,
+    "op8_ngram_jaccard_join": _OP8,
+}
