@@ -15,7 +15,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles
 from anemoscope import config
-from anemoscope.functions.numbers import round_half_even
 from anemoscope.functions.text import na_to_null
 from anemoscope.operators import (
     cleaning, efficiency, sheets, statistics, summary, timeseries, wind,
@@ -87,19 +86,21 @@ def load_counts(spark, sf_dir):
     scan = _csv_scan(spark, sf_dir)
     widths = spark.createDataFrame(list(scan.columns.items()), f"{FILE} string, columns bigint")
     rows = scan.rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.join(F.broadcast(widths), FILE)
+    return rows.join(widths, FILE)
 
 
 def schema_check(spark, sf_dir):
     parts = csv_scan.list_sources(spark, csv_folder(spark, sf_dir, scada_raw))
-    headers = {part.source: csv_scan.read_header(spark, part.path) for part in parts}
+    missing = {}
+    for part in csv_scan.with_headers(spark, parts):
+        missing.setdefault(part.source, set()).update(csv_scan.missing_columns(part.header))
     checked = [
-        (name, csv_scan.schema_message(header) is None, ", ".join(csv_scan.missing_columns(header)))
-        for name, header in headers.items()
+        (name, not absent, ", ".join(c for c in config.COLUMNS if c in absent))
+        for name, absent in missing.items()
     ]
     checked = spark.createDataFrame(checked, f"{FILE} string, valid boolean, missing string")
     rows = csv_scan.scan(spark, parts).rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.join(F.broadcast(checked), FILE)
+    return rows.join(checked, FILE)
 
 
 def _clean_folder(spark, sf_dir, view):
@@ -186,6 +187,11 @@ def parse_ts_fallback(spark, sf_dir):
     return parsed.select(FILE, "date_time", cleaning.DATE_FORMAT, "wind_direction")
 
 
+def parse_ts_forms(spark, sf_dir):
+    """The forms that spreadsheets write, each over part of the orders."""
+    return cleaning.parse_dates(adapter.scada_date_forms(spark, sf_dir))
+
+
 def clean_table(spark, sf_dir):
     return cleaning.clean(scada_raw(spark, sf_dir)).table
 
@@ -347,7 +353,7 @@ _QUERIES = [
     scan_csv, na_tokens, load_counts, schema_check, batch_union, skipped_files,
     report_bundle, dedup_rows, duplicate_count, coerce_numeric, coercion_counts,
     drop_critical, null_counts, median_fill, median_by_brackets,
-    parse_ts_strict, parse_ts_fallback, clean_table, clean_counts,
+    parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_counts,
     quality_log_rows, quality_log_for_run, describe_stats,
     describe_by_brackets, operational_rows, efficiency_excluded,
     efficiency_ratio, monthly_mean, monthly_mean_gaps, daily_total,

@@ -20,6 +20,8 @@ RAW_HEADERS = {name: raw for raw, name in COLUMNS.items()}
 METRICS = ["active_power", "wind_speed", "theoretical_power", "wind_direction"]
 MEDIAN_FILLED = ["wind_speed", "theoretical_power", "wind_direction"]
 SOURCE_FILE = "source_file"
+# Columns that operators add to rows that still have a file's extra columns.
+OWN_COLUMNS = {"efficiency_ratio"}
 
 # --- Fixed values: tokens read as missing -------------------------------------
 NA_TOKENS = [
@@ -33,17 +35,27 @@ NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?))\s*$"
 INTEGER = r"^\s*[+-]?\d+\s*$"
 BOOLEANS = ["True", "TRUE", "true", "False", "FALSE", "false"]
 
-DATE_FORMAT = "%Y-%m-%d %H:%M:%S"
 PADDED_DATE = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
 STRICT_DATE = (
     r"^\d{4}-(1[0-2]|0?[1-9])-(3[01]|[12]\d|0?[1-9])"
     r"\s+(2[0-3]|[01]?\d):[0-5]?\d:[0-5]?\d$"
 )
-CLOCK = r"(?:(?:\s+|T)(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?\s*$"
+CLOCK = r"(?:(?:\s+|T)(\d{1,2})(?::(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?)?\s*$"
 YEAR_FIRST_DATE = r"^\s*(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})" + CLOCK
 MONTH_FIRST_DATE = r"^\s*(1[0-2]|0?[1-9])[-/. ](\d{1,2})[-/. ](\d{4})" + CLOCK
 DAY_FIRST_DATE = r"^\s*(\d{1,2})[-/. ](1[0-2]|0?[1-9])[-/. ](\d{4})" + CLOCK
 
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTH = (
+    r"(?i:(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
+    r"(?:uary|ruary|ch|il|e|y|ust|tember|t|ober|ember)?)"
+)
+MERIDIEM = r"(?i)(\d)\s*([ap])m\s*$"
+NAME_SECOND = r"^\s*(\d{1,2})[-/ .]+" + _MONTH + r"[-/ .,]+(\d{4}|\d{2})(\D.*)?$"
+NAME_FIRST = r"^\s*" + _MONTH + r"[-/ .]+(\d{1,2})(?:,\s*|[-/ .]+)(\d{4}|\d{2})(\D.*)?$"
+COMPACT = r"^\s*(\d{4})(\d\d)(\d\d)(?:[ T]*(\d\d):?(\d\d):?(\d\d)?)?\s*$"
+SHORT_YEAR = r"^\s*(\d{1,2})([-/.])(\d{1,2})[-/.](\d{2})(\D.*)?$"
+
 # Timestamps outside this range do not fit 64-bit nanoseconds and are rejected.
 EARLIEST = "1677-09-21 00:12:43.145225"
 LATEST = "2262-04-11 23:47:16.854775"

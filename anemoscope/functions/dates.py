@@ -1,5 +1,7 @@
 """Timestamps out of text. All results are TIMESTAMP_NTZ."""
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,61 @@ def is_strict(text: Column) -> Column:
     return text.rlike(config.STRICT_DATE)
 
 
+def meridiem(text: Column) -> Column:
+    """``a`` or ``p`` of a clock of twelve hours, else empty."""
+    return F.lower(F.regexp_extract(text, config.MERIDIEM, 2))
+
+
+def in_numbers(text: Column, year: int | None = None) -> Column:
+    """A date with a month's name, a short year or no separators in a form of numbers.
+
+    Whatever else is written stays as it is, without AM or PM. A year of two digits lies
+    less than fifty years after ``year``, by default the present one, or before it.
+    """
+    now = year or date.today().year
+    text = F.regexp_replace(text, config.MERIDIEM, "$1")
+
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    def full(digits: Column) -> Column:
+        value = digits.cast("int") + now // 100 * 100
+        near = value - F.when(value >= now + 50, 100).when(value < now - 50, -100).otherwise(0)
+        return F.when(F.length(digits) == 2, near.cast("string")).otherwise(digits)
+
+    def named(pattern: str, month: int, day: int) -> Column:
+        place = F.instr(F.lit(config.MONTHS), F.lower(part(pattern, month)))
+        number = ((place + 2) / 3).cast("int").cast("string")
+        return F.concat(
+            full(part(pattern, 3)), F.lit("-"), number, F.lit("-"), part(pattern, day),
+            part(pattern, 4),
+        )
+
+    compact = F.regexp_replace(text, config.COMPACT, "$1-$2-$3 $4:$5:$6")
+    second, first, short = config.NAME_SECOND, config.NAME_FIRST, config.SHORT_YEAR
+    return (
+        F.when(text.rlike(second), named(second, 2, 1))
+        .when(text.rlike(first), named(first, 1, 2))
+        .when(
+            text.rlike(short),
+            F.concat(
+                part(short, 1), part(short, 2), part(short, 3), part(short, 2),
+                full(part(short, 4)), part(short, 5),
+            ),
+        )
+        .when(text.rlike(config.COMPACT), F.regexp_replace(compact, "[ :]+$", ""))
+        .otherwise(text)
+    )
+
+
+def on_twelve_hours(moment: Column, half: Column) -> Column:
+    """A moment read from a clock of twelve hours; NULL where the hour is beyond it."""
+    hour = F.hour(moment)
+    shift = F.when((half == "p") & (hour < 12), 12).when((half == "a") & (hour == 12), -12)
+    moved = moment + F.make_dt_interval(F.lit(0), F.coalesce(shift, F.lit(0)))
+    return F.when(half == "", moment).when(hour <= 12, moved)
+
+
 def iso_text(text: Column, dayfirst: bool = False) -> Column:
     """A date in any known form rewritten to the ISO form, else NULL.
 
@@ -31,7 +88,8 @@ def iso_text(text: Column, dayfirst: bool = False) -> Column:
     for pattern, order in [year_first, *year_last]:
         written = written.when(text.rlike(pattern), F.regexp_replace(text, pattern, order))
     no_clock = F.regexp_replace(written, " ::$", "")
-    return F.regexp_replace(no_clock, ":$", ":00")  # no seconds
+    no_minutes = F.regexp_replace(no_clock, "::$", ":00:00")
+    return F.regexp_replace(no_minutes, ":$", ":00")  # no seconds
 
 
 def in_range(moment: Column) -> Column:

@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from anemoscope import config
-from anemoscope.functions.dates import in_range, is_padded, is_strict, iso_text
+from anemoscope.functions.dates import (
+    in_numbers, in_range, is_padded, is_strict, iso_text, meridiem, on_twelve_hours,
+)
 from anemoscope.functions.numbers import integer, number
 from anemoscope.functions.text import col
 from anemoscope.operators.lookup import attach
@@ -157,8 +159,11 @@ def parse_dates(table: DataFrame, dayfirst: bool = False) -> DataFrame:
     stepwise = (
         table.withColumn("__text", F.col("date_time").cast("string"))
         .withColumn("__padded", is_padded(text))
-        .withColumn("__iso", F.when(padded, text).otherwise(iso_text(text, dayfirst)))
-        .withColumn("__moment", F.col("__iso").try_cast("timestamp_ntz"))
+        .withColumn("__half", F.when(padded, "").otherwise(meridiem(text)))
+        .withColumn("__plain", F.when(padded | is_strict(text), text).otherwise(in_numbers(text)))
+        .withColumn("__iso", F.when(padded, text).otherwise(iso_text(F.col("__plain"), dayfirst)))
+        .withColumn("__read", F.col("__iso").try_cast("timestamp_ntz"))
+        .withColumn("__moment", on_twelve_hours(F.col("__read"), F.col("__half")))
         .withColumn("date_time", in_range(F.col("__moment")))
     )
     understood = (
@@ -168,7 +173,7 @@ def parse_dates(table: DataFrame, dayfirst: bool = False) -> DataFrame:
         .otherwise("flexible")
     )
     parsed = stepwise.withColumn(DATE_FORMAT, understood)
-    return parsed.drop("__text", "__padded", "__iso", "__moment")
+    return parsed.drop("__text", "__padded", "__half", "__plain", "__iso", "__read", "__moment")
 
 
 # --- Missing values --------------------------------------------------------------

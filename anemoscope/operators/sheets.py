@@ -12,9 +12,29 @@ SPEED_CELL = 0.1
 POWER_CELL = 10.0
 
 
+def display_names(columns: list[str]) -> list[str]:
+    """Display names of known columns; others keep their own unless it is one of those,
+    in any case, and then get a numbered suffix."""
+    known = {c: config.DISPLAY_HEADERS[c] for c in columns if c in config.DISPLAY_HEADERS}
+    taken = {name.lower() for name in known.values()} | {
+        c.lower() for c in columns if c not in known
+    }
+    shown = {name.lower() for name in known.values()}
+    names = []
+    for column in columns:
+        name, repeat = known.get(column, column), 0
+        if column not in known and column.lower() in shown:
+            while name.lower() in taken:
+                repeat += 1
+                name = f"{column}.{repeat}"
+            taken.add(name.lower())
+        names.append(name)
+    return names
+
+
 def with_display_headers(table: DataFrame) -> DataFrame:
-    """Known columns under their display names; others keep their own."""
-    return table.withColumnsRenamed(config.DISPLAY_HEADERS)
+    """The table under its display names."""
+    return table.toDF(*display_names(table.columns))
 
 
 def trend_sheet(monthly: DataFrame, daily: DataFrame) -> DataFrame:

@@ -64,6 +64,27 @@ def scada_mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_copies(_raw_rows(spark, sf_dir, date))
 
 
+DATE_FORMS = [
+    "M/d/yyyy h:mm:ss a", "MM/dd/yy HH:mm", "dd MMM yyyy HH:mm", "yyyyMMdd HH:mm:ss",
+    "yyyy-MM-dd HH", "MMMM d, yyyy HH:mm", "dd-MMM-yyyy HH:mm:ss", "yyyyMMdd",
+]
+
+
+def scada_date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates as spreadsheets and other programs write them, one form per order."""
+    moment = (
+        "cast(l_shipdate AS timestamp_ntz)"
+        " + make_dt_interval(0, cast(l_orderkey % 24 AS int), cast(l_linenumber * 7 AS int))"
+    )
+    forms = "".join(
+        f" WHEN {n} THEN date_format({moment}, '{form}')" for n, form in enumerate(DATE_FORMS)
+    )
+    return lineitem(spark, sf_dir).selectExpr(
+        "l_orderkey", "l_linenumber",
+        f"CASE l_orderkey % {len(DATE_FORMS)}{forms} END AS date_time",
+    )
+
+
 def scada_na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text in which every missing-value token turns up as a wind speed."""
     tokens = F.array(*[F.lit(token) for token in config.NA_TOKENS])

@@ -14,7 +14,7 @@ from anemoscope.operators import sheets
 from anemoscope.operators.cleaning import FILE, CleanResult, clean, quality_log
 from anemoscope.plans.analysis import analyse
 from anemoscope.plans.report import ReportOptions, finish_report, start_report
-from anemoscope.sources import bundle, csv_scan
+from anemoscope.sources import bundle, csv_scan, storage
 from anemoscope.sources import quality_log as log_table
 from anemoscope.sources.csv_scan import Scan
 from anemoscope.sources.storage import Workspace
@@ -69,7 +69,7 @@ def run_single(
 
 def _single(spark, path, options, workspace) -> JobResult:
     with _Stage("ingestion"):
-        bundle.check_output(spark, [path], options.report.output)
+        bundle.check_output(spark, [path], options.report.output, options.log)
         scan = csv_scan.scan(spark, csv_scan.list_source(spark, path))
         for reason in scan.rejected.values():
             raise ReportError(reason, "load")
@@ -102,7 +102,7 @@ def _batch(spark, folder, options, workspace) -> JobResult:
     with _Stage("ingestion"):
         parts = csv_scan.list_sources(spark, folder)
         inputs = sorted({_source_path(part) for part in parts})
-        bundle.check_output(spark, inputs, options.report.output)
+        bundle.check_output(spark, inputs, options.report.output, options.log)
         print(f"[BATCH] Found {len(inputs)} CSV file(s) in {folder}")
         scan = csv_scan.scan(spark, parts)
     if scan.rows is None:
@@ -151,6 +151,8 @@ def _clean(spark, scan: Scan, options: JobOptions, workspace: Workspace) -> Clea
 def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> JobResult:
     with _Stage("export"):
         report = start_report(table, rows, options.report, workspace)
+        # The cleaning is final now; its log survives a failure of a later member.
+        log_table.append(result.quality_log, options.log)
     with _Stage("analysis"):
         excluded = report.facts.first()["excluded_rows"]
         print(
@@ -163,7 +165,6 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
     with _Stage("export"):
         print("[EXPORT]")
         finish_report(report, result.quality_log, options.report, workspace)
-        log_table.append(result.quality_log, options.log)  # last: a retry adds no second copy
         print(f"Report saved → {report.path}")
     good = result.files.filter(F.col("stage").isNull())
     last = good.agg(F.max_by("run_id", FILE)).first()[0]
@@ -224,6 +225,7 @@ def main(arguments: list[str] | None = None) -> None:
             .config("spark.sql.session.timeZone", "UTC")
             .getOrCreate()
         )
+        storage.set_partitions(spark, chosen.file or chosen.folder)
         options = JobOptions(
             ReportOptions(chosen.output, chosen.format, chosen.sort),
             chosen.log, chosen.dayfirst, chosen.preview, chosen.flag_skipped,

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from anemoscope import config
-from anemoscope.functions.text import col
 from anemoscope.operators import sheets
 from anemoscope.operators.efficiency import efficiency
 from anemoscope.operators.statistics import describe
@@ -57,8 +56,7 @@ def start_report(
     path = bundle.claim(options.output, "clean_data", shown, options.fmt, day)
     if options.fmt == "parquet":
         written = clean.sparkSession.read.schema(shown.schema).parquet(f"{path}/clean_data")
-        names = {shown_name: name for name, shown_name in config.DISPLAY_HEADERS.items()}
-        clean = written.select(*[col(c).alias(names.get(c, c)) for c in written.columns])
+        clean = written.toDF(*clean.columns)  # by position: names may be alike but for case
     facts = workspace.stage(headline_facts(clean), "headline")
     return Report(path, clean, rows, facts)
 

@@ -12,14 +12,20 @@ from anemoscope.sources import storage
 FORMATS = ("parquet", "csv")
 
 
-def check_output(spark: SparkSession, inputs: list[str], output: str) -> None:
-    """Refuse to write onto, or inside, anything that is read."""
-    target = storage.qualified(spark, output)
-    for path in inputs:
-        source = storage.qualified(spark, path)
-        if target == source or target.startswith(source + "/"):
+def check_output(spark: SparkSession, inputs: list[str], output: str, log: str | None = None) -> None:
+    """Refuse to write onto, or inside, anything that is read, or log into a report."""
+    pairs = [(place, path, "input") for place in (output, log) if place for path in inputs]
+    if log:
+        # Reports are folders of their own in the output folder; the log may stand beside them.
+        pairs.append((log, f"{output}/report_", "report"))
+        if storage.qualified(spark, log) == storage.qualified(spark, output):
+            raise ReportError(f"Error: The log path {log} is the output path", "export")
+    for place, path, kind in pairs:
+        target, source = storage.qualified(spark, place), storage.qualified(spark, path)
+        inside = target.startswith(source if kind == "report" else source + "/")
+        if target == source or inside:
             raise ReportError(
-                f"Error: The output path {output} lies inside the input {path}", "export"
+                f"Error: The output path {place} lies inside the {kind} {path}", "export"
             )
 
 

@@ -8,8 +8,9 @@ column orders; every distinct header is one scan.
 import csv
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +33,7 @@ class Part:
     path: str
     in_folder: bool
     header: tuple = ()
+    problem: str | None = None  # why it could not be read
 
 
 @dataclass(frozen=True)
@@ -70,11 +72,12 @@ def _parts(fs, status) -> list[Part]:
     if not status.isDirectory():
         return [Part(name, status.getPath().toString(), False)]
     inner = [s.getPath() for s in fs.listStatus(status.getPath()) if s.isFile()]
-    return [
+    parts = [
         Part(name, path.toString(), True)
         for path in inner
         if not path.getName().startswith(("_", "."))
     ]
+    return parts or [Part(name, f"{status.getPath()}/", True, problem="The folder has no files")]
 
 
 def read_header(spark: SparkSession, path: str) -> tuple:
@@ -109,10 +112,10 @@ def schema_message(header: tuple) -> str | None:
 
 def scan(spark: SparkSession, parts: list[Part]) -> Scan:
     """Read sources by header layout; reject those without a usable header."""
-    parts = _with_headers(spark, parts)
+    parts = with_headers(spark, parts)
     rejected = {}
     for part in parts:
-        reason = _header_problem(part)
+        reason = header_problem(part)
         if reason:
             rejected.setdefault(part.source, reason)
     usable = [part for part in parts if part.source not in rejected]
@@ -125,24 +128,38 @@ def scan(spark: SparkSession, parts: list[Part]) -> Scan:
         rows = layout if rows is None else rows.unionByName(
             layout, allowMissingColumns=True
         )
-    columns = {part.source: len(part.header) for part in usable}
+    columns = {}
+    for part in usable:  # the widest of a folder's parts
+        columns[part.source] = max(columns.get(part.source, 0), len(part.header))
     return Scan(_ordered(rows), columns, rejected)
 
 
-def _with_headers(spark: SparkSession, parts: list[Part]) -> list[Part]:
-    """Headers are file metadata: one short read per file, many at a time."""
+def with_headers(spark: SparkSession, parts: list[Part]) -> list[Part]:
+    """Headers are file metadata: one short read per file, many at a time.
+
+    A file that cannot be read, or whose header is no CSV, keeps its own problem.
+    """
+
+    def read(part: Part) -> Part:
+        if part.problem:
+            return part
+        try:
+            return replace(part, header=read_header(spark, part.path))
+        except Py4JJavaError as error:
+            cause = error.java_exception
+            return replace(part, problem=f"{cause.getClass().getSimpleName()}: {cause.getMessage()}")
+        except csv.Error as error:
+            return replace(part, problem=str(error))
+
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = pool.map(lambda part: read_header(spark, part.path), parts)
-        return [
-            Part(part.source, part.path, part.in_folder, header)
-            for part, header in zip(parts, headers)
-        ]
+        return list(pool.map(read, parts))
 
 
-def _header_problem(part: Part) -> str | None:
-    if not part.header:
+def header_problem(part: Part) -> str | None:
+    """Why a part with its header cannot be loaded, or None."""
+    if part.problem or not part.header:
         return config.UNREADABLE_FILE.format(
-            path=part.path, reason="No columns to parse from file"
+            path=part.path, reason=part.problem or "No columns to parse from file"
         )
     return schema_message(part.header)
 
@@ -156,14 +173,15 @@ def _canonical(raw: str) -> str:
 def column_names(header: tuple) -> list[str]:
     """Unique names: the five known columns renamed, repeats numbered.
 
-    An extra column that would hide one of the package's own names, or repeat
-    an earlier column, gets a numbered suffix.
+    An extra column that would hide one of the package's own names, begins like its
+    helper columns, or repeats an earlier column, gets a numbered suffix.
     """
     names = []
     taken = {name.lower() for name in config.COLUMNS.values()}
     taken |= {config.SOURCE_FILE, TOO_LONG, _MALFORMED, "date_format"}
     taken |= {f"{metric}_invalid" for metric in config.METRICS}
-    taken |= {f"{metric}_text" for metric in config.METRICS}
+    taken |= {f"{metric}_{kind}" for metric in config.METRICS for kind in ("text", "median")}
+    taken |= config.OWN_COLUMNS
     for position, raw in enumerate(header):
         name = _canonical(raw)
         if name in config.RAW_HEADERS and raw != name and name not in names:
@@ -171,7 +189,7 @@ def column_names(header: tuple) -> list[str]:
             continue
         name = raw or f"Unnamed: {position}"
         unique, repeat = name, 0
-        while unique.lower() in taken:
+        while unique.lower() in taken or (not repeat and unique.startswith("__")):
             repeat += 1
             unique = f"{name}.{repeat}"
         taken.add(unique.lower())

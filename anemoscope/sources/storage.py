@@ -50,6 +50,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+#: Input bytes to a shuffle partition.
+PARTITION_BYTES = 64_000_000
+
+
+def set_partitions(spark: SparkSession, path: str) -> None:
+    """Shuffle partitions by the size of the input; never fewer than the session has."""
+    if exists(spark, path):
+        size = file_system(spark, path).getContentSummary(hadoop_path(spark, path)).getLength()
+        name = "spark.sql.shuffle.partitions"
+        spark.conf.set(name, max(int(spark.conf.get(name)), -(-size // PARTITION_BYTES)))
+
+
 class Workspace:
     """A folder of its own for the staged tables of one run.
 

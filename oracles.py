@@ -321,6 +321,12 @@ FROM kept k JOIN medians m USING (source_file)""",
         "median_by_brackets": f"WITH {raw()}, {typed('raw')}, {KEPT}, {MEDIANS} SELECT * FROM medians",
         "parse_ts_strict": parsed_dates(PLAIN_DATES),
         "parse_ts_fallback": parsed_dates(MIXED_DATES),
+        "parse_ts_forms": """
+SELECT l_orderkey, l_linenumber, CASE l_orderkey % 8
+    WHEN 4 THEN date_trunc('hour', moment) WHEN 7 THEN date_trunc('day', moment) ELSE moment
+  END AS date_time, 'flexible' AS date_format
+FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_orderkey % 24 AS INT))
+        + to_minutes(CAST(l_linenumber * 7 AS INT)) AS moment FROM lineitem)""",
         "clean_table": clean(FARM),
         "clean_counts": f"""WITH {raw()}, {DISTINCT}, {typed('distinct_rows')}, {KEPT}
 SELECT source_file, b.n AS rows_in, k.n AS rows_out, b.n - k.n AS dropped

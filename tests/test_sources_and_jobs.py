@@ -223,3 +223,71 @@ def test_unforeseen_failures_become_one_message(spark, golden, tmp_path, monkeyp
     monkeypatch.setattr(jobs, "clean", lambda *a, **k: 1 / 0)
     with pytest.raises(ReportError, match="Unexpected error during cleaning: division by zero"):
         jobs.run_single(spark, golden, options(tmp_path))
+
+
+EXTRAS = HEADER + ",Timestamp,wind_speed_median,__low0,Active Power (kW),efficiency_ratio"
+
+
+def with_extras(rows):
+    lines = [line for line in rows.splitlines() if line]
+    return "".join(f"{line},t{n},m{n},l{n},a{n},e{n}\n" for n, line in enumerate(lines))
+
+
+def test_bad_files_and_clashing_columns_cost_one_file_at_most(spark, tmp_path):
+    folder = tmp_path / "in"
+    write_csv(folder / "extras.csv", with_extras(GOLDEN), EXTRAS)
+    write_csv(folder / "good.csv", GOLDEN)
+    (folder / "parts.csv").mkdir()
+    broken = Path(write_csv(folder / "broken.csv", GOLDEN))
+    (folder / ".broken.csv.crc").write_bytes(b"crc\0\0\0\2\0" + b"\1" * 8)
+    assert broken.exists()
+    result = jobs.run_batch(spark, str(folder), options(tmp_path))
+    clean = spark.read.parquet(f"{result.report_path}/clean_data")
+    assert {"Timestamp", "Timestamp.1", "Active Power (kW).1", "wind_speed_median.1"} <= set(clean.columns)
+    assert {r.source_file for r in clean.select("source_file").distinct().collect()} == {
+        "extras.csv", "good.csv"
+    }
+    shown = clean.where("source_file = 'extras.csv'").select("`Timestamp.1`").collect()
+    assert {r[0][0] for r in shown} == {"t"}
+
+
+def test_problems_of_unreadable_parts(spark, tmp_path):
+    folder = tmp_path / "in"
+    (folder / "none.csv").mkdir(parents=True)
+    write_csv(folder / "broken.csv", GOLDEN)
+    (folder / ".broken.csv.crc").write_bytes(b"crc\0\0\0\2\0" + b"\1" * 8)
+    write_csv(folder / "good.csv", GOLDEN)
+    scan = csv_scan.scan(spark, csv_scan.list_sources(spark, str(folder)))
+    assert set(scan.rejected) == {"broken.csv", "none.csv"}
+    assert all(r.startswith("Error: Could not read file") for r in scan.rejected.values())
+    assert "Checksum" in scan.rejected["broken.csv"]
+    assert scan.rows.count() == GOLDEN.count("\n")
+
+
+@pytest.mark.parametrize("inside", ["input", "report", "output"])
+def test_log_stays_out_of_inputs_and_reports(spark, tmp_path, inside):
+    path = write_csv(tmp_path / "in" / "a.csv", GOLDEN)
+    places = {
+        "input": f"{path}/log", "report": f"{tmp_path}/out/report_2026-05-20/log",
+        "output": f"{tmp_path}/out",
+    }
+    with pytest.raises(ReportError, match="path"):
+        bundle.check_output(spark, [path], f"{tmp_path}/out", places[inside])
+    bundle.check_output(spark, [path], f"{tmp_path}/out", f"{tmp_path}/out/log")
+
+
+@pytest.mark.parametrize("text, moment", [
+    ("1/2/2018 1:10:00 PM", "2018-01-02 13:10:00"), ("1/2/2018 12:10 am", "2018-01-02 00:10:00"),
+    ("01/02/18 00:10", "2018-01-02 00:10:00"), ("13/02/99", "1999-02-13 00:00:00"),
+    ("02 Jan 2018 00:10", "2018-01-02 00:10:00"), ("02-Jan-2018 00:10:00", "2018-01-02 00:10:00"),
+    ("January 2, 2018 3 PM", "2018-01-02 15:00:00"), ("Sept 5 2018", "2018-09-05 00:00:00"),
+    ("20180102 00:10:00", "2018-01-02 00:10:00"), ("201801020010", "2018-01-02 00:10:00"),
+    ("20180102", "2018-01-02 00:00:00"), ("2018-01-02 10", "2018-01-02 10:00:00"),
+    ("1/2/2018 13:10 PM", None), ("31 Feb 2018", None), ("Janus 2 2018", None), ("2018", None),
+])
+def test_common_date_forms(spark, text, moment):
+    from anemoscope.operators.cleaning import parse_dates
+
+    table = spark.createDataFrame([(text,)], "date_time string")
+    found = parse_dates(table).first()
+    assert (found.date_time and str(found.date_time)) == moment
