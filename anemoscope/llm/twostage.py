@@ -16,7 +16,7 @@ All three work on chunks of documents by a hash of the id; keys that repeat in a
 sent once, so a very common passage costs each part no more than the number of chunks.
 """
 
-import hashlib
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,7 @@ from anemoscope.llm import common
 
 WIDTH = 50
 #: UTF-8 bytes of documents to a chunk, and to a part of the anchors.
-PER_CHUNK, PER_PART = 12_000_000, 24_000_000
+PER_CHUNK, PER_PART = 8_000_000, 6_000_000
 #: The id that stands for null: after all others.
 LAST = np.iinfo(np.int64).max
 SEPARATE = 16
@@ -41,7 +41,8 @@ def _words(text: np.ndarray, depth: int) -> np.ndarray:
     """The eight bytes from each place, and beyond the end, as big-endian integers."""
     padded = np.concatenate((text, np.zeros(depth + 24, np.uint8)))
     eight = np.lib.stride_tricks.as_strided(padded, (len(padded) - 8, 8), (1, 1))
-    return np.ascontiguousarray(eight).view(">u8").ravel().astype(np.uint64)
+    words = np.ascontiguousarray(eight).view(np.uint64).ravel()
+    return words.byteswap(inplace=True) if sys.byteorder == "little" else words
 
 
 def _sorted_directly(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -84,8 +85,9 @@ def two_stage_order(
     following = np.append(text[1:], 0)
     # Equal neighbours take the type of the next change; the end counts as smallest.
     change = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-    nearest = np.repeat(change, np.diff(change, prepend=-1))
-    smaller = (text[nearest] < following[nearest]) & (nearest < size - 1)
+    rises = text[change] < following[change]
+    rises[-1] = False
+    smaller = np.repeat(rises, np.diff(change, prepend=-1))
     if wanted is None:
         wanted = np.ones(size, bool)
     else:  # what is induced needs all up to the next suffix that is sorted directly
@@ -349,8 +351,11 @@ def repeats(stretches: list[bytes], low: np.ndarray, width: int) -> np.ndarray:
     sizes = np.array([len(s) for s in stretches])
     text = np.frombuffer((b"\x00" * SEPARATE).join([*stretches, b""]), np.uint8)
     begins = np.concatenate(([0], np.cumsum(sizes + SEPARATE)[:-1]))
-    owner = np.repeat(np.arange(len(sizes)), sizes + SEPARATE)
-    inside = np.arange(len(text)) - begins[owner] <= (sizes - width)[owner]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + SEPARATE)
+    edges = np.zeros(len(text) + 1, np.int8)
+    edges[begins] = 1
+    edges[begins + sizes - width + 1] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
     words = _words(text, width)
     order = two_stage_order(text, width, inside, words)
     order = order[inside[order]]  # windows that end within their stretch
@@ -446,12 +451,12 @@ def _remove(width: int, parts: int, characters: bool, carried: list[str]):
         later = shared.owner > shared.low[shared.same]
         count = shared.last - shared.first + 1
         mask = np.where(later, (np.int64(1) << count) - 1, mask)
-        some = np.flatnonzero(mask)
-        bits = np.flatnonzero(
-            (mask[some, None] >> np.arange(width)[None, :]).astype(np.int64) & 1
-        )
-        windows = shared.first[some[bits // width]] + bits % width
-        texts = shared.number[some[bits // width]]
+        windows, texts = [], []
+        for bit in range(width - key_size(width) + 1):
+            some = np.flatnonzero(mask >> bit & 1)
+            windows.append(shared.first[some] + bit)
+            texts.append(shared.number[some])
+        windows, texts = np.concatenate(windows), np.concatenate(texts)
         order = np.lexsort((windows, texts))
         windows, texts = windows[order], texts[order]
         bounds = np.searchsorted(texts, np.arange(len(shared.texts) + 1))
