@@ -194,7 +194,8 @@ class Anchors:
         step = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         self.first = np.repeat(first, pieces) + step * span
         self.last = np.minimum(self.first + span - 1, np.repeat(last, pieces))
-        self.hash = least[self.first]
+        # Least hashes are small numbers; parts are cut from all of the range.
+        self.hash = common.mixed(least[self.first])
 
 
 def _ordered(table: pa.Table) -> tuple[list, list[bytes], list[int]]:
