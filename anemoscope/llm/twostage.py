@@ -32,6 +32,8 @@ PER_CHUNK, PER_PART = 8_000_000, 6_000_000
 #: The id that stands for null: after all others.
 LAST = np.iinfo(np.int64).max
 SEPARATE = 16
+#: Anchors are known by six bytes. Those that are confused send a stretch more, no less.
+KEY_MASK = np.uint64((1 << 48) - 1)
 
 
 # --- Suffix arrays -------------------------------------------------------------------
@@ -195,7 +197,7 @@ class Anchors:
         self.first = np.repeat(first, pieces) + step * span
         self.last = np.minimum(self.first + span - 1, np.repeat(last, pieces))
         # Least hashes are small numbers; parts are cut from all of the range.
-        self.hash = common.mixed(least[self.first])
+        self.hash = common.mixed(least[self.first]) & KEY_MASK
 
 
 def _ordered(table: pa.Table) -> tuple[list, list[bytes], list[int]]:
@@ -213,18 +215,28 @@ def _ids(ids: list) -> np.ndarray:
 
 PART = pa.schema([
     ("chunk", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary()),
-    ("ends", pa.binary()), ("texts", pa.binary()),
+    ("sizes", pa.binary()), ("texts", pa.binary()),
 ])
-PART_DDL = "chunk bigint, part bigint, keys binary, ids binary, ends binary, texts binary"
+PART_DDL = "chunk bigint, part bigint, keys binary, ids binary, sizes binary, texts binary"
 
 
 def _parts_of(keys: np.ndarray, parts: int) -> list[tuple[int, slice]]:
     """Slices of sorted keys by their upper bits."""
-    part = (keys >> np.uint64(40)).astype(np.int64) * parts >> 24
+    part = (keys >> np.uint64(24)).astype(np.int64) * parts >> 24
     bounds = np.searchsorted(part, np.arange(parts + 1))
     return [(n, slice(bounds[n], bounds[n + 1])) for n in range(parts) if bounds[n] < bounds[n + 1]]
 
 
+def _packed(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _blob(column) -> list[bytes]:
     return [b or b"" for b in column.to_pylist()]
 
@@ -251,7 +263,7 @@ def _send_keys(width: int, parts: int):
         shared = low != owner[np.append(new[1:], len(owner)).astype(np.int64) - 1] if len(new) else low
         keys = hashes[new]
         rows = [
-            (key[0].as_py(), n, keys[s].tobytes(), np.packbits(shared[s]).tobytes(), None, None)
+            (key[0].as_py(), n, _packed(keys[s]), np.packbits(shared[s]).tobytes(), None, None)
             for n, s in _parts_of(keys, parts)
         ]
         return _table(rows)
@@ -267,7 +279,7 @@ def _table(rows: list[tuple]) -> pa.Table:
 def _shared_keys(key, table):
     """For every chunk, those of its anchors that several documents have."""
     chunks = table.column("chunk").to_pylist()
-    lists = [np.frombuffer(b, np.uint64) for b in _blob(table.column("keys"))]
+    lists = [_unpacked(b) for b in _blob(table.column("keys"))]
     inside = [
         np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(bool)
         for b, k in zip(_blob(table.column("ids")), lists, strict=True)
@@ -281,7 +293,7 @@ def _shared_keys(key, table):
         at[at == len(twice)] = 0
         found = keys[own | (twice[at] == keys)] if len(twice) else keys[own]
         if len(found):
-            rows.append((chunk, key[0].as_py(), found.tobytes(), None, None, None))
+            rows.append((chunk, key[0].as_py(), _packed(found), None, None, None))
     return _table(rows)
 
 
@@ -290,7 +302,7 @@ class Shared:
 
     def __init__(self, table: pa.Table, keys: list[bytes], width: int):
         self.ids, self.texts, self.rows = _ordered(table)
-        shared = np.sort(np.frombuffer(b"".join(keys), np.uint64))
+        shared = np.unique(_unpacked(b"".join(keys)))
         owner = _ids(self.ids)
         anchors = []
         for data in self.texts:
@@ -330,9 +342,9 @@ def _send_stretches(width: int, parts: int):
         rows = []
         for n, s in _parts_of(keys, parts):
             some = [shared.stretches[i] for i in shared.order[s].tolist()]
-            ends = np.cumsum([len(x) for x in some])
+            sizes = np.array([len(x) for x in some], np.uint8)  # below 2 * width
             rows.append((
-                key[0].as_py(), n, None, low[s].tobytes(), ends.astype(np.int64).tobytes(),
+                key[0].as_py(), n, _packed(keys[s]), low[s].tobytes(), sizes.tobytes(),
                 b"".join(some),
             ))
         return _table(rows)
@@ -377,11 +389,11 @@ def _find_repeats(width: int):
         """Suffix-sort the distinct stretches of a part and answer every chunk."""
         chunks, stretches, counts, low = table.column("chunk").to_pylist(), [], [], []
         lists = zip(
-            _blob(table.column("ids")), _blob(table.column("ends")),
+            _blob(table.column("ids")), _blob(table.column("sizes")),
             table.column("texts").to_pylist(), strict=True,
         )
-        for ids, ends, texts in lists:
-            bounds = np.concatenate(([0], np.frombuffer(ends, np.int64))).tolist()
+        for ids, sizes, texts in lists:
+            bounds = [0, *np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()]
             stretches += [texts[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
             counts.append(len(bounds) - 1)
             low.append(np.frombuffer(ids, np.int64))
@@ -396,9 +408,9 @@ def _find_repeats(width: int):
         sizes = np.array([len(s) for s in stretches], np.int64)
         masks[whole] = (np.int64(1) << (sizes[whole] - width + 1)) - 1
         rows, start = [], 0
-        for chunk, count in zip(chunks, counts, strict=True):
-            own = masks[start : start + count].tobytes()
-            rows.append((chunk, key[0].as_py(), own, None, None, None))
+        for chunk, count, keys in zip(chunks, counts, table.column("keys").to_pylist(), strict=True):
+            own = masks[start : start + count].astype("<u4").tobytes()
+            rows.append((chunk, key[0].as_py(), keys, own, None, None))
             start += count
         return _table(rows)
 
@@ -438,15 +450,11 @@ def _remove(width: int, parts: int, characters: bool, carried: list[str]):
             for name in carried:
                 empty = empty.append_column(name, pa.array([], left.schema.field(name).type))
             return empty
-        kinds = right.column("kind").to_pylist()
-        blobs = _blob(right.column("keys"))
-        where = right.column("part").to_pylist()
-        keys = [b for k, b in zip(kinds, blobs, strict=True) if k == "anchor"]
-        answers = {p: b for k, p, b in zip(kinds, where, blobs, strict=True) if k == "mask"}
-        shared = Shared(left, keys, width)
+        answers = dict(zip(right.column("part").to_pylist(), _blob(right.column("ids")), strict=True))
+        shared = Shared(left, _blob(right.column("keys")), width)
         masks = np.zeros(len(shared.keys), np.int64)
         for n, s in _parts_of(shared.keys[shared.order], parts):
-            masks[shared.order[s]] = np.frombuffer(answers[n], np.int64)
+            masks[shared.order[s]] = np.frombuffer(answers[n], "<u4")
         mask = masks[shared.same]
         # In a chunk a stretch was sent for its smallest document; the others repeat it.
         later = shared.owner > shared.low[shared.same]
@@ -491,7 +499,6 @@ def _remove(width: int, parts: int, characters: bool, carried: list[str]):
 
 def deduplicate(
     docs: DataFrame,
-    staging: common.Staging,
     width: int = WIDTH,
     characters: bool = False,
     carry: bool = False,
@@ -506,29 +513,26 @@ def deduplicate(
     counts as after all others. Rows with the same id don't take bytes from each other, so
     repeated rows stay as they are. An empty table gives no rows.
     """
-    if not 8 <= width <= 62:
+    if not 8 <= width <= 62:  # the windows of an anchor fit in a mask of 32 bits
         raise ValueError("width must be from 8 to 62 bytes")
     size = common.text_bytes(docs)
     chunks, parts = common.chunks_for(size, PER_CHUNK), common.chunks_for(size, PER_PART)
     chunk = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(chunks)).alias("chunk")
-    by_chunk = docs.select(chunk, "doc_id", "text").groupBy("chunk")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
+    names = [f"c{n}" for n in range(len(others))]
+    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)]
+    rows = docs.select(chunk, "doc_id", "text", *columns)
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([SPANS_DDL, *(f"{n} {kinds[n]}" for n in names)])
+    # One query, so that its three readers of the texts share one exchange of them.
+    by_chunk = rows.groupBy("chunk")
     keys = by_chunk.applyInArrow(_send_keys(width, parts), PART_DDL)
-    shared = staging.stage(keys.groupBy("part").applyInArrow(_shared_keys, PART_DDL), "anchors")
+    shared = keys.groupBy("part").applyInArrow(_shared_keys, PART_DDL)
     sent = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(
         _send_stretches(width, parts), PART_DDL
     )
     masks = sent.groupBy("part").applyInArrow(_find_repeats(width), PART_DDL)
-    masks = staging.stage(masks, "masks")
-    answers = shared.select("chunk", "part", "keys", F.lit("anchor").alias("kind")).unionByName(
-        masks.select("chunk", "part", "keys", F.lit("mask").alias("kind"))
-    )
-    others = [c for c in docs.columns if c not in ("doc_id", "text")] if carry else []
-    names = [f"c{n}" for n in range(len(others))]
-    columns = [F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)]
-    whole = docs.select(chunk, "doc_id", "text", *columns)
-    kinds = dict(whole.dtypes)
-    schema = ", ".join([SPANS_DDL, *(f"{n} {kinds[n]}" for n in names)])
-    found = whole.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    found = by_chunk.cogroup(masks.groupBy("chunk")).applyInArrow(
         _remove(width, parts, characters, names), schema
     )
     if not carry:
@@ -540,7 +544,7 @@ def deduplicate(
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is removed of every document, and the digest of the rest."""
     docs = common.table(spark, sf_dir, "documents")
-    found = deduplicate(docs, common.Staging(spark))
+    found = deduplicate(docs)
     return found.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )

@@ -67,20 +67,20 @@ def key(row):
 
 
 def test_repeated_passages(spark, odd, staging, empty):
-    found = twostage.deduplicate(odd, staging)
+    found = twostage.deduplicate(odd)
     found = found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     rows = [(r[0], r[1]) for r in odd_rows()]
     rows = [*rows]
     expected = sorted(removed(rows), key=key)
     assert sorted(((*r[:4], bytes(r[4])) for r in found), key=key) == expected
     assert sum(r.n_removed for r in found) > 1000
-    assert twostage.deduplicate(empty, staging).count() == 0
+    assert twostage.deduplicate(empty).count() == 0
 
 
 def test_repetitive_bytes(spark, staging):
     texts = ["a" * 300, "b" + "a" * 120 + "c", "ab" * 100, "x" * 49, "x" * 49, "é" * 80, "aé" * 60, "é" * 90]
     rows = list(enumerate(texts))
-    found = twostage.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), staging)
+    found = twostage.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
     got = [(*r[:4], bytes(r[4])) for r in found.orderBy("doc_id").select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()]
     assert got == list(removed(rows))

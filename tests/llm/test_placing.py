@@ -213,7 +213,7 @@ def test_pipeline_stages_do_what_their_operators_say(spark):
     expected = {r.doc_id for r in found.collect() if r.doc_id == r.component_id}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(expected)
     cut = corpus_pipeline.repeated_passages(spark, kept, SF).collect()
-    texts = {r.doc_id: r for r in twostage.deduplicate(kept, staging).collect()}
+    texts = {r.doc_id: r for r in twostage.deduplicate(kept).collect()}
     for r in cut:
         assert r.n_chars == len(r.text)
         if not texts[r.doc_id].n_removed:
