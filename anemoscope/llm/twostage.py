@@ -228,13 +228,21 @@ def _parts_of(keys: np.ndarray, parts: int) -> list[tuple[int, slice]]:
 
 
 def _packed(keys: np.ndarray) -> bytes:
-    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """Sorted keys as their steps, one byte of all steps after the other, compressed."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    count = np.array([len(keys)], "<u8").tobytes()
+    return count + pa.compress(steps[:, :6].T.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+def _unpacked(blobs: list[bytes]) -> list[np.ndarray]:
+    out = []
+    for blob in blobs:
+        count = int(np.frombuffer(blob, "<u8", 1)[0])
+        planes = pa.decompress(blob[8:], 6 * count, codec="zstd", asbytes=True)
+        steps = np.zeros((count, 8), np.uint8)
+        steps[:, :6] = np.frombuffer(planes, np.uint8).reshape(6, count).T
+        out.append(np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64))
+    return out
 
 
 def _blob(column) -> list[bytes]:
@@ -279,7 +287,7 @@ def _table(rows: list[tuple]) -> pa.Table:
 def _shared_keys(key, table):
     """For every chunk, those of its anchors that several documents have."""
     chunks = table.column("chunk").to_pylist()
-    lists = [_unpacked(b) for b in _blob(table.column("keys"))]
+    lists = _unpacked(_blob(table.column("keys")))
     inside = [
         np.unpackbits(np.frombuffer(b, np.uint8), count=len(k)).astype(bool)
         for b, k in zip(_blob(table.column("ids")), lists, strict=True)
@@ -302,7 +310,7 @@ class Shared:
 
     def __init__(self, table: pa.Table, keys: list[bytes], width: int):
         self.ids, self.texts, self.rows = _ordered(table)
-        shared = np.unique(_unpacked(b"".join(keys)))
+        shared = np.unique(np.concatenate([np.zeros(0, np.uint64), *_unpacked(keys)]))
         owner = _ids(self.ids)
         anchors = []
         for data in self.texts:
@@ -345,7 +353,7 @@ def _send_stretches(width: int, parts: int):
             sizes = np.array([len(x) for x in some], np.uint8)  # below 2 * width
             rows.append((
                 key[0].as_py(), n, _packed(keys[s]), low[s].tobytes(), sizes.tobytes(),
-                b"".join(some),
+                pa.compress(b"".join(some), codec="zstd", asbytes=True),
             ))
         return _table(rows)
 
@@ -394,6 +402,7 @@ def _find_repeats(width: int):
         )
         for ids, sizes, texts in lists:
             bounds = [0, *np.cumsum(np.frombuffer(sizes, np.uint8), dtype=np.int64).tolist()]
+            texts = pa.decompress(texts, bounds[-1], codec="zstd", asbytes=True)
             stretches += [texts[i:j] for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
             counts.append(len(bounds) - 1)
             low.append(np.frombuffer(ids, np.int64))
