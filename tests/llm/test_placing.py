@@ -205,6 +205,13 @@ def test_pipeline_on_odd_rows(spark, odd, empty):
         assert docs.count() == 0
 
 
+def test_short_documents_of_a_known_language_stay(spark):
+    texts = ["Von.", "Avec.", "A.", "A.\nAll rights reserved.", "xqzw", "12 !!", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    kept = corpus_pipeline.language_id(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2, 3, 4]
+
+
 def test_pipeline_stages_do_what_their_operators_say(spark):
     docs = common.table(spark, SF, "documents")
     staging = common.Staging(spark)
