@@ -163,6 +163,53 @@ def test_model_is_a_distribution():
     assert model.log10([b"abc "])[0] > model.log10([b"aqc "])[0]
 
 
+def many_words(count=400):
+    draw = np.random.default_rng(11)
+    letters = list("abcdefghé")
+    words = ["".join(draw.choice(letters, draw.integers(1, 8))) for _ in range(3_000)]
+    return [(n, " ".join(draw.choice(words, 30))) for n in range(count)]
+
+
+def one_process(rows):
+    words = collections.Counter(w for _, t in rows for w in [*contextmix.tokens_of(t), b"\n"])
+    times = dict(zip(contextmix.spelled(words), words.values()))
+    tokens = sorted(times)
+    needs, occurred = contextmix.counted(tokens, np.array([times[t] for t in tokens]))
+    entries, totals = contextmix.summed(list(needs), [occurred] * contextmix.ORDERS)
+    return times, (entries, totals, np.searchsorted(entries, needs), occurred)
+
+
+def test_every_context_has_its_own_counts(spark, monkeypatch):
+    monkeypatch.setattr(contextmix, "PER_PART", 10_000)
+    rows = many_words()
+    model = contextmix.learn(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    assert model.parts > 3
+    expected = collections.Counter()
+    for token, n in one_process(rows)[0].items():
+        for i, byte in enumerate(token):
+            for order in range(4):
+                expected[order, token[max(0, i - order - 1) : i], i <= order, byte] += n
+            expected[4, token[:i], True, byte] += n
+    found = collections.Counter()
+    for r in model.contexts.collect():
+        for e, n in zip(np.frombuffer(r["first"], "<u8").tolist(), np.frombuffer(r["second"], "<u8").tolist()):
+            assert e not in found
+            found[e] = n
+    for order in range(5):
+        own = collections.Counter((e & 255, n) for e, n in found.items() if e >> 8 & 7 == order)
+        assert own == collections.Counter((k[3], n) for k, n in expected.items() if k[0] == order)
+
+
+def test_mixture_is_a_distribution():
+    _, (entries, totals, at, times) = one_process(many_words(50))
+    weights, refine = contextmix.fit(lambda what, w: what(w, entries, totals, at, times))
+    for head in (b"a", b"ab", b"bac", b"zz"):
+        start = contextmix.log10_of([head], entries, totals, weights, refine)[0]
+        tokens = [head + bytes([n]) for n in range(256)]
+        every = contextmix.log10_of(tokens, entries, totals, weights, refine)
+        assert sum(10 ** (every - start)) == pytest.approx(1, abs=1e-9)
+
+
 def test_language_edge_cases(spark, odd, empty):
     profiles = hyperlang.learn(odd, F.lit(True))
     assert profiles.languages == ("en", "fr")
