@@ -192,7 +192,7 @@ def test_every_context_has_its_own_counts(spark, monkeypatch):
             expected[4, token[:i], True, byte] += n
     found = collections.Counter()
     for r in model.contexts.collect():
-        for e, n in zip(np.frombuffer(r["first"], "<u8").tolist(), np.frombuffer(r["second"], "<u8").tolist()):
+        for e, n in zip(contextmix.unpack(r["first"], "<u8", True).tolist(), contextmix.unpack(r["second"]).tolist()):
             assert e not in found
             found[e] = n
     for order in range(5):
@@ -200,6 +200,25 @@ def test_every_context_has_its_own_counts(spark, monkeypatch):
         assert own == collections.Counter((k[3], n) for k, n in expected.items() if k[0] == order)
 
 
+def test_weights_are_learned_from_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(contextmix, "PER_PART", 10_000)
+    rows = many_words()
+    _, arrays = one_process(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    model = contextmix.learn(docs)
+    weights, refine = contextmix.fit(lambda what, weights: what(weights, *arrays))
+    assert model.weights == pytest.approx(weights, abs=1e-6)
+    assert model.refine == pytest.approx(refine, abs=1e-6)
+    start = np.full_like(weights, contextmix.START)
+    at_start = contextmix.slopes(start, *arrays)
+    assert contextmix.slopes(weights, *arrays)[0] < at_start[0]
+    for cell in np.argsort(-abs(at_start[1:211]))[:5]:
+        moved = start.ravel().copy()
+        moved[cell] += 1e-5
+        change = (contextmix.slopes(moved.reshape(start.shape), *arrays)[0] - at_start[0]) / 1e-5
+        assert -change == pytest.approx(at_start[1 + cell], rel=1e-2)
+
+
 def test_mixture_is_a_distribution():
     _, (entries, totals, at, times) = one_process(many_words(50))
     weights, refine = contextmix.fit(lambda what, w: what(w, entries, totals, at, times))
