@@ -84,23 +84,15 @@ def na_tokens(spark, sf_dir):
 
 def load_counts(spark, sf_dir):
     scan = _csv_scan(spark, sf_dir)
-    widths = spark.createDataFrame(list(scan.columns.items()), f"{FILE} string, columns bigint")
     rows = scan.rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.join(widths, FILE)
+    return rows.join(scan.files.select(FILE, F.col("columns").cast("bigint").alias("columns")), FILE)
 
 
 def schema_check(spark, sf_dir):
-    parts = csv_scan.list_sources(spark, csv_folder(spark, sf_dir, scada_raw))
-    missing = {}
-    for part in csv_scan.with_headers(spark, parts):
-        missing.setdefault(part.source, set()).update(csv_scan.missing_columns(part.header))
-    checked = [
-        (name, not absent, ", ".join(c for c in config.COLUMNS if c in absent))
-        for name, absent in missing.items()
-    ]
-    checked = spark.createDataFrame(checked, f"{FILE} string, valid boolean, missing string")
-    rows = csv_scan.scan(spark, parts).rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.join(checked, FILE)
+    scan = _csv_scan(spark, sf_dir)
+    rows = scan.rows.groupBy(FILE).agg(F.count(F.lit(1)).alias("rows"))
+    valid, missing = F.size("missing") == 0, F.array_join("missing", ", ")
+    return rows.join(scan.files.select(FILE, valid.alias("valid"), missing.alias("missing")), FILE)
 
 
 def _clean_folder(spark, sf_dir, view):
@@ -114,7 +106,7 @@ def batch_union(spark, sf_dir):
 
 def skipped_files(spark, sf_dir):
     scan, result = _clean_folder(spark, sf_dir, adapter.scada_mixed_dates)
-    return jobs.skipped_files(spark, scan.rejected, result.files)
+    return jobs.skipped_files(scan.files, result.files)
 
 
 def report_bundle(spark, sf_dir):

@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from anemoscope import config
 from anemoscope.errors import ReportError
@@ -70,15 +69,15 @@ def run_single(
 def _single(spark, path, options, workspace) -> JobResult:
     with _Stage("ingestion"):
         bundle.check_output(spark, [path], options.report.output, options.log)
-        scan = csv_scan.scan(spark, csv_scan.list_source(spark, path))
+        scan = csv_scan.scan(spark, csv_scan.list_source(spark, path), workspace)
         for reason in scan.rejected.values():
             raise ReportError(reason, "load")
     with _Stage("cleaning"):
         result = _clean(spark, scan, options, workspace)
-        facts = result.files.first()
+        facts = _with_columns(result, scan).first()
         if facts["stage"] == "load":
             raise ReportError(facts["reason"], "load")
-        _say_counts(facts, scan)
+        _say_counts(facts)
         if facts["stage"] == "clean":
             log_table.append(result.quality_log, options.log)
             raise ReportError(facts["reason"], "clean")
@@ -100,21 +99,21 @@ def run_batch(
 
 def _batch(spark, folder, options, workspace) -> JobResult:
     with _Stage("ingestion"):
-        parts = csv_scan.list_sources(spark, folder)
-        inputs = sorted({_source_path(part) for part in parts})
+        sources = csv_scan.list_sources(spark, folder)
+        inputs = csv_scan.inputs_holding(spark, folder, [options.report.output, options.log])
         bundle.check_output(spark, inputs, options.report.output, options.log)
-        print(f"[BATCH] Found {len(inputs)} CSV file(s) in {folder}")
-        scan = csv_scan.scan(spark, parts)
+        print(f"[BATCH] Found {sources.count} CSV file(s) in {folder}")
+        scan = csv_scan.scan(spark, sources, workspace)
     if scan.rows is None:
         _say_skipped(scan.rejected)
         raise ReportError(config.NOTHING_PROCESSED, "clean")
     with _Stage("cleaning"):
         result = _clean(spark, scan, options, workspace)
         _say_skipped(scan.rejected)
-        for facts in result.files.orderBy(FILE).toLocalIterator():
+        for facts in _with_columns(result, scan).orderBy(FILE).toLocalIterator():
             print(f"\n[BATCH] Processing: {facts[FILE]}")
             if facts["stage"] != "load":
-                _say_counts(facts, scan)
+                _say_counts(facts)
             if facts["stage"] is not None:
                 print(f"[SKIP] {facts[FILE]} — {facts['reason']}")
         good = result.files.filter(F.col("stage").isNull())
@@ -127,20 +126,18 @@ def _batch(spark, folder, options, workspace) -> JobResult:
     return _report(result.table, result, totals["rows"], options, workspace)
 
 
-def skipped_files(
-    spark: SparkSession, rejected: dict, files: DataFrame
-) -> DataFrame:
+def skipped_files(sources: DataFrame, files: DataFrame) -> DataFrame:
     """Every file left out, the stage it failed in, and why."""
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in (FILE, "stage", "reason")]
-    )
-    at_load = [(name, "load", reason) for name, reason in rejected.items()]
-    late = files.filter(F.col("stage").isNotNull()).select(FILE, "stage", "reason")
-    return spark.createDataFrame(at_load, schema).unionByName(late)
+    at_load = sources.where("reason IS NOT NULL").select(FILE, F.lit("load").alias("stage"), "reason")
+    return at_load.unionByName(files.where("stage IS NOT NULL").select(FILE, "stage", "reason"))
+
+
+def _with_columns(result: CleanResult, scan: Scan) -> DataFrame:
+    return result.files.join(scan.files.select(FILE, "columns"), FILE)
 
 
 def _clean(spark, scan: Scan, options: JobOptions, workspace: Workspace) -> CleanResult:
-    names = spark.createDataFrame([(name,) for name in scan.columns], f"{FILE} string")
+    names = scan.files.where("reason IS NULL").select(FILE)
     result = clean(scan.rows, names, options.dayfirst, workspace=workspace)
     if not options.flag_skipped:
         return result
@@ -171,13 +168,9 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
     return JobResult(report.path, last, rows)
 
 
-def _source_path(part) -> str:
-    return part.path.rsplit("/", 1)[0] if part.in_folder else part.path
-
-
-def _say_counts(facts, scan: Scan) -> None:
+def _say_counts(facts) -> None:
     rows_in, kept = facts["rows_in"], facts["rows_kept"]
-    print(f"[LOAD] {rows_in:,} rows × {scan.columns[facts[FILE]]} columns")
+    print(f"[LOAD] {rows_in:,} rows × {facts['columns']} columns")
     if facts["dates_not_strict"]:
         print(config.DATES_INFERRED)
     if facts["stage"] is None:

@@ -1,167 +1,155 @@
 """SCADA CSV files as one all-string DataFrame that knows each row's file.
 
-A source is one ``*.csv`` path: a plain file, or a folder of part files as
-Spark writes them. Files are bound by their own header, so a folder may mix
-column orders; every distinct header is one scan.
+A source is one ``*.csv`` path: a plain file, or a folder of part files as Spark writes them.
+Files are listed and their headers read by Spark tasks, and kept as a table of files. All
+files are then read by one scan of lines, whatever their headers: a line is cut into fields
+by position, and a look-up in the table of files says which field is which column. The
+parsed lines are staged, so the sources are read once.
+
+Every line carries what decides whether its file was read well: its bytes, whether they are
+UTF-8 and whether it ends inside a quoted field. A summary per file of the staged lines then
+finds files that broke off, hold other bytes, or whose records go over several lines; only
+the last are read again, by ``records``.
 """
 
 import csv
-from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import cached_property
+from urllib.parse import unquote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from anemoscope import config
 from anemoscope.errors import ReportError
 from anemoscope.functions.text import col, na_to_null
-from anemoscope.sources import storage
+from anemoscope.operators.lookup import attach
+from anemoscope.sources import records, storage
+from anemoscope.sources.storage import Workspace
 
-HEADER_THREADS = 32
+FILE = config.SOURCE_FILE
 TOO_LONG = "row_too_long"
-_MALFORMED = "__malformed"
+PATH, SIZE, KIND = "__path", "__size", "__kind"
+DATA, HEADER, BLANK = 0, 1, 2
+#: Files up to this size share tasks when headers are read; of a larger one the task that
+#: has it alone reads the first lines and stops.
+SMALL_FILE = 64 * 1024
+#: Paths that are named in a filter; more are looked up in the table of files.
+NAMED_PATHS = 1_000
+#: A byte order mark is not part of any line.
+MARK_BYTES = 3
+_HEADERS = pa.schema([
+    (PATH, pa.string()), ("header", pa.list_(pa.string())), ("text", pa.string()),
+    ("names", pa.list_(pa.string())), ("missing", pa.list_(pa.string())), ("problem", pa.string()),
+])
+_HEADERS_DDL = (
+    f"{PATH} string, header array<string>, text string, names array<string>,"
+    " missing array<string>, problem string"
+)
 
 
 @dataclass(frozen=True)
-class Part:
-    """One physical file and the source it belongs to."""
+class Sources:
+    """CSV sources by a path pattern. Which files it stands for is found by Spark."""
 
-    source: str
-    path: str
-    in_folder: bool
-    header: tuple = ()
-    problem: str | None = None  # why it could not be read
+    pattern: str
+    base: str  # the folder of the sources, as Spark writes paths
+    count: int
 
 
 @dataclass(frozen=True)
 class Scan:
-    """Rows of all loadable sources, and the sources that cannot be loaded."""
+    """Rows of all loadable sources, and one row of facts per source."""
 
     rows: DataFrame | None
-    columns: dict  # source file -> number of columns in its header
-    rejected: dict  # source file -> reason
+    files: DataFrame  # source file, columns, missing columns, and the reason if not loadable
 
+    @cached_property
+    def columns(self) -> dict:
+        """Number of columns of the loadable sources."""
+        found = self.files.where("reason IS NULL").select(FILE, "columns").collect()
+        return {row[FILE]: row["columns"] for row in found}
 
-def list_sources(spark: SparkSession, folder: str) -> list[Part]:
-    """The ``*.csv`` entries directly inside a folder, sorted by name."""
+    @cached_property
+    def rejected(self) -> dict:
+        """The reasons of the sources that cannot be loaded."""
+        found = self.files.where("reason IS NOT NULL").select(FILE, "reason").collect()
+        return {row[FILE]: row["reason"] for row in found}
+
+
+# --- Listing --------------------------------------------------------------------------
+
+
+def list_sources(spark: SparkSession, folder: str) -> Sources:
+    """The ``*.csv`` entries directly inside a folder."""
     if not storage.exists(spark, folder):
         raise ReportError(config.FOLDER_NOT_FOUND.format(path=folder), "load")
-    fs = storage.file_system(spark, folder)
-    parts = []
-    for status in fs.listStatus(storage.hadoop_path(spark, folder)):
-        if status.getPath().getName().endswith(".csv"):
-            parts += _parts(fs, status)
-    if not parts:
+    pattern = f"{_literal_path(folder.rstrip('/'))}/*.csv"
+    found = _entries(spark, pattern)
+    if not len(found):
         raise ReportError(config.NO_CSV_FILES.format(path=folder), "load")
-    return sorted(parts, key=lambda part: (part.source, part.path))
+    return Sources(pattern, _encoded(spark, folder), len(found))
 
 
-def list_source(spark: SparkSession, path: str) -> list[Part]:
-    """The part files of a single source."""
+def list_source(spark: SparkSession, path: str) -> Sources:
+    """A single source."""
     if not storage.exists(spark, path):
         raise ReportError(config.FILE_NOT_FOUND.format(path=path), "load")
-    fs = storage.file_system(spark, path)
-    return _parts(fs, fs.getFileStatus(storage.hadoop_path(spark, path)))
-
-
-def _parts(fs, status) -> list[Part]:
-    name = status.getPath().getName()
-    if not status.isDirectory():
-        return [Part(name, status.getPath().toString(), False)]
-    inner = [s.getPath() for s in fs.listStatus(status.getPath()) if s.isFile()]
-    parts = [
-        Part(name, path.toString(), True)
-        for path in inner
-        if not path.getName().startswith(("_", "."))
-    ]
-    return parts or [Part(name, f"{status.getPath()}/", True, problem="The folder has no files")]
+    parent = storage.hadoop_path(spark, storage.qualified(spark, path)).getParent().toString()
+    return Sources(_literal_path(path.rstrip("/")), _encoded(spark, parent), 1)
 
 
-def read_header(spark: SparkSession, path: str) -> tuple:
-    """Column names in a file's first non-blank line; empty if there is none."""
-    jvm = spark._jvm
-    stream = storage.file_system(spark, path).open(storage.hadoop_path(spark, path))
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        line = reader.readLine()
-        while line is not None and not line.strip("﻿ \t\r"):
-            line = reader.readLine()
-    finally:
-        reader.close()
-    return tuple(next(csv.reader([line.lstrip("﻿")]))) if line else ()
+def _entries(spark: SparkSession, pattern: str):
+    return storage.file_system(spark, pattern).globStatus(storage.hadoop_path(spark, pattern))
 
 
-def missing_columns(header: tuple) -> list[str]:
-    """Required raw columns a header lacks, in their documented order."""
-    present = {_canonical(name) for name in header}
-    return [raw for raw, name in config.COLUMNS.items() if name not in present]
+def inputs_holding(spark: SparkSession, folder: str, places: list[str]) -> list[str]:
+    """The sources of a folder in which one of some other paths would lie."""
+    base, found = storage.qualified(spark, folder) + "/", []
+    for place in places:
+        inside = storage.qualified(spark, place)
+        source = base + inside.removeprefix(base).split("/")[0]
+        if inside.startswith(base) and source.endswith(".csv") and storage.exists(spark, source):
+            found.append(source)
+    return found
 
 
-def schema_message(header: tuple) -> str | None:
-    """Why a header fails validation, or None if it passes."""
-    missing = missing_columns(header)
-    if not missing:
-        return None
-    return config.SCHEMA_FAILED.format(
-        missing=missing, expected=list(config.COLUMNS)
-    )
+def _encoded(spark: SparkSession, path: str) -> str:
+    whole = storage.hadoop_path(spark, storage.qualified(spark, path))
+    return whole.toUri().toString().rstrip("/")
 
 
-def scan(spark: SparkSession, parts: list[Part]) -> Scan:
-    """Read sources by header layout; reject those without a usable header."""
-    parts = with_headers(spark, parts)
-    rejected = {}
-    for part in parts:
-        reason = header_problem(part)
-        if reason:
-            rejected.setdefault(part.source, reason)
-    usable = [part for part in parts if part.source not in rejected]
-    layouts = defaultdict(list)
-    for part in usable:
-        layouts[part.header, part.in_folder].append(part.path)
-    rows = None
-    for (header, in_folder), paths in layouts.items():
-        layout = _read_layout(spark, paths, header, in_folder)
-        rows = layout if rows is None else rows.unionByName(
-            layout, allowMissingColumns=True
-        )
-    columns = {}
-    for part in usable:  # the widest of a folder's parts
-        columns[part.source] = max(columns.get(part.source, 0), len(part.header))
-    return Scan(_ordered(rows), columns, rejected)
+def _literal_path(path: str) -> str:
+    """A path whose special characters are not taken for a glob pattern."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
 
+def _source_name(base: str) -> Column:
+    """The name of a file in the sources' folder, or of the folder a part file lies in."""
+    folder = F.regexp_replace(PATH, "/[^/]*$", "")
+    name = F.substring_index(F.when(folder == base, F.col(PATH)).otherwise(folder), "/", -1)
+    # Freed of URL escapes if it has any; a plus sign is none.
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
 
-def with_headers(spark: SparkSession, parts: list[Part]) -> list[Part]:
-    """Headers are file metadata: one short read per file, many at a time.
 
-    A file that cannot be read, or whose header is no CSV, keeps its own problem.
-    """
+# --- Headers ---------------------------------------------------------------------------
 
-    def read(part: Part) -> Part:
-        if part.problem:
-            return part
-        try:
-            return replace(part, header=read_header(spark, part.path))
-        except Py4JJavaError as error:
-            cause = error.java_exception
-            return replace(part, problem=f"{cause.getClass().getSimpleName()}: {cause.getMessage()}")
-        except csv.Error as error:
-            return replace(part, problem=str(error))
 
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        return list(pool.map(read, parts))
+def missing_columns(header: tuple) -> list[str]:
+    """Required raw columns a header lacks, in their documented order."""
+    present = {_canonical(name) for name in header}
+    return [raw for raw, name in config.COLUMNS.items() if name not in present]
 
 
-def header_problem(part: Part) -> str | None:
-    """Why a part with its header cannot be loaded, or None."""
-    if part.problem or not part.header:
-        return config.UNREADABLE_FILE.format(
-            path=part.path, reason=part.problem or "No columns to parse from file"
-        )
-    return schema_message(part.header)
+def schema_message(header: tuple) -> str | None:
+    """Why a header fails validation, or None if it passes."""
+    missing = missing_columns(header)
+    if not missing:
+        return None
+    return config.SCHEMA_FAILED.format(missing=missing, expected=list(config.COLUMNS))
 
 
 def _canonical(raw: str) -> str:
@@ -178,7 +166,7 @@ def column_names(header: tuple) -> list[str]:
     """
     names = []
     taken = {name.lower() for name in config.COLUMNS.values()}
-    taken |= {config.SOURCE_FILE, TOO_LONG, _MALFORMED, "date_format"}
+    taken |= {config.SOURCE_FILE, TOO_LONG, "date_format"}
     taken |= {f"{metric}_invalid" for metric in config.METRICS}
     taken |= {f"{metric}_{kind}" for metric in config.METRICS for kind in ("text", "median")}
     taken |= config.OWN_COLUMNS
@@ -197,52 +185,303 @@ def column_names(header: tuple) -> list[str]:
     return names
 
 
-def _read_layout(
-    spark: SparkSession, paths: list[str], header: tuple, in_folder: bool
-) -> DataFrame:
-    names = column_names(header)
-    schema = T.StructType(
-        [T.StructField(name, T.StringType()) for name in [*names, _MALFORMED]]
+def _first_records(alone: bool):
+    """The header of every file whose lines come by; ``alone`` stops after the first."""
+
+    def described(path: str, text: str):
+        try:
+            header = next(csv.reader(text.split("\n")))
+        except csv.Error as error:
+            return (path, [], text, [], [], str(error))
+        return (path, header, text, column_names(header), missing_columns(header), schema_message(header))
+
+    def run(batches):
+        open_lines, done = {}, set()
+        for batch in batches:
+            rows = []
+            for path, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if path in done:
+                    continue
+                text = line.decode("utf-8", "replace").lstrip("﻿").rstrip("\r")
+                lines = open_lines.setdefault(path, [])
+                if not lines and not text.strip(" \t"):
+                    continue
+                lines.append(text)
+                if not records.inside_quotes("\n".join(lines)):
+                    rows.append(described(path, "\n".join(lines)))
+                    done.add(path)
+                    del open_lines[path]
+                    if alone:
+                        break
+            columns = [[row[n] for row in rows] for n in range(len(_HEADERS))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, _HEADERS)], schema=_HEADERS
+            )
+            if alone and done:
+                return
+
+    return run
+
+
+def _read_headers(spark: SparkSession, sources: Sources) -> DataFrame:
+    """Path and header of every file that has one, read by tasks in a session of its own.
+
+    There a file is never cut, and files open at such a cost that large ones lie alone in
+    their task, which ends after the first record.
+    """
+    session = spark.newSession()
+    most = 1 << 36
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        session.conf.set(f"spark.sql.files.{name}", most)
+    session.conf.set("spark.sql.files.minPartitionNum", 1)
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
+    packed = spark.newSession()
+    packed.conf.set("spark.sql.files.openCostInBytes", SMALL_FILE)
+
+    def headers(own: SparkSession, wanted: Column, alone: bool) -> DataFrame:
+        lines = _lines(own, sources.pattern).where(wanted)
+        return lines.select(PATH, F.col("value").cast("binary")).mapInArrow(
+            _first_records(alone), _HEADERS_DDL
+        )
+
+    size = F.col("_metadata.file_size")
+    small = headers(packed, size <= SMALL_FILE, False)
+    return small.unionByName(headers(session, size > SMALL_FILE, True))
+
+
+def _lines(spark: SparkSession, pattern: str, **options) -> DataFrame:
+    """Lines with their file. A block that cannot be read ends its file without an error."""
+    reader = spark.read.options(ignoreCorruptFiles=True, ignoreMissingFiles=True, **options)
+    return reader.text(pattern).withColumn(PATH, F.col("_metadata.file_path"))
+
+
+def _table_of_files(spark: SparkSession, sources: Sources, workspace: Workspace) -> DataFrame:
+    """One row per file: its source, size and header, and why it cannot be loaded."""
+    listed = (
+        spark.read.format("binaryFile").load(sources.pattern)
+        .select(F.col("_metadata.file_path").alias(PATH), F.col("length").alias(SIZE))
+    )
+    headers = workspace.stage(_read_headers(spark, sources), "headers")
+    files = listed.join(headers, PATH, "left").withColumn(FILE, _source_name(sources.base))
+    problem = F.coalesce("problem", F.when(F.col("header").isNull(), F.lit("")))
+    files = workspace.stage(files.withColumn("problem", problem), "files")
+    if files.select(FILE).distinct().count() < sources.count:
+        files = files.unionByName(_without_files(spark, sources, files), allowMissingColumns=True)
+    silent = files.where("problem IS NOT NULL AND (header IS NULL OR size(header) = 0)")
+    if silent.isEmpty():
+        return files
+    # Only of files without a usable header the driver asks why.
+    asked = [
+        (row[PATH], _unreadable(row[PATH], row["problem"] or _reason(spark, row[PATH])))
+        for row in silent.select(PATH, "problem").toLocalIterator()
+    ]
+    reasons = spark.createDataFrame(asked, f"{PATH} string, reason string")
+    files = files.join(reasons, PATH, "left").withColumn("problem", F.coalesce("reason", "problem"))
+    return workspace.stage(files.drop("reason"), "files-with-reasons")
+
+
+def _without_files(spark: SparkSession, sources: Sources, files: DataFrame) -> DataFrame:
+    """Sources of which no file was listed: empty files and folders."""
+    names = []
+    for status in _entries(spark, sources.pattern):
+        path = status.getPath()
+        if path.getName().startswith(("_", ".")):
+            continue  # hidden
+        reason = "The folder has no files" if status.isDirectory() else ""
+        names.append((path.getName(), path.toUri().toString(), 0, reason))
+    entries = spark.createDataFrame(names, f"{FILE} string, {PATH} string, {SIZE} bigint, problem string")
+    return entries.join(files.select(FILE).distinct(), FILE, "left_anti")
+
+
+def _unreadable(path: str, reason: str) -> str:
+    return config.UNREADABLE_FILE.format(path=unquote(path), reason=reason)
+
+
+def _reason(spark: SparkSession, path: str) -> str:
+    """Why a file has no header."""
+    name = unquote(path)
+    try:
+        stream = storage.file_system(spark, name).open(storage.hadoop_path(spark, name))
+        try:
+            stream.read()
+        finally:
+            stream.close()
+    except Py4JJavaError as error:
+        cause = error.java_exception
+        return f"{cause.getClass().getSimpleName()}: {cause.getMessage()}"
+    return "No columns to parse from file"
+
+
+# --- Rows --------------------------------------------------------------------------------
+
+
+def _all_names(files: DataFrame) -> list[str]:
+    """Every column of any file: the known ones, then extras as they first appear."""
+    named = files.select(FILE, PATH, F.posexplode("names").alias("position", "name"))
+    first = F.struct(FILE, PATH, "position")
+    found = named.groupBy(F.lower("name").alias("key")).agg(
+        F.min(first).alias("first"), F.min_by("name", first).alias("name")
+    )
+    extras = [row["name"] for row in found.orderBy("first").collect()]
+    known = list(config.COLUMNS.values())
+    return known + [name for name in extras if name not in known]
+
+
+def _fields(line: Column, width: int) -> Column:
+    """The fields of a record, cut at commas outside quotes."""
+    wide = ", ".join(f"c{n} string" for n in range(width + 1))
+    parsed = F.from_csv(line, wide, {"escape": '"', "maxCharsPerColumn": "-1"})
+    quoted = F.array(*[parsed[f"c{n}"] for n in range(width + 1)])
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
+
+
+def _parse(lines: DataFrame, files: DataFrame, names: list[str], width: int, count: int) -> DataFrame:
+    """Lines as rows of all files' columns.
+
+    ``lines`` has the path, whether it lies in the first block of its file, and the text.
+    One column per step, since a value is used several times.
+    """
+    wanted = F.array(*[F.lit(name.lower()) for name in names])
+    lowered = F.transform("names", F.lower)
+    places = F.transform(wanted, lambda name: F.array_position(lowered, name).cast("int") - 1)
+    facts = files.select(
+        PATH, FILE, F.size("header").alias("__width"), F.col("text").alias("__header"),
+        places.alias("__places"),
     )
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", _MALFORMED)
-        .option("columnPruning", False)  # a pruned parse does not see long rows
-        .csv([_literal_path(path) for path in paths])
+    line = F.col("__line")
+    rows = attach(lines, facts, [PATH], "inner", count)
+    rows = rows.withColumn("__line", records.without_return(F.col("value")))
+    rows = rows.withColumn("__fields", _fields(line, width))
+    commas = F.when(F.contains(line, F.lit('"')), records.commas(line)).otherwise(F.size("__fields") - 1)
+    kind = (
+        F.when(F.btrim(line, F.lit(" \t")) == "", BLANK)
+        .when(F.col("__first") & (line == F.col("__header")), HEADER)
+        .otherwise(DATA)
     )
+    values = [
+        na_to_null(F.get("__fields", F.get("__places", F.lit(n)))).alias(name)
+        for n, name in enumerate(names)
+    ]
     return rows.select(
-        _source_name(in_folder).alias(config.SOURCE_FILE),
-        *[na_to_null(col(name)).alias(name) for name in names],
-        _has_more_fields(col(_MALFORMED), len(names)).alias(TOO_LONG),
+        FILE, *values, (commas >= F.col("__width")).alias(TOO_LONG), PATH,
+        kind.cast("byte").alias(KIND), "__opens", "__valid", "__bytes",
     )
 
 
-def _literal_path(path: str) -> str:
-    """A path whose special characters are not taken for a glob pattern."""
-    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+def _plain_lines(lines: DataFrame) -> DataFrame:
+    """Lines with what is to be known of each: size, whether UTF-8, whether a record ends."""
+    value = F.col("value")
+    inner_return = F.contains(records.without_return(value), F.lit("\r"))
+    return lines.select(
+        PATH, "value", (F.col("_metadata.file_block_start") == 0).alias("__first"),
+        (records.ends_inside(value) | inner_return).alias("__opens"),
+        F.is_valid_utf8(value).alias("__valid"),
+        (F.octet_length(value) + 1).cast("bigint").alias("__bytes"),
+    )
 
 
-def _source_name(in_folder: bool):
-    """The file's name, or its folder's, freed of URL escapes if it has any."""
-    name = F.col("_metadata.file_name")
-    if in_folder:
-        last_two = F.substring_index(F.col("_metadata.file_path"), "/", -2)
-        name = F.substring_index(last_two, "/", 1)
-    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
-
+def scan(spark: SparkSession, sources: Sources, workspace: Workspace | None = None) -> Scan:
+    """Read sources by one scan; reject those that cannot be read or lack columns."""
+    workspace = workspace or Workspace(spark)
+    files = _table_of_files(spark, sources, workspace)
+    bad = files.where("problem IS NOT NULL").select(FILE).distinct()
+    good = workspace.stage(files.join(bad, FILE, "left_anti"), "good-files")
+    size = good.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("header")).alias("width")).first()
+    if not size["n"]:
+        return Scan(None, _facts(files, workspace))
+    names = _all_names(good)
+    lines = _plain_lines(_lines(spark, sources.pattern, lineSep="\n"))
+    parsed = workspace.stage(_parse(lines, good, names, size["width"], size["n"]), "lines")
+    summary = parsed.groupBy(PATH).agg(
+        F.sum("__bytes").alias("read"), F.bool_and("__valid").alias("valid"),
+        F.bool_or("__opens").alias("opens"), F.count_if(F.col(KIND) == HEADER).alias("headers"),
+    )
+    good = workspace.stage(_with_problems(good.join(summary, PATH, "left")), "read-files")
+    seen = good.agg(
+        F.count_if(F.expr("problem IS NULL AND opens")).alias("opens"),
+        F.count_if(F.expr("problem IS NOT NULL")).alias("broken"), F.max("headers").alias("headers"),
+    ).first()
+    if seen["opens"]:
+        parsed, good = _with_records(
+            spark, sources, parsed, good, names, size, seen["opens"], workspace
+        )
+        seen = good.agg(
+            F.count_if(F.expr("problem IS NOT NULL")).alias("broken"), F.max("headers").alias("headers")
+        ).first()
+    if seen["broken"]:
+        lost = workspace.stage(good.where("problem IS NOT NULL").select(FILE).distinct(), "lost")
+        parsed = attach(parsed, lost, [FILE], "left_anti")
+    checked = files.drop("problem").join(good.select(PATH, F.col("problem").alias("late")), PATH, "left")
+    checked = checked.join(files.select(PATH, "problem"), PATH)
+    facts = _facts(checked.withColumn("problem", F.coalesce("problem", "late")), workspace)
+    return Scan(_data_rows(parsed, names, seen["headers"] > 1), facts)
+
+
+def _with_problems(good: DataFrame) -> DataFrame:
+    """Files that broke off while they were read, or hold other bytes than UTF-8."""
+    text = F.lit(config.UNREADABLE_FILE)
+
+    def said(reason: Column) -> Column:
+        plain = F.url_decode(F.replace(PATH, F.lit("+"), F.lit("%2B")))
+        return F.replace(F.replace(text, F.lit("{path}"), plain), F.lit("{reason}"), reason)
+
+    read = F.coalesce("read", F.lit(0))
+    short = F.format_string("only %d of %d bytes could be read", read, SIZE)
+    problem = (
+        F.when(read + MARK_BYTES < F.col(SIZE), said(short))
+        .when(~F.col("valid"), said(F.lit("the text is not UTF-8")))
+    )
+    return good.withColumn("problem", problem)
+
+
+def _with_records(spark, sources, parsed, good, names, size, count, workspace):
+    """Files with records over several lines, read again by record."""
+    opened = good.where("problem IS NULL AND opens").select(PATH)
+    lines = _lines(spark, sources.pattern)
+    if count <= NAMED_PATHS:  # a filter on paths keeps Spark from opening other files
+        lines = lines.where(F.col("_metadata.file_path").isin([r[PATH] for r in opened.collect()]))
+    lines = attach(lines.withColumn("__block", F.col("_metadata.file_block_start")), opened, [PATH], "left_semi", count)
+    whole, unclosed = records.assemble(lines.select(PATH, "__block", "value"), workspace)
+    whole = whole.select(
+        PATH, "value", (F.col("__block") == 0).alias("__first"), F.lit(False).alias("__opens"),
+        F.lit(True).alias("__valid"), F.lit(0).cast("bigint").alias("__bytes"),
+    )
+    again = workspace.stage(_parse(whole, good, names, size["width"], size["n"]), "records")
+    headers = again.groupBy(PATH).agg(F.count_if(F.col(KIND) == HEADER).alias("counted"))
+    good = good.join(headers, PATH, "left").withColumn("headers", F.coalesce("counted", "headers"))
+    good = good.drop("counted").join(unclosed, PATH, "left")
+    unended = F.replace(
+        F.lit(config.UNREADABLE_FILE.replace("{reason}", "a quoted field is not closed")),
+        F.lit("{path}"), F.url_decode(F.replace(PATH, F.lit("+"), F.lit("%2B"))),
+    )
+    good = good.withColumn("problem", F.coalesce("problem", F.when(F.col("unclosed"), unended)))
+    parsed = attach(parsed, opened, [PATH], "left_anti", count).unionByName(again)
+    return parsed, workspace.stage(good.drop("unclosed"), "read-again")
 
-def _has_more_fields(malformed, width: int):
-    """Whether a malformed record is too long; short ones are padded instead."""
-    unquoted = F.regexp_replace(malformed, r'"([^"]|"")*"', "")
-    return F.coalesce(F.size(F.split(unquoted, ",")) > width, F.lit(False))
 
+def _data_rows(parsed: DataFrame, names: list[str], repeated: bool) -> DataFrame:
+    """The rows without headers and blank lines.
 
-def _ordered(rows: DataFrame | None) -> DataFrame | None:
-    if rows is None:
-        return None
-    first = [config.SOURCE_FILE, *config.COLUMNS.values()]
-    extras = [c for c in rows.columns if c not in first and c != TOO_LONG]
-    return rows.select(*[col(c) for c in [*first, *extras, TOO_LONG]])
+    A header is known by its text. Where a file's first block holds that text again, all but
+    one of these lines are data.
+    """
+    columns = [F.col(FILE), *[col(name) for name in names], F.col(TOO_LONG)]
+    rows = parsed.where(F.col(KIND) == DATA).select(*columns)
+    if not repeated:
+        return rows
+    again = parsed.where(F.col(KIND) == HEADER).groupBy(PATH, *columns).agg(F.count(F.lit(1)).alias("__times"))
+    copies = F.explode(F.sequence(F.lit(2), F.col("__times").cast("int")))
+    again = again.where("__times > 1").select(*columns, copies.alias("__copy"))
+    return rows.unionByName(again.drop("__copy"))
+
+
+def _facts(files: DataFrame, workspace: Workspace) -> DataFrame:
+    """One row per source: columns of its widest part, what its headers lack, why rejected."""
+    reason = F.min_by("problem", F.when(F.col("problem").isNotNull(), F.col(PATH)))
+    lacking = [F.bool_or(F.array_contains("missing", raw)) for raw in config.COLUMNS]
+    names = [F.when(lacks, raw) for lacks, raw in zip(lacking, config.COLUMNS)]
+    facts = files.groupBy(FILE).agg(
+        F.coalesce(F.max(F.size("header")), F.lit(0)).alias("columns"),
+        F.array_compact(F.array(*names)).alias("missing"), reason.alias("reason"),
+    )
+    return workspace.stage(facts, "sources")
