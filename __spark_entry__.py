@@ -21,7 +21,7 @@ from anemoscope.operators import (
 )
 from anemoscope.operators.cleaning import FILE
 from anemoscope.plans import adapter, jobs
-from anemoscope.plans.adapter import csv_folder, scada, scada_raw, sparse_scada
+from anemoscope.plans.adapter import csv_folder, line_folder, scada, scada_raw, sparse_scada
 from anemoscope.plans.report import ReportOptions
 from anemoscope.sources import csv_scan, quality_log
 from anemoscope.sources.storage import Workspace
@@ -95,6 +95,37 @@ def schema_check(spark, sf_dir):
     return rows.join(scan.files.select(FILE, valid.alias("valid"), missing.alias("missing")), FILE)
 
 
+def _line_scan(spark, sf_dir, view):
+    return csv_scan.scan(spark, csv_scan.list_sources(spark, line_folder(spark, sf_dir, view)))
+
+
+def scan_csv_quoted(spark, sf_dir):
+    """Records over several lines, in files cut into several splits."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    return _line_scan(session, sf_dir, adapter.quoted_lines).rows.drop(csv_scan.TOO_LONG)
+
+
+def batch_layouts(spark, sf_dir):
+    """The clean union of files that all have another header."""
+    return cleaning.clean(_line_scan(spark, sf_dir, adapter.layout_lines).rows).table
+
+
+def schema_check_failures(spark, sf_dir):
+    files = _line_scan(spark, sf_dir, adapter.failing_lines).files
+    return files.select(
+        FILE, (F.size("missing") == 0).alias("valid"), F.array_join("missing", ", ").alias("missing")
+    )
+
+
+def skipped_at_load(spark, sf_dir):
+    """Files left out for what they hold; the folder they were written to is not compared."""
+    scan = _line_scan(spark, sf_dir, adapter.failing_lines)
+    skipped = jobs.skipped_files(scan.files, cleaning.clean(scan.rows).files)
+    plain = F.regexp_replace("reason", r"— .*/(farm=\d\.csv)/\S*", "— $1")
+    return skipped.withColumn("reason", plain)
+
+
 def _clean_folder(spark, sf_dir, view):
     scan = _csv_scan(spark, sf_dir, view)
     return scan, cleaning.clean(scan.rows)
@@ -342,7 +373,8 @@ def chart_monthly_bar(spark, sf_dir):
 
 
 _QUERIES = [
-    scan_csv, na_tokens, load_counts, schema_check, batch_union, skipped_files,
+    scan_csv, scan_csv_quoted, na_tokens, load_counts, schema_check, schema_check_failures,
+    batch_union, batch_layouts, skipped_files, skipped_at_load,
     report_bundle, dedup_rows, duplicate_count, coerce_numeric, coercion_counts,
     drop_critical, null_counts, median_fill, median_by_brackets,
     parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_counts,

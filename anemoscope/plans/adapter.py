@@ -137,3 +137,110 @@ def csv_folder(spark: SparkSession, sf_dir: str, view) -> str:
         )
         _CSV_FOLDERS[key] = folder
     return _CSV_FOLDERS[key]
+
+
+# --- Files that no writer of Spark's would write ---------------------------------------
+
+RAW = config.RAW_HEADERS
+STANDARD = ["date_time", "active_power", "wind_speed", "theoretical_power", "wind_direction"]
+
+
+def _header(names) -> str:
+    return ",".join(RAW.get(name, name) for name in names)
+
+
+def _joined(names, **instead) -> str:
+    """SQL of a line with these fields, nulls as nothing."""
+    fields = [instead.get(name, f"coalesce({name}, '')") for name in names]
+    return "concat_ws(',', " + ", ".join(fields) + ")"
+
+
+def _quoted(text: str) -> str:
+    return f"""concat('"', replace({text}, '"', '""'), '"')"""
+
+
+def quoted_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with three notes: some with line breaks, commas and quotes."""
+    rows = _raw_rows(spark, sf_dir, "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')").drop("l_orderkey")
+    n = "coalesce(wind_speed, '0')"
+    return rows.selectExpr(
+        "*",
+        f"CASE WHEN {n} % 5 = 0 THEN concat('first\\nof ', {n}) ELSE concat('f', {n}) END AS note_a",
+        f"CASE WHEN {n} % 3 = 0 THEN concat('said \"stop, now\"\\n\\n', {n}, ',') END AS note_b",
+        f"CASE WHEN {n} % 4 = 0 THEN concat({n}, '\\nend \"') ELSE concat({n}, '\" pipe') END AS note_c",
+    )
+
+
+def quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes first, in the middle and last in their records, quoted where they must be."""
+    names = ["note_a", "date_time", "active_power", "note_b", "wind_speed", "theoretical_power", "wind_direction", "note_c"]
+    line = _joined(
+        names, note_a=f"CASE WHEN contains(note_a, '\\n') THEN {_quoted('note_a')} ELSE note_a END",
+        note_b=f"coalesce({_quoted('note_b')}, '')",
+        note_c=f"CASE WHEN contains(note_c, '\\n') THEN {_quoted('note_c')} ELSE note_c END",
+    )
+    return _with_headers(
+        quoted_notes(spark, sf_dir).selectExpr("source_file", f"{line} AS line"),
+        dict.fromkeys(range(4), _header(names)),
+    )
+
+
+LAYOUTS = {
+    0: STANDARD,
+    1: [config.RAW_WIND_DIRECTION_ALIAS, "site", "date_time", "active_power", "wind_speed", "theoretical_power"],
+    2: [*STANDARD, "SITE"],
+    3: ["theoretical_power", "wind_speed", "note", "active_power", "date_time", "wind_direction"],
+}
+
+
+def layout_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header of its own for every farm: order, alias, extra columns and short rows."""
+    lines = {
+        0: _joined(LAYOUTS[0]),
+        1: _joined(["wind_direction", *LAYOUTS[1][1:]], site="'a'"),
+        2: "CASE WHEN wind_speed IS NULL THEN " + _joined(STANDARD[:2])
+        + " ELSE " + _joined(LAYOUTS[2], SITE="""'"b,c"'""") + " END",
+        3: _joined(LAYOUTS[3], note="'NA'"),
+    }
+    whens = "".join(f" WHEN '{farm}' THEN {line}" for farm, line in lines.items())
+    rows = scada_raw(spark, sf_dir).selectExpr(
+        "source_file", f"CASE right(source_file, 1){whens} END AS line"
+    )
+    return _with_headers(rows, {farm: _header(names) for farm, names in LAYOUTS.items()})
+
+
+def failing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good farm, one that lacks columns, one with long rows, and one that is not UTF-8."""
+    line = _joined(STANDARD)
+    rows = scada_raw(spark, sf_dir).selectExpr(
+        "source_file",
+        f"CASE WHEN wind_speed = '7' AND source_file = 'farm_2' THEN concat({line}, ',')"
+        f" WHEN wind_speed = '7' AND source_file = 'farm_3' THEN concat({line}, cast(unhex('E9') AS string))"
+        f" ELSE {line} END AS line",
+    )
+    lacking = "Date/Time,LV ActivePower (kW),speed,Theoretical_Power_Curve (KWh),direction"
+    return _with_headers(rows, dict.fromkeys(range(4), _header(STANDARD)) | {1: lacking})
+
+
+def _with_headers(rows: DataFrame, headers: dict) -> DataFrame:
+    spark = rows.sparkSession
+    first = spark.createDataFrame(
+        [(f"farm_{farm}", text, 0) for farm, text in headers.items()],
+        "source_file string, line string, place int",
+    )
+    return first.unionByName(rows.withColumn("place", F.lit(1)))
+
+
+def line_folder(spark: SparkSession, sf_dir: str, view) -> str:
+    """Lines written as CSV sources, one file per farm, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, view.__name__)
+    if key not in _CSV_FOLDERS:
+        folder = f"{Workspace(spark).path}/{view.__name__}"
+        farm = F.concat(F.regexp_extract("source_file", r"(\d+)$", 1), F.lit(".csv"))
+        (
+            view(spark, sf_dir).withColumn("farm", farm).repartition("farm")
+            .sortWithinPartitions("farm", "place").select("line", "farm")
+            .write.partitionBy("farm").text(folder)
+        )
+        _CSV_FOLDERS[key] = folder
+    return _CSV_FOLDERS[key]

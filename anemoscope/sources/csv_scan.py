@@ -1,20 +1,23 @@
 """SCADA CSV files as one all-string DataFrame that knows each row's file.
 
 A source is one ``*.csv`` path: a plain file, or a folder of part files as Spark writes them.
-Files are listed and their headers read by Spark tasks, and kept as a table of files. All
-files are then read by one scan of lines, whatever their headers: a line is cut into fields
-by position, and a look-up in the table of files says which field is which column. The
-parsed lines are staged, so the sources are read once.
-
-Every line carries what decides whether its file was read well: its bytes, whether they are
-UTF-8 and whether it ends inside a quoted field. A summary per file of the staged lines then
-finds files that broke off, hold other bytes, or whose records go over several lines; only
-the last are read again, by ``records``.
+Files and their headers make a table, read by Spark tasks if they are many. All files are then
+read by one scan of lines, whatever their headers: a line is cut into fields by position, and
+a look-up in the table of files says which field is which column. The rows are staged, so
+that sources are read once.
+
+Every row carries what decides whether its file was read well: the bytes of its line, whether
+they are UTF-8 and whether the line ends inside a quoted field. A summary per file finds files
+that broke off, hold other bytes, or whose records go over several lines; only the last are
+read again, by ``records``.
 """
 
 import csv
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import groupby
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -33,6 +36,8 @@ FILE = config.SOURCE_FILE
 TOO_LONG = "row_too_long"
 PATH, SIZE, KIND = "__path", "__size", "__kind"
 DATA, HEADER, BLANK = 0, 1, 2
+#: The headers of so many files are read before tasks for them could start.
+FEW_FILES = 32
 #: Files up to this size share tasks when headers are read; of a larger one the task that
 #: has it alone reads the first lines and stops.
 SMALL_FILE = 64 * 1024
@@ -57,6 +62,13 @@ class Sources:
     pattern: str
     base: str  # the folder of the sources, as Spark writes paths
     count: int
+    folder: str | None = None  # where there are no folders inside, it is listed at once
+
+    def read(self, reader):
+        """What a reader finds in the files."""
+        if self.folder is None:
+            return reader.load(self.pattern)
+        return reader.option("pathGlobFilter", "*.csv").load(self.folder)
 
 
 @dataclass(frozen=True)
@@ -86,11 +98,12 @@ def list_sources(spark: SparkSession, folder: str) -> Sources:
     """The ``*.csv`` entries directly inside a folder."""
     if not storage.exists(spark, folder):
         raise ReportError(config.FOLDER_NOT_FOUND.format(path=folder), "load")
-    pattern = f"{_literal_path(folder.rstrip('/'))}/*.csv"
-    found = _entries(spark, pattern)
+    literal = _literal_path(folder.rstrip("/"))
+    found = _entries(spark, f"{literal}/*.csv")
     if not len(found):
         raise ReportError(config.NO_CSV_FILES.format(path=folder), "load")
-    return Sources(pattern, _encoded(spark, folder), len(found))
+    flat = not len(_entries(spark, f"{literal}/*/*"))
+    return Sources(f"{literal}/*.csv", _encoded(spark, folder), len(found), literal if flat else None)
 
 
 def list_source(spark: SparkSession, path: str) -> Sources:
@@ -117,8 +130,16 @@ def inputs_holding(spark: SparkSession, folder: str, places: list[str]) -> list[
 
 
 def _encoded(spark: SparkSession, path: str) -> str:
-    whole = storage.hadoop_path(spark, storage.qualified(spark, path))
-    return whole.toUri().toString().rstrip("/")
+    return _uri(storage.hadoop_path(spark, storage.qualified(spark, path))).rstrip("/")
+
+
+def _uri(path) -> str:
+    """A path as ``_paths`` has it; without a host it is written with one or three slashes."""
+    return re.sub(r"^(\w+):///", r"\1:/", path.toUri().toString())
+
+
+def _paths(name: str = "_metadata.file_path") -> Column:
+    return F.regexp_replace(name, r"^(\w+):///", "$1:/").alias(PATH)
 
 
 def _literal_path(path: str) -> str:
@@ -137,10 +158,19 @@ def _source_name(base: str) -> Column:
 
 # --- Headers ---------------------------------------------------------------------------
 
+#: The raw headers that stand for a known column.
+_KNOWN = config.COLUMNS | {
+    config.RAW_WIND_DIRECTION_ALIAS: config.COLUMNS[config.RAW_WIND_DIRECTION]
+}
+_TAKEN = sorted(
+    {*config.COLUMNS.values(), config.SOURCE_FILE, TOO_LONG, "date_format", *config.OWN_COLUMNS}
+    | {f"{m}_{kind}" for m in config.METRICS for kind in ("invalid", "text", "median")}
+)
+
 
 def missing_columns(header: tuple) -> list[str]:
     """Required raw columns a header lacks, in their documented order."""
-    present = {_canonical(name) for name in header}
+    present = {_KNOWN.get(name) for name in header}
     return [raw for raw, name in config.COLUMNS.items() if name not in present]
 
 
@@ -152,27 +182,16 @@ def schema_message(header: tuple) -> str | None:
     return config.SCHEMA_FAILED.format(missing=missing, expected=list(config.COLUMNS))
 
 
-def _canonical(raw: str) -> str:
-    if raw == config.RAW_WIND_DIRECTION_ALIAS:
-        raw = config.RAW_WIND_DIRECTION
-    return config.COLUMNS.get(raw, raw)
-
-
 def column_names(header: tuple) -> list[str]:
     """Unique names: the five known columns renamed, repeats numbered.
 
     An extra column that would hide one of the package's own names, begins like its
     helper columns, or repeats an earlier column, gets a numbered suffix.
     """
-    names = []
-    taken = {name.lower() for name in config.COLUMNS.values()}
-    taken |= {config.SOURCE_FILE, TOO_LONG, "date_format"}
-    taken |= {f"{metric}_invalid" for metric in config.METRICS}
-    taken |= {f"{metric}_{kind}" for metric in config.METRICS for kind in ("text", "median")}
-    taken |= config.OWN_COLUMNS
+    names, taken = [], set(_TAKEN)
     for position, raw in enumerate(header):
-        name = _canonical(raw)
-        if name in config.RAW_HEADERS and raw != name and name not in names:
+        name = _KNOWN.get(raw)
+        if name and name not in names:
             names.append(name)
             continue
         name = raw or f"Unnamed: {position}"
@@ -185,99 +204,177 @@ def column_names(header: tuple) -> list[str]:
     return names
 
 
-def _first_records(alone: bool):
-    """The header of every file whose lines come by; ``alone`` stops after the first."""
+def first_record(lines: Iterator[str]) -> tuple[list[str], str]:
+    """The fields and the text of the first record that is not blank; empty if there is none."""
+    used = []
+
+    def record():
+        for line in lines:
+            line = line.rstrip("\r")
+            if used or line.strip("\ufeff \t"):
+                used.append(line if used else line.lstrip("\ufeff"))
+                yield used[-1] + "\n"
+
+    return next(csv.reader(record()), []), "\n".join(used)
+
+
+def _described(path: str, lines: Iterator[str]) -> tuple:
+    """A row of the table of files, but for source and size."""
+    try:
+        header, text = first_record(lines)
+    except csv.Error as error:
+        return path, None, None, None, None, str(error)
+    if not header:
+        return path, None, None, None, None, ""
+    return path, header, text, column_names(header), missing_columns(header), schema_message(header)
 
-    def described(path: str, text: str):
-        try:
-            header = next(csv.reader(text.split("\n")))
-        except csv.Error as error:
-            return (path, [], text, [], [], str(error))
-        return (path, header, text, column_names(header), missing_columns(header), schema_message(header))
+
+def _headers_of(alone: bool):
+    """Headers of the files whose lines come by; ``alone`` stops after the first."""
 
     def run(batches):
-        open_lines, done = {}, set()
-        for batch in batches:
-            rows = []
-            for path, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if path in done:
-                    continue
-                text = line.decode("utf-8", "replace").lstrip("﻿").rstrip("\r")
-                lines = open_lines.setdefault(path, [])
-                if not lines and not text.strip(" \t"):
-                    continue
-                lines.append(text)
-                if not records.inside_quotes("\n".join(lines)):
-                    rows.append(described(path, "\n".join(lines)))
-                    done.add(path)
-                    del open_lines[path]
-                    if alone:
-                        break
-            columns = [[row[n] for row in rows] for n in range(len(_HEADERS))]
+        pairs = (
+            pair
+            for batch in batches
+            for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        )
+        for path, lines in groupby(pairs, key=lambda pair: pair[0]):
+            row = _described(path, (line.decode("utf-8", "replace") for _, line in lines))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, _HEADERS)], schema=_HEADERS
+                [pa.array([value], f.type) for value, f in zip(row, _HEADERS)], schema=_HEADERS
             )
-            if alone and done:
+            if alone:
                 return
 
     return run
 
 
 def _read_headers(spark: SparkSession, sources: Sources) -> DataFrame:
-    """Path and header of every file that has one, read by tasks in a session of its own.
+    """Path and header of every file that has lines, read by tasks in sessions of their own.
 
     There a file is never cut, and files open at such a cost that large ones lie alone in
     their task, which ends after the first record.
     """
-    session = spark.newSession()
     most = 1 << 36
-    for name in ("maxPartitionBytes", "openCostInBytes"):
-        session.conf.set(f"spark.sql.files.{name}", most)
-    session.conf.set("spark.sql.files.minPartitionNum", 1)
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
-    packed = spark.newSession()
-    packed.conf.set("spark.sql.files.openCostInBytes", SMALL_FILE)
-
-    def headers(own: SparkSession, wanted: Column, alone: bool) -> DataFrame:
-        lines = _lines(own, sources.pattern).where(wanted)
+
+    def headers(wanted: Column, cost: int, alone: bool) -> DataFrame:
+        own = spark.newSession()
+        own.conf.set("spark.sql.files.maxPartitionBytes", most)
+        own.conf.set("spark.sql.files.openCostInBytes", cost)
+        own.conf.set("spark.sql.files.minPartitionNum", 1 if alone else 64)
+        own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64 if alone else 1_000)
+        lines = _lines(own, sources).where(wanted)
         return lines.select(PATH, F.col("value").cast("binary")).mapInArrow(
-            _first_records(alone), _HEADERS_DDL
+            _headers_of(alone), _HEADERS_DDL
         )
 
     size = F.col("_metadata.file_size")
-    small = headers(packed, size <= SMALL_FILE, False)
-    return small.unionByName(headers(session, size > SMALL_FILE, True))
+    small = headers(size <= SMALL_FILE, SMALL_FILE, False)
+    return small.unionByName(headers(size > SMALL_FILE, most, True))
 
 
-def _lines(spark: SparkSession, pattern: str, **options) -> DataFrame:
-    """Lines with their file. A block that cannot be read ends its file without an error."""
-    reader = spark.read.options(ignoreCorruptFiles=True, ignoreMissingFiles=True, **options)
-    return reader.text(pattern).withColumn(PATH, F.col("_metadata.file_path"))
+def _few_files(spark: SparkSession, sources: Sources) -> list | None:
+    """Statuses of the files, if they are few."""
+    if sources.count > FEW_FILES:
+        return None
+    found = []
+    for entry in _entries(spark, sources.pattern):
+        inner = [entry]
+        if entry.isDirectory():
+            fs = storage.file_system(spark, sources.pattern)
+            inner = [status for status in fs.listStatus(entry.getPath()) if status.isFile()]
+        found += [status for status in inner if not status.getPath().getName().startswith(("_", "."))]
+        if len(found) > FEW_FILES:
+            return None
+    return [status for status in found if status.getLen()]
+
+
+def _lines_of(spark: SparkSession, path) -> Iterator[str]:
+    """The lines of one file, read by the driver."""
+    jvm = spark._jvm
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        while (line := reader.readLine()) is not None:
+            yield line
+    finally:
+        reader.close()
 
 
-def _table_of_files(spark: SparkSession, sources: Sources, workspace: Workspace) -> DataFrame:
-    """One row per file: its source, size and header, and why it cannot be loaded."""
+def _described_here(spark: SparkSession, status) -> tuple:
+    path = status.getPath()
+    encoded = _uri(path)
+    try:
+        row = _described(encoded, _lines_of(spark, path))
+    except Py4JJavaError as error:
+        row = (encoded, None, None, None, None, _java_reason(error))
+    return *row, status.getLen()
+
+
+def _counts() -> list[Column]:
+    bad = F.count_if(F.col("problem").isNotNull()).alias("bad")
+    return [F.count(F.lit(1)).alias("files"), bad]
+
+
+def _few_described(spark: SparkSession, sources: Sources, found: list):
+    """The table of a few files, with its counts and all names of columns."""
+    rows = []
+    for status in found:
+        row = _described_here(spark, status)
+        folder, name = row[0].rsplit("/", 1)
+        source = name if folder == sources.base else folder.rsplit("/", 1)[-1]
+        rows.append((*row, unquote(source)))
+    schema = pa.schema([*_HEADERS, (SIZE, pa.int64()), (FILE, pa.string())])
+    columns = [pa.array([row[n] for row in rows], f.type) for n, f in enumerate(schema)]
+    bad = {row[-1] for row in rows if row[5] is not None}
+    extras = {}
+    for row in sorted(rows, key=lambda row: (row[-1], row[0])):
+        for name in row[3] or () if row[-1] not in bad else ():
+            extras.setdefault(name.lower(), name)
+    seen = {
+        "files": len(rows), "bad": sum(row[5] is not None for row in rows),
+        "sources": len({row[-1] for row in rows}), "names": _known_first(extras.values()),
+    }
+    return spark.createDataFrame(pa.table(columns, schema=schema)), seen
+
+
+def _many_described(spark: SparkSession, sources: Sources, workspace: Workspace):
+    """The same for any number of files; their names are looked up later."""
     listed = (
-        spark.read.format("binaryFile").load(sources.pattern)
-        .select(F.col("_metadata.file_path").alias(PATH), F.col("length").alias(SIZE))
+        sources.read(spark.read.format("binaryFile"))
+        .select(_paths(), F.col("length").alias(SIZE))
     )
-    headers = workspace.stage(_read_headers(spark, sources), "headers")
-    files = listed.join(headers, PATH, "left").withColumn(FILE, _source_name(sources.base))
+    files = listed.join(_read_headers(spark, sources), PATH, "left")
     problem = F.coalesce("problem", F.when(F.col("header").isNull(), F.lit("")))
-    files = workspace.stage(files.withColumn("problem", problem), "files")
-    if files.select(FILE).distinct().count() < sources.count:
+    named = files.withColumns({FILE: _source_name(sources.base), "problem": problem})
+    files = workspace.stage(named, "files")
+    return files, files.agg(*_counts(), F.count_distinct(FILE).alias("sources")).first().asDict()
+
+
+def _table_of_files(spark: SparkSession, sources: Sources, workspace: Workspace):
+    """One row per file: its source, size and header, and why it cannot be loaded.
+
+    Also how many files and sources there are, and how many with a problem.
+    """
+    few = _few_files(spark, sources)
+    if few is None:
+        files, seen = _many_described(spark, sources, workspace)
+    else:
+        files, seen = _few_described(spark, sources, few)
+    if seen["sources"] < sources.count:
         files = files.unionByName(_without_files(spark, sources, files), allowMissingColumns=True)
-    silent = files.where("problem IS NOT NULL AND (header IS NULL OR size(header) = 0)")
-    if silent.isEmpty():
-        return files
-    # Only of files without a usable header the driver asks why.
+    elif not seen["bad"]:
+        return files, seen
+    # Only of files without a header the driver asks why.
+    silent = files.where("problem IS NOT NULL AND header IS NULL")
     asked = [
         (row[PATH], _unreadable(row[PATH], row["problem"] or _reason(spark, row[PATH])))
         for row in silent.select(PATH, "problem").toLocalIterator()
     ]
     reasons = spark.createDataFrame(asked, f"{PATH} string, reason string")
     files = files.join(reasons, PATH, "left").withColumn("problem", F.coalesce("reason", "problem"))
-    return workspace.stage(files.drop("reason"), "files-with-reasons")
+    files = workspace.stage(files.drop("reason"), "files-with-reasons")
+    return files, seen | files.agg(*_counts()).first().asDict()
 
 
 def _without_files(spark: SparkSession, sources: Sources, files: DataFrame) -> DataFrame:
@@ -288,7 +385,7 @@ def _without_files(spark: SparkSession, sources: Sources, files: DataFrame) -> D
         if path.getName().startswith(("_", ".")):
             continue  # hidden
         reason = "The folder has no files" if status.isDirectory() else ""
-        names.append((path.getName(), path.toUri().toString(), 0, reason))
+        names.append((path.getName(), _uri(path), 0, reason))
     entries = spark.createDataFrame(names, f"{FILE} string, {PATH} string, {SIZE} bigint, problem string")
     return entries.join(files.select(FILE).distinct(), FILE, "left_anti")
 
@@ -297,24 +394,28 @@ def _unreadable(path: str, reason: str) -> str:
     return config.UNREADABLE_FILE.format(path=unquote(path), reason=reason)
 
 
+def _java_reason(error: Py4JJavaError) -> str:
+    cause = error.java_exception
+    return f"{cause.getClass().getSimpleName()}: {cause.getMessage()}"
+
+
 def _reason(spark: SparkSession, path: str) -> str:
     """Why a file has no header."""
-    name = unquote(path)
     try:
-        stream = storage.file_system(spark, name).open(storage.hadoop_path(spark, name))
-        try:
-            stream.read()
-        finally:
-            stream.close()
+        next(_lines_of(spark, storage.hadoop_path(spark, unquote(path))), None)
     except Py4JJavaError as error:
-        cause = error.java_exception
-        return f"{cause.getClass().getSimpleName()}: {cause.getMessage()}"
+        return _java_reason(error)
     return "No columns to parse from file"
 
 
 # --- Rows --------------------------------------------------------------------------------
 
 
+def _known_first(names) -> list[str]:
+    known = list(config.COLUMNS.values())
+    return known + [name for name in names if name not in known]
+
+
 def _all_names(files: DataFrame) -> list[str]:
     """Every column of any file: the known ones, then extras as they first appear."""
     named = files.select(FILE, PATH, F.posexplode("names").alias("position", "name"))
@@ -322,25 +423,35 @@ def _all_names(files: DataFrame) -> list[str]:
     found = named.groupBy(F.lower("name").alias("key")).agg(
         F.min(first).alias("first"), F.min_by("name", first).alias("name")
     )
-    extras = [row["name"] for row in found.orderBy("first").collect()]
-    known = list(config.COLUMNS.values())
-    return known + [name for name in extras if name not in known]
+    return _known_first(row["name"] for row in sorted(found.collect(), key=lambda row: row["first"]))
 
 
-def _fields(line: Column, width: int) -> Column:
-    """The fields of a record, cut at commas outside quotes."""
-    wide = ", ".join(f"c{n} string" for n in range(width + 1))
-    parsed = F.from_csv(line, wide, {"escape": '"', "maxCharsPerColumn": "-1"})
-    quoted = F.array(*[parsed[f"c{n}"] for n in range(width + 1)])
-    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
+def _lines(spark: SparkSession, sources: Sources, **options) -> DataFrame:
+    """Lines with their file. A block that cannot be read ends its file without an error."""
+    reader = spark.read.options(ignoreCorruptFiles=True, ignoreMissingFiles=True, **options)
+    return sources.read(reader.format("text")).select("value", "_metadata").withColumns(
+        {PATH: _paths(), "__block": F.col("_metadata.file_block_start")}
+    )
 
 
-def _parse(lines: DataFrame, files: DataFrame, names: list[str], width: int, count: int) -> DataFrame:
-    """Lines as rows of all files' columns.
+def _plain_lines(spark: SparkSession, sources: Sources) -> DataFrame:
+    """Lines with what is to be known of each.
 
-    ``lines`` has the path, whether it lies in the first block of its file, and the text.
-    One column per step, since a value is used several times.
+    These are its bytes, whether they are UTF-8, and whether a record may go on in the next
+    line: where a quoted field is open at the end, or where a carriage return ends a record.
     """
+    value, line = F.col("value"), F.col("__text")
+    lines = _lines(spark, sources, lineSep="\n").withColumn("__text", records.without_return(value))
+    return lines.select(
+        PATH, "__block", "__text",
+        (records.ends_inside(line) | F.contains(line, F.lit("\r"))).alias("__opens"),
+        F.is_valid_utf8(value).alias("__valid"),
+        (F.octet_length(value) + 1).cast("bigint").alias("__bytes"),
+    )
+
+
+def _parse(lines: DataFrame, files: DataFrame, names: list[str], count: int) -> DataFrame:
+    """Lines as rows of all files' columns."""
     wanted = F.array(*[F.lit(name.lower()) for name in names])
     lowered = F.transform("names", F.lower)
     places = F.transform(wanted, lambda name: F.array_position(lowered, name).cast("int") - 1)
@@ -348,14 +459,11 @@ def _parse(lines: DataFrame, files: DataFrame, names: list[str], width: int, cou
         PATH, FILE, F.size("header").alias("__width"), F.col("text").alias("__header"),
         places.alias("__places"),
     )
-    line = F.col("__line")
-    rows = attach(lines, facts, [PATH], "inner", count)
-    rows = rows.withColumn("__line", records.without_return(F.col("value")))
-    rows = rows.withColumn("__fields", _fields(line, width))
-    commas = F.when(F.contains(line, F.lit('"')), records.commas(line)).otherwise(F.size("__fields") - 1)
+    line = F.col("__text")
+    rows = attach(lines, facts, [PATH], "inner", count).withColumn("__fields", records.fields(line))
     kind = (
         F.when(F.btrim(line, F.lit(" \t")) == "", BLANK)
-        .when(F.col("__first") & (line == F.col("__header")), HEADER)
+        .when((F.col("__block") == 0) & (line == F.col("__header")), HEADER)
         .otherwise(DATA)
     )
     values = [
@@ -363,100 +471,88 @@ def _parse(lines: DataFrame, files: DataFrame, names: list[str], width: int, cou
         for n, name in enumerate(names)
     ]
     return rows.select(
-        FILE, *values, (commas >= F.col("__width")).alias(TOO_LONG), PATH,
+        FILE, *values, (F.size("__fields") > F.col("__width")).alias(TOO_LONG), PATH,
         kind.cast("byte").alias(KIND), "__opens", "__valid", "__bytes",
     )
 
 
-def _plain_lines(lines: DataFrame) -> DataFrame:
-    """Lines with what is to be known of each: size, whether UTF-8, whether a record ends."""
-    value = F.col("value")
-    inner_return = F.contains(records.without_return(value), F.lit("\r"))
-    return lines.select(
-        PATH, "value", (F.col("_metadata.file_block_start") == 0).alias("__first"),
-        (records.ends_inside(value) | inner_return).alias("__opens"),
-        F.is_valid_utf8(value).alias("__valid"),
-        (F.octet_length(value) + 1).cast("bigint").alias("__bytes"),
-    )
-
-
 def scan(spark: SparkSession, sources: Sources, workspace: Workspace | None = None) -> Scan:
     """Read sources by one scan; reject those that cannot be read or lack columns."""
     workspace = workspace or Workspace(spark)
-    files = _table_of_files(spark, sources, workspace)
-    bad = files.where("problem IS NOT NULL").select(FILE).distinct()
-    good = workspace.stage(files.join(bad, FILE, "left_anti"), "good-files")
-    size = good.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("header")).alias("width")).first()
-    if not size["n"]:
-        return Scan(None, _facts(files, workspace))
-    names = _all_names(good)
-    lines = _plain_lines(_lines(spark, sources.pattern, lineSep="\n"))
-    parsed = workspace.stage(_parse(lines, good, names, size["width"], size["n"]), "lines")
+    files, size = _table_of_files(spark, sources, workspace)
+    good, count = files, size["files"]
+    if size["bad"]:
+        bad = files.where("problem IS NOT NULL").select(FILE).distinct()
+        good = workspace.stage(files.join(bad, FILE, "left_anti"), "good-files")
+        if good.isEmpty():
+            return Scan(None, _facts(files))
+    names = size.get("names") or _all_names(good)
+    parsed = workspace.stage(_parse(_plain_lines(spark, sources), good, names, count), "rows")
     summary = parsed.groupBy(PATH).agg(
         F.sum("__bytes").alias("read"), F.bool_and("__valid").alias("valid"),
         F.bool_or("__opens").alias("opens"), F.count_if(F.col(KIND) == HEADER).alias("headers"),
     )
-    good = workspace.stage(_with_problems(good.join(summary, PATH, "left")), "read-files")
-    seen = good.agg(
-        F.count_if(F.expr("problem IS NULL AND opens")).alias("opens"),
-        F.count_if(F.expr("problem IS NOT NULL")).alias("broken"), F.max("headers").alias("headers"),
-    ).first()
+    read = _with_problems(good.join(summary, PATH, "left"))
+    counts = [
+        F.count_if(F.col("problem").isNotNull()).alias("broken"), F.max("headers").alias("headers"),
+    ]
+    opens = F.col("problem").isNull() & F.col("opens")
+    seen = read.agg(F.count_if(opens).alias("opens"), *counts).first()
+    if seen["opens"] or seen["broken"]:
+        read = workspace.stage(read, "read-files")
     if seen["opens"]:
-        parsed, good = _with_records(
-            spark, sources, parsed, good, names, size, seen["opens"], workspace
-        )
-        seen = good.agg(
-            F.count_if(F.expr("problem IS NOT NULL")).alias("broken"), F.max("headers").alias("headers")
-        ).first()
+        parsed, read = _with_records(spark, sources, parsed, read, names, seen["opens"], workspace)
+        seen = read.agg(*counts).first()
     if seen["broken"]:
-        lost = workspace.stage(good.where("problem IS NOT NULL").select(FILE).distinct(), "lost")
-        parsed = attach(parsed, lost, [FILE], "left_anti")
-    checked = files.drop("problem").join(good.select(PATH, F.col("problem").alias("late")), PATH, "left")
-    checked = checked.join(files.select(PATH, "problem"), PATH)
-    facts = _facts(checked.withColumn("problem", F.coalesce("problem", "late")), workspace)
-    return Scan(_data_rows(parsed, names, seen["headers"] > 1), facts)
+        late = read.where("problem IS NOT NULL").select(PATH, FILE, F.col("problem").alias("late"))
+        parsed = attach(parsed, late.select(FILE).distinct(), [FILE], "left_anti")
+        files = files.join(late.drop(FILE), PATH, "left").withColumn("problem", F.coalesce("problem", "late"))
+    return Scan(_data_rows(parsed, names, seen["headers"] > 1), _facts(files))
 
 
-def _with_problems(good: DataFrame) -> DataFrame:
-    """Files that broke off while they were read, or hold other bytes than UTF-8."""
-    text = F.lit(config.UNREADABLE_FILE)
+def _said(reason: Column) -> Column:
+    text = F.replace(F.lit(config.UNREADABLE_FILE), F.lit("{path}"), _plain(F.col(PATH)))
+    return F.replace(text, F.lit("{reason}"), reason)
+
+
+def _plain(path: Column) -> Column:
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
-    def said(reason: Column) -> Column:
-        plain = F.url_decode(F.replace(PATH, F.lit("+"), F.lit("%2B")))
-        return F.replace(F.replace(text, F.lit("{path}"), plain), F.lit("{reason}"), reason)
 
+def _with_problems(good: DataFrame) -> DataFrame:
+    """Files that broke off while they were read, or hold other bytes than UTF-8."""
     read = F.coalesce("read", F.lit(0))
     short = F.format_string("only %d of %d bytes could be read", read, SIZE)
     problem = (
-        F.when(read + MARK_BYTES < F.col(SIZE), said(short))
-        .when(~F.col("valid"), said(F.lit("the text is not UTF-8")))
+        F.when(read + MARK_BYTES < F.col(SIZE), _said(short))
+        .when(~F.col("valid"), _said(F.lit("the text is not UTF-8")))
     )
     return good.withColumn("problem", problem)
 
 
-def _with_records(spark, sources, parsed, good, names, size, count, workspace):
+def _with_records(spark, sources, parsed, good, names, count, workspace):
     """Files with records over several lines, read again by record."""
     opened = good.where("problem IS NULL AND opens").select(PATH)
-    lines = _lines(spark, sources.pattern)
+    lines = _lines(spark, sources)
     if count <= NAMED_PATHS:  # a filter on paths keeps Spark from opening other files
-        lines = lines.where(F.col("_metadata.file_path").isin([r[PATH] for r in opened.collect()]))
-    lines = attach(lines.withColumn("__block", F.col("_metadata.file_block_start")), opened, [PATH], "left_semi", count)
-    whole, unclosed = records.assemble(lines.select(PATH, "__block", "value"), workspace)
+        named = [row[PATH] for row in opened.collect()]
+        named += [re.sub(r"^(\w+):/(?!/)", r"\1:///", path) for path in named]
+        lines = lines.where(F.col("_metadata.file_path").isin(named))
+    lines = lines.select(PATH, "__block", F.monotonically_increasing_id().alias("__line"), "value")
+    lines = attach(lines, opened, [PATH], "left_semi", count)
+    whole, unclosed = records.assemble(lines, workspace)
     whole = whole.select(
-        PATH, "value", (F.col("__block") == 0).alias("__first"), F.lit(False).alias("__opens"),
+        PATH, "__block", F.col("value").alias("__text"), F.lit(False).alias("__opens"),
         F.lit(True).alias("__valid"), F.lit(0).cast("bigint").alias("__bytes"),
     )
-    again = workspace.stage(_parse(whole, good, names, size["width"], size["n"]), "records")
+    again = workspace.stage(_parse(whole, good, names, good.count()), "records")
     headers = again.groupBy(PATH).agg(F.count_if(F.col(KIND) == HEADER).alias("counted"))
     good = good.join(headers, PATH, "left").withColumn("headers", F.coalesce("counted", "headers"))
     good = good.drop("counted").join(unclosed, PATH, "left")
-    unended = F.replace(
-        F.lit(config.UNREADABLE_FILE.replace("{reason}", "a quoted field is not closed")),
-        F.lit("{path}"), F.url_decode(F.replace(PATH, F.lit("+"), F.lit("%2B"))),
-    )
-    good = good.withColumn("problem", F.coalesce("problem", F.when(F.col("unclosed"), unended)))
+    unended = F.when(F.col("unclosed"), _said(F.lit("a quoted field is not closed")))
+    good = good.withColumn("problem", F.coalesce("problem", unended)).drop("unclosed")
     parsed = attach(parsed, opened, [PATH], "left_anti", count).unionByName(again)
-    return parsed, workspace.stage(good.drop("unclosed"), "read-again")
+    return parsed, workspace.stage(good, "read-again")
 
 
 def _data_rows(parsed: DataFrame, names: list[str], repeated: bool) -> DataFrame:
@@ -475,13 +571,12 @@ def _data_rows(parsed: DataFrame, names: list[str], repeated: bool) -> DataFrame
     return rows.unionByName(again.drop("__copy"))
 
 
-def _facts(files: DataFrame, workspace: Workspace) -> DataFrame:
+def _facts(files: DataFrame) -> DataFrame:
     """One row per source: columns of its widest part, what its headers lack, why rejected."""
     reason = F.min_by("problem", F.when(F.col("problem").isNotNull(), F.col(PATH)))
     lacking = [F.bool_or(F.array_contains("missing", raw)) for raw in config.COLUMNS]
     names = [F.when(lacks, raw) for lacks, raw in zip(lacking, config.COLUMNS)]
-    facts = files.groupBy(FILE).agg(
+    return files.groupBy(FILE).agg(
         F.coalesce(F.max(F.size("header")), F.lit(0)).alias("columns"),
         F.array_compact(F.array(*names)).alias("missing"), reason.alias("reason"),
     )
-    return workspace.stage(facts, "sources")

@@ -13,22 +13,9 @@ PATH = "__path"
 #: A quoted field from its start, once doubled quotes are taken out.
 QUOTED = r'(^|,)"[^"]*"'
 OPEN = r'(^|,)"'
-
-
-def inside_quotes(text: str) -> bool:
-    """Whether a text that starts outside quotes ends inside a quoted field."""
-    inside, start, n = False, True, 0
-    while n < len(text):
-        if inside and text[n] == '"':
-            if text[n + 1 : n + 2] == '"':
-                n += 1
-            else:
-                inside = False
-        elif not inside:
-            inside = start and text[n] == '"'
-            start = text[n] == "," or text[n] == "\n"
-        n += 1
-    return inside
+#: Stands for a doubled quote; no character of any text.
+DOUBLED = "\uffff"
+FIELD = f',({DOUBLED}*"[^"]*"[^,]*|[^,]*)'
 
 
 def _bare(text: Column) -> Column:
@@ -41,10 +28,29 @@ def ends_inside(line: Column) -> Column:
     return F.contains(line, F.lit('"')) & _bare(line).rlike(OPEN)
 
 
-def commas(record: Column) -> Column:
-    """Commas of a record outside quotes."""
-    bare = _bare(record)
-    return F.octet_length(bare) - F.octet_length(F.replace(bare, F.lit(","), F.lit("")))
+def fields(record: Column) -> Column:
+    """The fields of a record, however many, cut at commas outside quotes.
+
+    A field that begins with a quote goes to the quote that closes it, with doubled quotes
+    for one; what follows it up to the comma belongs to the field as it is, as do quotes
+    within other fields.
+    """
+    single = F.replace(F.concat(F.lit(","), record), F.lit('""'), F.lit(DOUBLED))
+    cut = F.regexp_extract_all(single, F.lit(FIELD), 1)
+    quoted = F.transform(cut, _value)
+    return F.when(F.contains(record, F.lit('"')), quoted).otherwise(F.split(record, ","))
+
+
+def _value(field: Column) -> Column:
+    """The value of a field in which doubled quotes are marked from the field's left end."""
+    doubled, two = F.lit(DOUBLED), F.lit('""')
+    written = F.replace(field, doubled, two)
+    # From behind the opening quote on, the first quote that is not doubled closes the field.
+    after = F.replace(F.substr(written, F.lit(2)), two, doubled)
+    inner = F.substring_index(after, '"', 1)
+    rest = F.substr(after, F.length(inner) + 2)
+    closed = F.concat(F.replace(inner, doubled, F.lit('"')), F.replace(rest, doubled, two))
+    return F.when(F.startswith(written, F.lit('"')), closed).otherwise(written)
 
 
 def without_return(line: Column) -> Column:
@@ -66,8 +72,8 @@ def _state(window, start: Column) -> Column:
 def assemble(lines: DataFrame, workspace) -> tuple[DataFrame, DataFrame]:
     """The records of files, and the files that end inside a quoted field.
 
-    ``lines`` has a path, the start of the block it lies in, and a text, as Spark reads them;
-    lines of one block are in one partition, in their order. Line ends inside a record come
+    ``lines`` has a path, the start of the block it lies in, a number that grows within the
+    block, and a text. Line ends inside a record come
     out as line feeds. A record that begins in one block and ends in another belongs to the
     first. No more than the lines of one record, and one row per block of a file, meet in
     one place beside the lines of a block.
@@ -75,18 +81,18 @@ def assemble(lines: DataFrame, workspace) -> tuple[DataFrame, DataFrame]:
     value = F.col("value")
     from_outside = ends_inside(value)
     from_inside = _bare(F.concat(F.lit('"x'), value)).rlike(OPEN)
-    steps = lines.withColumn("line", F.monotonically_increasing_id()).withColumns(
+    steps = lines.withColumns(
         {"outside": from_outside, "inside": F.when(F.contains(value, F.lit('"')), from_inside).otherwise(True)}
     )
     steps = workspace.stage(
         steps.select(
-            PATH, "__block", "line", "value",
+            PATH, "__block", "__line", "value",
             F.when(F.col("outside") == F.col("inside"), F.col("outside")).alias("sets"),
             (F.col("outside") & ~F.col("inside")).cast("int").alias("turn"),
         ),
         "steps",
     )
-    in_block = Window.partitionBy(PATH, "__block").orderBy("line")
+    in_block = Window.partitionBy(PATH, "__block").orderBy("__line")
     through = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
     steps = steps.withColumn("turns", F.sum("turn").over(through))
@@ -96,7 +102,7 @@ def assemble(lines: DataFrame, workspace) -> tuple[DataFrame, DataFrame]:
     # What a whole block does: its last row that sets the state, and the turns after it.
     ends = steps.groupBy(PATH, "__block").agg(
         F.sum("turn").alias("all_turns"),
-        F.max_by("set_at", F.when(F.col("set_at").isNotNull(), F.col("line"))).alias("last_set"),
+        F.max_by("set_at", F.when(F.col("set_at").isNotNull(), F.col("__line"))).alias("last_set"),
     )
     odd = F.when(F.col("last_set").isNull(), F.col("all_turns")).otherwise(
         F.col("all_turns") - F.col("last_set.turns")
@@ -124,7 +130,7 @@ def assemble(lines: DataFrame, workspace) -> tuple[DataFrame, DataFrame]:
     steps = steps.withColumn("record", F.sum((~F.col("within")).cast("int")).over(through))
     goes_on = F.coalesce("sets", F.col("within") != (F.col("turn") == 1))
     steps = workspace.stage(
-        steps.select(PATH, "__block", "line", "value", "record", "within", goes_on.alias("goes_on")),
+        steps.select(PATH, "__block", "__line", "value", "record", "within", goes_on.alias("goes_on")),
         "numbered-lines",
     )
     # Lines before the first start of a block belong to the last record begun before it.
@@ -139,10 +145,11 @@ def assemble(lines: DataFrame, workspace) -> tuple[DataFrame, DataFrame]:
     placed = steps.where(~single).join(begun, [PATH, "__block"]).select(
         PATH, F.when(F.col("record") > 0, F.struct(F.col("__block").alias("block"), "record"))
         .otherwise(F.col("carried")).alias("at"),
-        F.struct("__block", "line", "value").alias("piece"),
+        F.struct("__block", "__line", "value").alias("piece"),
     )
     pieces = F.array_sort(F.collect_list("piece"))
     whole = placed.groupBy(PATH, "at").agg(pieces.alias("pieces"))
     text = F.array_join(F.transform("pieces", lambda piece: piece["value"]), "\n")
-    whole = whole.select(PATH, F.col("at.block").alias("__block"), text.alias("value"))
-    return steps.where(single).select(PATH, "__block", "value").unionByName(whole), unclosed
+    begun_by = F.col("pieces")[0]["__line"]
+    whole = whole.select(PATH, F.col("at.block").alias("__block"), begun_by.alias("__line"), text.alias("value"))
+    return steps.where(single).select(*whole.columns).unionByName(whole), unclosed

@@ -293,10 +293,62 @@ SELECT source_file, 'clean' AS stage,
 FROM kept WHERE {PARSED} IS NULL GROUP BY source_file"""
 
 
+def quoted():
+    n, lf = "CAST(coalesce(wind_speed, '0') AS BIGINT)", "chr(10)"
+    return f"""WITH {raw(farm=CSV_FARM)}
+SELECT {", ".join(("date_time", *METRICS, "source_file"))},
+  CASE WHEN {n} % 5 = 0 THEN concat('first', {lf}, 'of ', {n}) ELSE concat('f', {n}) END AS note_a,
+  CASE WHEN {n} % 3 = 0 THEN concat('said "stop, now"', {lf}, {lf}, {n}, ',') END AS note_b,
+  CASE WHEN {n} % 4 = 0 THEN concat({n}, {lf}, 'end "') ELSE concat({n}, '" pipe') END AS note_c
+FROM r"""
+
+
+def layouts():
+    short = "source_file LIKE '%2.csv' AND wind_speed IS NULL"
+    extras = "site, note"
+    return f"""WITH {raw(farm=CSV_FARM)},
+laid_out AS (SELECT source_file, date_time, active_power, wind_speed,
+    CASE WHEN {short} THEN NULL ELSE theoretical_power END AS theoretical_power,
+    CASE WHEN {short} THEN NULL ELSE wind_direction END AS wind_direction,
+    CASE WHEN source_file LIKE '%1.csv' THEN 'a'
+         WHEN source_file LIKE '%2.csv' AND wind_speed IS NOT NULL THEN 'b,c' END AS site,
+    CAST(NULL AS VARCHAR) AS note
+  FROM raw),
+distinct_rows AS (SELECT DISTINCT * FROM laid_out),
+typed AS (SELECT source_file, date_time, {TYPED_COLUMNS}, {extras} FROM distinct_rows), {KEPT}, {MEDIANS}
+SELECT k.source_file, {PARSED} AS date_time, active_power, {FILLED_COLUMNS}, {extras}
+FROM kept k JOIN medians m USING (source_file)"""
+
+
+def failing(columns):
+    lacking = f"{config.RAW_WIND_SPEED}, {config.RAW_WIND_DIRECTION}"
+    named = lacking.replace(", ", "', '")
+    schema = config.SCHEMA_FAILED.format(missing=f"['{named}']", expected=list(config.COLUMNS))
+    unreadable = config.UNREADABLE_FILE.format(path="farm=%s.csv", reason="%s")
+    reasons = {
+        1: schema, 2: unreadable % (2, "a row has more fields than the header"),
+        3: unreadable % (3, "the text is not UTF-8"),
+    }
+    rows = ", ".join(
+        "({}, {}, '{}', 'load', {})".format(
+            f"'farm={farm}.csv'", farm != 1, lacking if farm == 1 else "",
+            "'" + reasons[farm].replace("'", "''") + "'" if farm in reasons else "NULL",
+        )
+        for farm in range(4)
+    )
+    table = f"(VALUES {rows}) AS f(source_file, valid, missing, stage, reason)"
+    return f"""WITH {raw(farm=CSV_FARM)}
+SELECT {columns} FROM {table} WHERE source_file IN (SELECT source_file FROM raw)"""
+
+
 def oracle_sql() -> dict[str, str]:
     file_rows = f"WITH {raw(farm=CSV_FARM)} SELECT source_file, count(*) AS rows"
     return {
         "scan_csv": f"WITH {raw(farm=CSV_FARM)} SELECT * FROM raw",
+        "scan_csv_quoted": quoted(),
+        "batch_layouts": layouts(),
+        "schema_check_failures": failing("source_file, valid, missing"),
+        "skipped_at_load": failing("source_file, stage, reason") + " AND reason IS NOT NULL",
         "na_tokens": na_tokens(),
         "load_counts": f"{file_rows}, CAST(5 AS BIGINT) AS columns FROM raw GROUP BY 1",
         "schema_check": f"{file_rows}, true AS valid, '' AS missing FROM raw GROUP BY 1",
