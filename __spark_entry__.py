@@ -102,7 +102,7 @@ def _line_scan(spark, sf_dir, view):
 def scan_csv_quoted(spark, sf_dir):
     """Records over several lines, in files cut into several splits."""
     session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    session.conf.set("spark.sql.files.maxPartitionBytes", 500_000)
     return _line_scan(session, sf_dir, adapter.quoted_lines).rows.drop(csv_scan.TOO_LONG)
 
 
@@ -152,8 +152,8 @@ def report_bundle(spark, sf_dir):
 # --- Cleaning ---------------------------------------------------------------------
 
 
-def _deduplicated(spark, sf_dir):
-    raw = scada_raw(spark, sf_dir)
+def _deduplicated(spark, sf_dir, view=scada_raw):
+    raw = view(spark, sf_dir)
     profile = Workspace(spark).stage(cleaning.raw_profile(raw), "raw-profile")
     return profile, cleaning.deduplicate(raw, profile)
 
@@ -162,6 +162,12 @@ def dedup_rows(spark, sf_dir):
     return _deduplicated(spark, sf_dir)[1]
 
 
+def dedup_spellings(spark, sf_dir):
+    """Rows that differ in how their numbers are written, by each file's kind of numbers."""
+    rows = _deduplicated(spark, sf_dir, adapter.scada_spellings)[1]
+    return rows.select(FILE, "date_time", "active_power", "active_power_invalid")
+
+
 def duplicate_count(spark, sf_dir):
     return cleaning.duplicate_count(*_deduplicated(spark, sf_dir))
 
@@ -375,7 +381,7 @@ def chart_monthly_bar(spark, sf_dir):
 _QUERIES = [
     scan_csv, scan_csv_quoted, na_tokens, load_counts, schema_check, schema_check_failures,
     batch_union, batch_layouts, skipped_files, skipped_at_load,
-    report_bundle, dedup_rows, duplicate_count, coerce_numeric, coercion_counts,
+    report_bundle, dedup_rows, dedup_spellings, duplicate_count, coerce_numeric, coercion_counts,
     drop_critical, null_counts, median_fill, median_by_brackets,
     parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_counts,
     quality_log_rows, quality_log_for_run, describe_stats,

@@ -47,14 +47,22 @@ DAY_FIRST_DATE = r"^\s*(\d{1,2})[-/. ](1[0-2]|0?[1-9])[-/. ](\d{4})" + CLOCK
 
 MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MONTH = (
-    r"(?i:(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)"
-    r"(?:uary|ruary|ch|il|e|y|ust|tember|t|ober|ember)?)"
+    r"(?i:(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    r"|sep(?:t|tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))"
+)
+WEEKDAY = (
+    r"(?i)\b(mon(day)?|tue(sday)?|wed(nesday)?|thu(rsday)?|fri(day)?|sat(urday)?|sun(day)?)\b[,.]?\s*"
 )
 MERIDIEM = r"(?i)(\d)\s*([ap])m\s*$"
 NAME_SECOND = r"^\s*(\d{1,2})[-/ .]+" + _MONTH + r"[-/ .,]+(\d{4}|\d{2})(\D.*)?$"
 NAME_FIRST = r"^\s*" + _MONTH + r"[-/ .]+(\d{1,2})(?:,\s*|[-/ .]+)(\d{4}|\d{2})(\D.*)?$"
+NAME_AFTER_YEAR = r"^\s*(\d{4}|3[2-9]|[4-9]\d)[-/ .]+" + _MONTH + r"[-/ .,]+(\d{1,2})(\D.*)?$"
+CLOCK_BEFORE_YEAR = r"^\s*" + _MONTH + r"\s+(\d{1,2})\s+(\d{1,2}:\d{1,2}(?::\d{1,2})?)\s+(\d{4})\s*$"
+NAME_AND_YEAR = r"^\s*" + _MONTH + r"[-/ .,]+(\d{4})\s*$"
+YEAR_AND_MONTH = r"^\s*(\d{4})[-/.](\d{1,2})\s*$"
 COMPACT = r"^\s*(\d{4})(\d\d)(\d\d)(?:[ T]*(\d\d):?(\d\d):?(\d\d)?)?\s*$"
 SHORT_YEAR = r"^\s*(\d{1,2})([-/.])(\d{1,2})[-/.](\d{2})(\D.*)?$"
+SHORT_YEAR_FIRST = r"^\s*(3[2-9]|[4-9]\d)[-/.](\d{1,2})[-/.](\d{1,2})(\D.*)?$"
 
 # Timestamps outside this range do not fit 64-bit nanoseconds and are rejected.
 EARLIEST = "1677-09-21 00:12:43.145225"

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.dates import (
-    in_numbers, in_range, is_padded, is_strict, iso_text, meridiem, on_twelve_hours,
+    in_numbers, in_range, is_padded, is_strict, iso_text, meridiem, on_twelve_hours, rarely,
+    with_whole_clock,
 )
 from anemoscope.functions.numbers import integer, number
 from anemoscope.functions.text import col
@@ -66,7 +67,9 @@ def raw_profile(raw: DataFrame) -> DataFrame:
     """Per file: rows, over-long rows, and which columns hold only numbers.
 
     Duplicates compare values after type inference, so '1.0' equals '1.00' in a
-    column of numbers and differs in a column that also holds other text.
+    column of numbers and differs in a column that also holds other text. A metric
+    without missing values whose numbers are all written as 64-bit integers is
+    compared as such, any other as DOUBLE.
     """
     facts = [F.count(F.lit(1)).alias(ROWS_IN)]
     if TOO_LONG in raw.columns:
@@ -75,7 +78,10 @@ def raw_profile(raw: DataFrame) -> DataFrame:
         facts.append(F.lit(0).cast("bigint").alias("long_rows"))
     for metric in config.METRICS:
         text = col(metric).cast("string")
-        facts.append(_none(text.isNotNull() & number(text).isNull(), f"{metric}_text"))
+        facts += [
+            _none(text.isNotNull() & number(text).isNull(), f"{metric}_text"),
+            _none(_as_integer(text).isNull(), f"__{metric}_whole", True),
+        ]
     for i, name in enumerate(extra_columns(raw)):
         text = col(name).cast("string")
         facts += [
@@ -86,6 +92,10 @@ def raw_profile(raw: DataFrame) -> DataFrame:
     return raw.groupBy(FILE).agg(*facts)
 
 
+def _as_integer(text: Column) -> Column:
+    return F.trim(text).try_cast("bigint")
+
+
 def _none(condition: Column, name: str, wanted: bool = False) -> Column:
     found = F.coalesce(F.bool_or(condition), F.lit(False))
     return (~found if wanted else found).alias(name)
@@ -109,20 +119,24 @@ def deduplicate(
     rows = attach(rows, loadable, [FILE], "inner", files)
     keys = [F.col(FILE), F.col("date_time")]
     for metric in config.METRICS:
-        is_text = F.col(f"{metric}_text")
+        is_text, whole = F.col(f"{metric}_text"), F.col(f"__{metric}_whole")
         keys += [
-            F.when(~is_text, number(col(metric))).alias(metric),
+            F.when(~is_text & ~whole, number(col(metric))).alias(metric),
+            F.when(whole, _as_integer(col(metric))).alias(f"__{metric}_value"),
             F.when(is_text, col(metric)).alias(f"{metric}_text"),
         ]
     keys += [_canonical(col(name), i).alias(name) for i, name in enumerate(extras)]
     distinct = rows.select(*keys).distinct()
-    values = {m: F.coalesce(col(m), number(col(f"{m}_text"))) for m in config.METRICS}
+    values = {
+        m: F.coalesce(m, F.col(f"__{m}_value").cast("double"), number(col(f"{m}_text")))
+        for m in config.METRICS
+    }
     invalid = {
-        f"{m}_invalid": F.col(f"{m}_text").isNotNull() & col(m).isNull()
+        f"{m}_invalid": F.col(f"{m}_text").isNotNull() & F.col(m).isNull()
         for m in config.METRICS
     }
     typed = distinct.withColumns(values).withColumns(invalid)
-    return typed.drop(*[f"{m}_text" for m in config.METRICS])
+    return typed.drop(*[name for m in config.METRICS for name in (f"{m}_text", f"__{m}_value")])
 
 
 def _canonical(text: Column, i: int) -> Column:
@@ -154,26 +168,35 @@ def parse_dates(table: DataFrame, dayfirst: bool = False) -> DataFrame:
     A file with any value outside the strict format counts as inferred. Values
     in the strict format mean the same either way, so rows are parsed alone.
     """
-    text, padded = F.col("__text"), F.col("__padded")
-    # One column per step: a single expression would outgrow what the JIT compiles.
+    text, padded, strict = F.col("__text"), F.col("__padded"), F.col("__strict")
+    moment, half = F.col("__moment"), F.col("__half")
+    # One column per step: a single expression would outgrow what the JIT compiles. Only what
+    # is in no form of numbers goes through the forms with names and short years.
+    other = text.isNotNull() & F.col("__written").isNull()
     stepwise = (
         table.withColumn("__text", F.col("date_time").cast("string"))
         .withColumn("__padded", is_padded(text))
-        .withColumn("__half", F.when(padded, "").otherwise(meridiem(text)))
-        .withColumn("__plain", F.when(padded | is_strict(text), text).otherwise(in_numbers(text)))
-        .withColumn("__iso", F.when(padded, text).otherwise(iso_text(F.col("__plain"), dayfirst)))
-        .withColumn("__read", F.col("__iso").try_cast("timestamp_ntz"))
-        .withColumn("__moment", on_twelve_hours(F.col("__read"), F.col("__half")))
-        .withColumn("date_time", in_range(F.col("__moment")))
+        .withColumn("__strict", padded | is_strict(text))
+        .withColumn("__written", F.when(padded, text).otherwise(iso_text(text, dayfirst)))
+        .withColumn("__plain", F.when(other, in_numbers(text)))
+        .withColumn("__half", F.when(other, meridiem(text)))
+        .withColumn("__later", F.when(other, rarely(F.col("__plain"), lambda t: iso_text(t, dayfirst))))
+        .withColumn("__found", F.coalesce("__written", "__later"))
+        .withColumn("__iso", F.when(padded, text).otherwise(with_whole_clock(F.col("__found"))))
+        .withColumn("__moment", in_range(F.col("__iso").try_cast("timestamp_ntz")))
+        .withColumn("date_time", F.when(half.isNull(), moment).otherwise(on_twelve_hours(moment, half)))
     )
     understood = (
         F.when(text.isNull(), None)
         .when(F.col("date_time").isNull(), "failed")
-        .when(padded | is_strict(text), "strict")
+        .when(strict, "strict")
         .otherwise("flexible")
     )
     parsed = stepwise.withColumn(DATE_FORMAT, understood)
-    return parsed.drop("__text", "__padded", "__half", "__plain", "__iso", "__read", "__moment")
+    return parsed.drop(
+        "__text", "__padded", "__strict", "__written", "__plain", "__half", "__later", "__found",
+        "__iso", "__moment",
+    )
 
 
 # --- Missing values --------------------------------------------------------------

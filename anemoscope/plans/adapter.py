@@ -139,6 +139,21 @@ def csv_folder(spark: SparkSession, sf_dir: str, view) -> str:
     return _CSV_FOLDERS[key]
 
 
+def scada_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies whose powers are spelled differently: whole, with fractions, with text, with gaps."""
+    large = "WHEN 1 THEN '9007199254740992' WHEN 2 THEN '9007199254740993'"
+    whole = f"CASE l_linenumber {large} WHEN 3 THEN '1' WHEN 4 THEN ' 1' ELSE '01' END"
+    spelled = f"CASE l_linenumber {large} WHEN 3 THEN '1' WHEN 4 THEN '1.0' WHEN 5 THEN '1e0' ELSE ' 1' END"
+    return lineitem(spark, sf_dir).selectExpr(
+        f"{FARM} AS source_file",
+        "date_format(l_shipdate, 'yyyy-MM-01 00:00:00') AS date_time",
+        f"CASE l_suppkey % 4 WHEN 0 THEN {whole} WHEN 1 THEN {spelled}"
+        f" WHEN 2 THEN CASE WHEN l_linenumber = 7 THEN 'bad' ELSE {spelled} END"
+        f" ELSE CASE WHEN l_linenumber < 7 THEN {whole} END END AS active_power",
+        "'5' AS wind_speed", "'6' AS theoretical_power", "'7' AS wind_direction",
+    )
+
+
 # --- Files that no writer of Spark's would write ---------------------------------------
 
 RAW = config.RAW_HEADERS

@@ -293,6 +293,29 @@ SELECT source_file, 'clean' AS stage,
 FROM kept WHERE {PARSED} IS NULL GROUP BY source_file"""
 
 
+def spellings():
+    large = "WHEN 1 THEN '9007199254740992' WHEN 2 THEN '9007199254740993'"
+    whole = f"CASE l_linenumber {large} WHEN 3 THEN '1' WHEN 4 THEN ' 1' ELSE '01' END"
+    spelled = f"CASE l_linenumber {large} WHEN 3 THEN '1' WHEN 4 THEN '1.0' WHEN 5 THEN '1e0' ELSE ' 1' END"
+    number = "CAST(TRY_CAST(trim(power) AS DOUBLE) AS VARCHAR)"
+    return f"""WITH spelled AS (
+  SELECT l_suppkey % 4 AS farm, strftime(l_shipdate, '%Y-%m-01 00:00:00') AS date_time,
+    CASE l_suppkey % 4 WHEN 0 THEN {whole} WHEN 1 THEN {spelled}
+      WHEN 2 THEN CASE WHEN l_linenumber = 7 THEN 'bad' ELSE {spelled} END
+      ELSE CASE WHEN l_linenumber < 7 THEN {whole} END END AS power
+  FROM lineitem),
+kinds AS (SELECT farm, bool_or(power = 'bad') AS text, bool_and(power IS NOT NULL) AS filled,
+    bool_and(TRY_CAST(power AS DOUBLE) IS NULL OR NOT regexp_matches(power, '[.e]')) AS whole
+  FROM spelled GROUP BY farm),
+keyed AS (SELECT DISTINCT farm, date_time,
+    CASE WHEN text THEN power WHEN whole AND filled THEN CAST(TRY_CAST(trim(power) AS BIGINT) AS VARCHAR)
+      ELSE {number} END AS power
+  FROM spelled JOIN kinds USING (farm))
+SELECT concat('farm_', CAST(farm AS VARCHAR)) AS source_file, date_time,
+  TRY_CAST(trim(power) AS DOUBLE) AS active_power, coalesce(power = 'bad', false) AS active_power_invalid
+FROM keyed"""
+
+
 def quoted():
     n, lf = "CAST(coalesce(wind_speed, '0') AS BIGINT)", "chr(10)"
     return f"""WITH {raw(farm=CSV_FARM)}
@@ -356,6 +379,7 @@ def oracle_sql() -> dict[str, str]:
         "skipped_files": skipped(),
         "report_bundle": trend(f"{csv_clean_scada()}, {monthly('clean')}, {daily('clean')}"),
         "dedup_rows": f"WITH {raw()}, {DISTINCT}, {typed('distinct_rows')} SELECT * FROM typed",
+        "dedup_spellings": spellings(),
         "duplicate_count": f"""WITH {raw()}, {DISTINCT}
 SELECT source_file, b.n AS rows_in, d.n AS rows_distinct, b.n - d.n AS row_count
 FROM (SELECT source_file, count(*) n FROM raw GROUP BY 1) b

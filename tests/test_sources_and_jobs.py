@@ -291,3 +291,26 @@ def test_common_date_forms(spark, text, moment):
     table = spark.createDataFrame([(text,)], "date_time string")
     found = parse_dates(table).first()
     assert (found.date_time and str(found.date_time)) == moment
+
+
+MORE_FORMS = [
+    ("Mayuary 5, 2018", None), ("5 Junember 2018", None), ("Tues 2 Jan 2018", None), ("Mon", None),
+    ("Mon, 01 Jan 2018 00:10", "2018-01-01 00:10:00"), ("Monday 01 January 2018", "2018-01-01 00:00:00"),
+    ("Mon 2018-01-01 00:10", "2018-01-01 00:10:00"), ("2018-01-02 Tue 03:04", "2018-01-02 03:04:00"),
+    ("Mon Jan  1 00:10:00 2018", "2018-01-01 00:10:00"), ("Jan 1 2018 Mon", "2018-01-01 00:00:00"),
+    ("Tue 02/01/2018", "2018-02-01 00:00:00"), ("Sun, Jan 5, 2018 3 PM", "2018-01-05 15:00:00"),
+    ("2018 Jan 5", "2018-01-05 00:00:00"), ("2018-Jan-05 10:00", "2018-01-05 10:00:00"),
+    ("99 Jan 05", "1999-01-05 00:00:00"), ("5 Jan 18", "2018-01-05 00:00:00"), ("Jan 2018", "2018-01-01 00:00:00"),
+    ("2018-01", "2018-01-01 00:00:00"), ("18-01-02", "2002-01-18 00:00:00"), ("99-01-02", "1999-01-02 00:00:00"),
+    ("32/01/02 03:04", "2032-01-02 03:04:00"), ("45.1.2", "2045-01-02 00:00:00"), ("99/13/02", None),
+    ("99-1-2 5 pm", "1999-01-02 17:00:00"), ("2018-W01-1", None), ("2018-001", None),
+]
+
+
+def test_more_date_forms(spark):
+    from anemoscope.operators.cleaning import parse_dates
+
+    table = spark.createDataFrame([(text,) for text, _ in MORE_FORMS], "text string")
+    found = parse_dates(table.withColumn("date_time", F.col("text"))).collect()
+    found = {row.text: row.date_time and str(row.date_time) for row in found}
+    assert found == dict(MORE_FORMS)
