@@ -225,6 +225,16 @@ def clean_table(spark, sf_dir):
     return cleaning.clean(scada_raw(spark, sf_dir)).table
 
 
+def clean_table_salted(spark, sf_dir):
+    """The same without a broadcast, as with very many files: farms spread over tasks."""
+    limits = config.BROADCAST_ROWS, config.ROWS_PER_SALT
+    config.BROADCAST_ROWS, config.ROWS_PER_SALT = 0, 1_000
+    try:
+        return clean_table(spark, sf_dir)
+    finally:
+        config.BROADCAST_ROWS, config.ROWS_PER_SALT = limits
+
+
 def clean_counts(spark, sf_dir):
     files = cleaning.clean(scada_raw(spark, sf_dir)).files
     return files.select(
@@ -383,7 +393,7 @@ _QUERIES = [
     batch_union, batch_layouts, skipped_files, skipped_at_load,
     report_bundle, dedup_rows, dedup_spellings, duplicate_count, coerce_numeric, coercion_counts,
     drop_critical, null_counts, median_fill, median_by_brackets,
-    parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_counts,
+    parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_table_salted, clean_counts,
     quality_log_rows, quality_log_for_run, describe_stats,
     describe_by_brackets, operational_rows, efficiency_excluded,
     efficiency_ratio, monthly_mean, monthly_mean_gaps, daily_total,

@@ -149,6 +149,9 @@ DATES_INFERRED = "[WARN] Date format inferred — verify output timestamps"
 # joined with salted keys instead of being broadcast.
 BROADCAST_ROWS = 100_000
 SALTS = 64
+# Rows, or bytes of text, of a group that one task of such a join takes.
+ROWS_PER_SALT = 1_000_000
+BYTES_PER_SALT = 64_000_000
 # Above this many values in one group, exact quantiles are found by narrowing a
 # bracket instead of holding the group's values in one aggregation buffer.
 QUANTILE_BUFFER_ROWS = 1_000_000

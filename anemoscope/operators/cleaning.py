@@ -115,8 +115,8 @@ def deduplicate(
     rows = raw.select(FILE, *texts)
     if files > config.BROADCAST_ROWS:
         rows = rows.distinct()  # copies must not meet in one salted join task
-    loadable = profile.filter(F.col("long_rows") == 0).drop(ROWS_IN, "long_rows")
-    rows = attach(rows, loadable, [FILE], "inner", files)
+    loadable = profile.filter(F.col("long_rows") == 0).drop("long_rows")
+    rows = attach(rows, loadable, [FILE], "inner", files, ROWS_IN)
     keys = [F.col(FILE), F.col("date_time")]
     for metric in config.METRICS:
         is_text, whole = F.col(f"{metric}_text"), F.col(f"__{metric}_whole")
@@ -250,11 +250,11 @@ def file_medians(
 
 
 def fill_medians(
-    kept: DataFrame, medians: DataFrame, files: int | None = None
+    kept: DataFrame, medians: DataFrame, files: int | None = None, weight: str | None = None
 ) -> DataFrame:
     """Nulls replaced by the file's median; all-null columns stay null."""
     columns = [m for m in config.MEDIAN_FILLED if f"{m}_median" in medians.columns]
-    filled = attach(kept, medians, [FILE], "left", files).withColumns(
+    filled = attach(kept, medians, [FILE], "left", files, weight).withColumns(
         {m: F.coalesce(m, f"{m}_median") for m in columns}
     )
     return filled.drop(*[f"{m}_median" for m in columns])
@@ -431,14 +431,15 @@ def _clean_rows(typed: DataFrame, files: DataFrame, workspace: Workspace) -> Dat
         *[F.sum(F.when(valid, F.col(f"null_{m}"))).alias(m) for m in config.MEDIAN_FILLED],
     ).first()
     if summary["skipped"]:
-        names = files.filter(valid).select(FILE)
-        kept = attach(kept, names, [FILE], "left_semi", summary["files"])
+        names = files.filter(valid).select(FILE, "rows_kept")
+        kept = attach(kept, names, [FILE], "left_semi", summary["files"], "rows_kept")
     if summary["holed"]:
-        names = files.filter(holed).select(FILE)
-        rows = attach(kept, names, [FILE], "left_semi", summary["holed"])
+        names = files.filter(holed).select(FILE, "rows_kept")
+        rows = attach(kept, names, [FILE], "left_semi", summary["holed"], "rows_kept")
         columns = [m for m in config.MEDIAN_FILLED if summary[m]]
         medians = file_medians(
             rows, summary["largest"], summary["holed"], workspace, columns=columns
         )
-        kept = fill_medians(kept, workspace.stage(medians, "medians"), summary["holed"])
+        medians = workspace.stage(medians, "medians")
+        kept = fill_medians(kept, medians.join(names, FILE), summary["holed"], "rows_kept")
     return kept

@@ -19,22 +19,38 @@ def attach(
     keys: list[str],
     how: str = "left",
     lookup_rows: int | None = None,
+    weight: str | None = None,
+    per_salt: int | None = None,
 ) -> DataFrame:
     """Join a staged one-row-per-group table to the rows of its groups.
 
     The table is broadcast only if its rows, counted here unless the caller
     already has an upper bound of them, stay within the limit. Beyond it both
-    sides are shuffled, and a salt spreads a group that holds much of the data
-    over many tasks.
+    sides are shuffled. A column ``weight`` of the table, which is not joined, says how much
+    a group holds; groups are spread over a task for each ``per_salt`` of it. Without
+    weights all groups are spread alike.
     """
     if lookup_rows is None:
         lookup_rows = lookup.count()
     if lookup_rows <= config.BROADCAST_ROWS:
-        return rows.join(F.broadcast(lookup), keys, how)
-    salt = F.pmod(F.xxhash64(*[col(c) for c in rows.columns]), F.lit(config.SALTS))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(config.SALTS - 1)))
-    return (
-        rows.withColumn("__salt", salt.cast("int"))
-        .join(lookup.withColumn("__salt", salts), [*keys, "__salt"], how)
-        .drop("__salt")
-    )
+        return rows.join(F.broadcast(lookup.drop(*[weight] if weight else [])), keys, how)
+    spread = F.xxhash64(*[col(c) for c in rows.columns])
+    if weight is None:
+        salted = rows.withColumn("__salts", F.lit(config.SALTS))
+        lookup = lookup.withColumn("__salts", F.lit(config.SALTS))
+    else:
+        lookup = _with_salts(lookup, weight, per_salt or config.ROWS_PER_SALT)
+        # No more groups than may be broadcast have more than one salt.
+        heavy = lookup.filter("__salts > 1").select(*keys, "__salts")
+        salted = rows.join(F.broadcast(heavy), keys, "left").fillna(1, ["__salts"])
+    salted = salted.withColumn("__salt", F.pmod(spread, F.col("__salts")).cast("int")).drop("__salts")
+    salts = F.explode(F.sequence(F.lit(0), F.col("__salts").cast("int") - 1))
+    return salted.join(lookup.withColumn("__salt", salts).drop("__salts"), [*keys, "__salt"], how).drop("__salt")
+
+
+def _with_salts(lookup: DataFrame, weight: str, per_salt: int) -> DataFrame:
+    """As many salts for a group as it has units, with units large enough for few such groups."""
+    total = lookup.agg(F.sum(weight)).first()[0] or 0
+    unit = max(per_salt, -(-total // max(1, config.BROADCAST_ROWS)))
+    salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / unit)).cast("bigint")
+    return lookup.withColumn("__salts", salts).drop(weight)

@@ -457,10 +457,11 @@ def _parse(lines: DataFrame, files: DataFrame, names: list[str], count: int) ->
     places = F.transform(wanted, lambda name: F.array_position(lowered, name).cast("int") - 1)
     facts = files.select(
         PATH, FILE, F.size("header").alias("__width"), F.col("text").alias("__header"),
-        places.alias("__places"),
+        places.alias("__places"), SIZE,
     )
     line = F.col("__text")
-    rows = attach(lines, facts, [PATH], "inner", count).withColumn("__fields", records.fields(line))
+    rows = attach(lines, facts, [PATH], "inner", count, SIZE, config.BYTES_PER_SALT)
+    rows = rows.withColumn("__fields", records.fields(line))
     kind = (
         F.when(F.btrim(line, F.lit(" \t")) == "", BLANK)
         .when((F.col("__block") == 0) & (line == F.col("__header")), HEADER)

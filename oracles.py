@@ -404,6 +404,7 @@ SELECT l_orderkey, l_linenumber, CASE l_orderkey % 8
 FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_orderkey % 24 AS INT))
         + to_minutes(CAST(l_linenumber * 7 AS INT)) AS moment FROM lineitem)""",
         "clean_table": clean(FARM),
+        "clean_table_salted": clean(FARM),
         "clean_counts": f"""WITH {raw()}, {DISTINCT}, {typed('distinct_rows')}, {KEPT}
 SELECT source_file, b.n AS rows_in, k.n AS rows_out, b.n - k.n AS dropped
 FROM (SELECT source_file, count(*) n FROM raw GROUP BY 1) b

@@ -314,3 +314,37 @@ def test_more_date_forms(spark):
     found = parse_dates(table.withColumn("date_time", F.col("text"))).collect()
     found = {row.text: row.date_time and str(row.date_time) for row in found}
     assert found == dict(MORE_FORMS)
+
+
+def test_an_interrupted_append_is_repeated_whole(spark, golden, tmp_path, monkeypatch):
+    from conftest import clean_one
+
+    path = str(tmp_path / "log")
+    first, second = clean_one(spark, golden).quality_log, clean_one(spark, golden).quality_log
+    quality_log.append(first, path)
+    with monkeypatch.context() as patch:
+        patch.setattr(quality_log, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            quality_log.append(second, path)
+    assert quality_log.read(spark, path).count() == 11  # written but not committed
+    for _ in range(2):
+        quality_log.append(second, path)
+        assert quality_log.read(spark, path).count() == 22
+    run = second.first()["run_id"]
+    assert quality_log.read(spark, path, run).count() == 11
+
+
+def test_groups_get_salts_by_their_weight(spark, monkeypatch):
+    from anemoscope.operators.lookup import attach
+
+    rows = spark.range(3_000).select((F.col("id") % 3 == 0).cast("int").alias("k"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.range(5).select(F.lit(2).alias("k"), F.col("id").alias("v")))
+    lookup = spark.createDataFrame([(0, "a", 2_000), (1, "b", 1_000), (2, "c", 5)], "k int, name string, n bigint")
+    expected = sorted(map(tuple, rows.join(lookup.drop("n"), "k").collect()))
+    monkeypatch.setattr(config, "BROADCAST_ROWS", 2)
+    for per_salt in (1, 300, 10_000):
+        found = attach(rows, lookup, ["k"], "inner", 3, "n", per_salt)
+        assert found.columns == ["k", "v", "name"]
+        assert sorted(map(tuple, found.collect())) == expected
+    semi = attach(rows, lookup.where("k < 2"), ["k"], "left_semi", 3, "n", 300)
+    assert semi.columns == ["k", "v"] and semi.count() == 3_000
