@@ -29,6 +29,9 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 BLANKS_TOGETHER = re.compile(r" (?:\s|\Z)")
+#: Runs of white space that only the library itself encodes whatever their length.
+LONG_RUN = 100_000
+LONG_BLANKS = re.compile(r"\s{%d}" % LONG_RUN)
 
 PIECE = pa.schema(
     [
@@ -61,7 +64,8 @@ class Encoder:
     anything but white space starts a new token, so a text is split at single blanks and
     each distinct part is encoded once; a text with runs of white space after a blank is
     encoded whole.
-    Strings of special tokens are ordinary text.
+    Texts that hold the string of a special token, which the library gives the id of that
+    token, and texts with very long runs of white space are encoded by the library itself.
     """
 
     WORDS = 400_000
@@ -71,6 +75,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        self.library = tokenizer
+        self.marks = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         special = set(tokenizer.get_added_tokens_decoder())
         letters = {char: byte for byte, char in byte_letters().items()}
         ranks = {
@@ -91,6 +97,10 @@ class Encoder:
         self.flat = np.zeros(1 << 20, np.uint32)
         self.ends = np.zeros(self.WORDS + 1, np.int64)
 
+    def _by_library(self, text: str) -> bool:
+        long = len(text) >= LONG_RUN and LONG_BLANKS.search(text) is not None
+        return long or any(mark in text for mark in self.marks)
+
     def _whole(self, text: str) -> np.ndarray:
         return np.append(np.array(self.encoding.encode_ordinary(text), np.uint32), SEPARATOR)
 
@@ -114,6 +124,9 @@ class Encoder:
             parts = text.split(" ") if text else []
             if not parts:
                 out[n] = END
+            elif self._by_library(text):
+                ids = self.library.encode(text, add_special_tokens=False).ids
+                out[n] = np.append(np.array(ids, np.uint32), END)
             elif BLANKS_TOGETHER.search(text) or len(parts) > self.WORDS // 4:
                 out[n] = self._whole(text)
             else:

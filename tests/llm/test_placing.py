@@ -134,14 +134,13 @@ def test_sharding_of_one_huge_group(spark, staging, copies):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(packing.tokenizer_path())
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(packing.tokenizer_path())
 
 
 def test_ids_are_those_of_the_library(monkeypatch):
     monkeypatch.setattr(packing.Encoder, "WORDS", 60)  # so that it forgets
     texts = [r[1] for r in odd_rows() if r[0] != 7]
+    texts += [f"a{blank * 1_200_000}x" for blank in (" ", "\n", "\t ")] + ["x<|endoftext|>", "<|endoftext|"]
     texts += ["a\n \nb", "a b ", " a", "I'm we'll 12 345x", "a \tb", "<|endoftext|> x", "a\xa0b 　c"]
     library = tokenizer()
     expected = [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
