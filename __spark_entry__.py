@@ -140,13 +140,64 @@ def skipped_files(spark, sf_dir):
     return jobs.skipped_files(scan.files, result.files)
 
 
-def report_bundle(spark, sf_dir):
-    """A whole batch run; the trend member of the report it wrote."""
+def _report(spark, sf_dir):
+    """A whole batch run: the report it wrote."""
     folder = Workspace(spark).path
     options = jobs.JobOptions(ReportOptions(f"{folder}/output"), f"{folder}/log")
     with contextlib.redirect_stdout(io.StringIO()):
         result = jobs.run_batch(spark, csv_folder(spark, sf_dir, scada_raw), options)
-    return spark.read.parquet(f"{result.report_path}/trend_analysis")
+    return result.report_path
+
+
+def report_bundle(spark, sf_dir):
+    """A whole batch run; the trend member of the report it wrote."""
+    return spark.read.parquet(f"{_report(spark, sf_dir)}/trend_analysis")
+
+
+_REPORTS: dict[tuple, str] = {}
+
+
+def _member(spark, sf_dir, name):
+    """A member of a report that is written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REPORTS:
+        _REPORTS[key] = _report(spark, sf_dir)
+    return spark.read.parquet(f"{_REPORTS[key]}/{name}")
+
+
+def report_clean_data(spark, sf_dir):
+    return _member(spark, sf_dir, "clean_data")
+
+
+def report_headline(spark, sf_dir):
+    return _member(spark, sf_dir, "summary/headline_stats")
+
+
+def report_narrative(spark, sf_dir):
+    return _member(spark, sf_dir, "summary/narrative")
+
+
+def report_statistics(spark, sf_dir):
+    return _rounded(_member(spark, sf_dir, "summary/stats"), 4, *statistics.DESCRIBED)
+
+
+def report_power_curve(spark, sf_dir):
+    return _member(spark, sf_dir, "power_curve_analysis")
+
+
+def report_wind_bins(spark, sf_dir):
+    return _member(spark, sf_dir, "wind_bins")
+
+
+def report_charts(spark, sf_dir):
+    """The plotted points of the monthly bars and the daily trend."""
+    bars = _member(spark, sf_dir, "charts/monthly_bar")
+    trend = _member(spark, sf_dir, "charts/power_trend").withColumn("label", F.lit("day"))
+    return bars.unionByName(trend)
+
+
+def report_quality_log(spark, sf_dir):
+    return _member(spark, sf_dir, "data_quality_log").drop("run_id", "run_timestamp")
 
 
 # --- Cleaning ---------------------------------------------------------------------
@@ -391,7 +442,8 @@ def chart_monthly_bar(spark, sf_dir):
 _QUERIES = [
     scan_csv, scan_csv_quoted, na_tokens, load_counts, schema_check, schema_check_failures,
     batch_union, batch_layouts, skipped_files, skipped_at_load,
-    report_bundle, dedup_rows, dedup_spellings, duplicate_count, coerce_numeric, coercion_counts,
+    report_bundle, report_clean_data, report_headline, report_narrative, report_statistics,
+    report_power_curve, report_wind_bins, report_charts, report_quality_log, dedup_rows, dedup_spellings, duplicate_count, coerce_numeric, coercion_counts,
     drop_critical, null_counts, median_fill, median_by_brackets,
     parse_ts_strict, parse_ts_fallback, parse_ts_forms, clean_table, clean_table_salted, clean_counts,
     quality_log_rows, quality_log_for_run, describe_stats,

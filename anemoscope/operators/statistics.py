@@ -43,6 +43,11 @@ def describe(
             workspace=workspace, buffer_rows=buffer_rows,
         )
         facts = with_values(table.agg(*moments), quartiles.first())
+    return in_rows(facts, columns)
+
+
+def in_rows(facts: DataFrame, columns: list[str] = DESCRIBED) -> DataFrame:
+    """The eight rows out of one row of moments and arrays of quartiles."""
     return facts.select(F.inline(F.array(*_statistics(columns))))
 
 

@@ -19,6 +19,11 @@ def resample(table: DataFrame, unit: str, aggregate: Column, empty: Column) -> D
     periods = table.groupBy(start_of(unit, F.col("date_time")).alias(PERIOD)).agg(
         aggregate.alias("active_power")
     )
+    return with_gaps(periods, unit, empty)
+
+
+def with_gaps(periods: DataFrame, unit: str, empty: Column) -> DataFrame:
+    """One row per period, with the empty ones between those that have readings."""
     following = F.lead(PERIOD).over(Window.orderBy(PERIOD))
     step = F.expr(f"interval 1 {unit}")
     last = F.coalesce(F.col("following") - step, F.col(PERIOD))

@@ -53,6 +53,11 @@ def observed_edges(low: float | None, high: float | None) -> list:
 
 
 def _count_bins(table, edges, closed_below=False):
+    return binned(table.agg(*counts_beyond(edges, closed_below)), edges)
+
+
+def counts_beyond(edges: list, closed_below: bool = False) -> list:
+    """Aggregates that count the readings beyond each edge."""
     direction = F.col("wind_direction")
     limits = [F.lit(edge).cast("double") for edge in edges]
     inside = direction >= limits[0] if closed_below else direction > limits[0]
@@ -61,6 +66,12 @@ def _count_bins(table, edges, closed_below=False):
         F.count_if(direction > limit).alias(f"beyond{k}")
         for k, limit in enumerate(limits[1:], start=1)
     ]
+    return beyond
+
+
+def binned(counts: DataFrame, edges: list) -> DataFrame:
+    """The bins between edges, from the one row of counts beyond them."""
+    limits = [F.lit(edge).cast("double") for edge in edges]
     rows = [
         F.struct(
             F.lit(k + 1).alias("bin_index"),
@@ -71,7 +82,7 @@ def _count_bins(table, edges, closed_below=False):
         )
         for k in range(BINS)
     ]
-    return table.agg(*beyond).select(F.inline(F.array(*rows)))
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def _label(lower, upper):

@@ -7,12 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from anemoscope import config
-from anemoscope.operators import sheets
+from anemoscope.operators import passes, sheets
 from anemoscope.operators.efficiency import efficiency
-from anemoscope.operators.statistics import describe
-from anemoscope.operators.summary import headline_facts, headline_stats, narrative
-from anemoscope.operators.timeseries import daily_total, monthly_mean
-from anemoscope.operators.wind import wind_bins
+from anemoscope.operators.summary import headline_stats, narrative
 from anemoscope.sources import bundle
 from anemoscope.sources.storage import Workspace
 
@@ -29,11 +26,13 @@ class ReportOptions:
 
 @dataclass(frozen=True)
 class Report:
-    """A started report: its folder, the clean table and its headline figures."""
+    """A started report: its folder, the clean table, its days and its headline figures."""
 
     path: str
     table: DataFrame
     rows: int
+    days: DataFrame
+    moments: DataFrame
     facts: DataFrame
 
 
@@ -57,21 +56,28 @@ def start_report(
     if options.fmt == "parquet":
         written = clean.sparkSession.read.schema(shown.schema).parquet(f"{path}/clean_data")
         clean = written.toDF(*clean.columns)  # by position: names may be alike but for case
-    facts = workspace.stage(headline_facts(clean), "headline")
-    return Report(path, clean, rows, facts)
+    days = workspace.stage(passes.first_pass(clean), "days")
+    moments = passes.moments(days)
+    return Report(path, clean, rows, days, moments, passes.headline_facts(days, moments))
 
 
 def finish_report(
     report: Report, quality_log: DataFrame, options: ReportOptions, workspace: Workspace
 ) -> None:
-    """Write the remaining members; the audit member comes last."""
+    """Write the remaining members; the audit member comes last.
+
+    Beside the first pass the clean table is read once for bins and quartiles, and by each
+    member that holds its rows.
+    """
     # Members do not depend on each other, so their jobs share the cluster.
     with ThreadPoolExecutor(WRITERS) as pool:
-        monthly, daily = pool.map(  # one row per period, used several times
-            lambda resample: workspace.stage(resample(report.table).coalesce(1), "periods"),
-            (monthly_mean, daily_total),
-        )
-        members = _members(report, monthly, daily, options, workspace)
+        jobs = [  # one row per period, used several times
+            pool.submit(lambda: workspace.stage(passes.monthly_mean(report.days).coalesce(1), "months")),
+            pool.submit(lambda: workspace.stage(passes.daily_total(report.days).coalesce(1), "days-without-gaps")),
+            pool.submit(lambda: passes.second_pass(report.table, report.days, report.moments, report.rows, workspace)),
+        ]
+        monthly, daily, second = [job.result() for job in jobs]
+        members = _members(report, monthly, daily, *second, options)
         written = pool.map(
             lambda member: bundle.write_dataset(
                 members[member](), f"{report.path}/{member}", options.fmt
@@ -83,7 +89,7 @@ def finish_report(
     bundle.write_dataset(log, f"{report.path}/data_quality_log", options.fmt)
 
 
-def _members(report, monthly, daily, options, workspace) -> dict:
+def _members(report, monthly, daily, described, bins, options) -> dict:
     """How to plan each member; planning some of them runs a small job."""
     table, facts = report.table, report.facts
 
@@ -96,11 +102,11 @@ def _members(report, monthly, daily, options, workspace) -> dict:
         "charts/theoretical_curve": lambda: sheets.theoretical_curve_chart(table),
         "charts/wind_scatter": lambda: sheets.scatter_chart(table),
         "charts/wind_scatter_density": lambda: sheets.scatter_density(table),
-        "summary/stats": lambda: describe(table, rows=report.rows, workspace=workspace),
+        "summary/stats": lambda: described,
         "summary/narrative": lambda: narrative(facts, monthly),
         "summary/headline_stats": lambda: headline_stats(facts).orderBy("ord"),
         "trend_analysis": lambda: sheets.trend_sheet(monthly, daily).orderBy("section_ord", "ord"),
         "charts/power_trend": lambda: sheets.power_trend_chart(daily),
         "charts/monthly_bar": lambda: sheets.monthly_bar_chart(monthly),
-        "wind_bins": lambda: wind_bins(table),
+        "wind_bins": lambda: bins,
     }

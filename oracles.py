@@ -268,6 +268,12 @@ def csv_clean_scada():
     return f"clean AS ({clean(CSV_FARM)})"
 
 
+def of_report(sql):
+    """SQL of an analysis over the cleaned CSV folder in place of the clean view."""
+    clean_view = f"scada AS ({clean(CSV_FARM)})"
+    return sql.replace(SCADA, clean_view)
+
+
 RATIO = "date_time, active_power, wind_speed, theoretical_power, active_power / theoretical_power AS efficiency_ratio"
 RATIOS = f"{OPERATIONAL}, ratios AS (SELECT {RATIO} FROM operational)"
 EFFICIENCY_COLUMNS = ["date_time", "active_power", "wind_speed", "theoretical_power", "efficiency_ratio"]
@@ -378,6 +384,18 @@ def oracle_sql() -> dict[str, str]:
         "batch_union": clean(CSV_FARM),
         "skipped_files": skipped(),
         "report_bundle": trend(f"{csv_clean_scada()}, {monthly('clean')}, {daily('clean')}"),
+        "report_clean_data": of_report(f"WITH {SCADA} SELECT {headers(CLEAN_COLUMNS)} FROM scada"),
+        "report_headline": of_report(headline()),
+        "report_narrative": of_report(narrative()),
+        "report_statistics": of_report(DESCRIBE),
+        "report_power_curve": of_report(f"WITH {RATIOS} SELECT {headers(EFFICIENCY_COLUMNS)} FROM ratios"),
+        "report_wind_bins": of_report(f"WITH {SCADA}, {OBSERVED_BINS} {BIN_COLUMNS}"),
+        "report_charts": of_report(f"""WITH {SCADA}, {monthly()}, {daily()}
+SELECT period_start, strftime(period_start, '%b %Y') AS label, active_power FROM monthly
+UNION ALL SELECT period_start, 'day', active_power FROM daily"""),
+        "report_quality_log": quality_log(only=(
+            'SELECT "column", issue_type, CAST(row_count AS BIGINT) AS row_count, action_taken FROM log'
+        )),
         "dedup_rows": f"WITH {raw()}, {DISTINCT}, {typed('distinct_rows')} SELECT * FROM typed",
         "dedup_spellings": spellings(),
         "duplicate_count": f"""WITH {raw()}, {DISTINCT}
