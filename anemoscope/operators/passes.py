@@ -6,14 +6,13 @@ day. The second counts the wind bins between the edges known by then, and collec
 quartiles where one buffer holds them.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from anemoscope import config
 from anemoscope.functions.dates import start_of
 from anemoscope.operators import statistics, timeseries, wind
 from anemoscope.operators.efficiency import is_operational, ratio
-from anemoscope.operators.lookup import with_values
 from anemoscope.operators.quantiles import buffered, exact_quantiles
 from anemoscope.operators.timeseries import PERIOD
 from anemoscope.sources.storage import Workspace
@@ -45,36 +44,43 @@ def _mean(name: str) -> Column:
     return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
 
 
-def moments(days: DataFrame) -> DataFrame:
+def totals(days: DataFrame) -> Row:
+    """What all days have together, but for the deviations from the means found here."""
+    return days.agg(
+        *[_mean(name).alias(f"mean{i}") for i, name in enumerate(DESCRIBED)],
+        (F.try_divide(F.sum("ratios"), F.sum("ratio_rows")) * 100).alias("mean_percent"),
+        F.coalesce(F.sum("operational_rows"), F.lit(0)).alias("operational_rows"),
+        F.coalesce(F.sum("excluded_rows"), F.lit(0)).alias("excluded_rows"),
+        F.min("least_direction").alias("low"), F.max("most_direction").alias("high"),
+    ).first()
+
+
+def moments(days: DataFrame, known: Row) -> DataFrame:
     """Count, mean, sample deviation and extremes of the described columns, in one row."""
-    means = days.agg(*[_mean(name).alias(f"mean{i}") for i, name in enumerate(DESCRIBED)]).first()
     facts = []
     for i, name in enumerate(DESCRIBED):
         # Deviations from the mean of all days: those within a day and that of its own mean.
-        own = F.try_divide(f"{name}_sum", f"{name}_count") - F.lit(means[f"mean{i}"]).cast("double")
+        mean = F.lit(known[f"mean{i}"]).cast("double")
+        own = F.try_divide(f"{name}_sum", f"{name}_count") - mean
         squares = F.sum(F.col(f"{name}_squares") + F.col(f"{name}_count") * own * own)
         count = F.sum(f"{name}_count")
         facts += [
-            F.coalesce(count, F.lit(0)).cast("double").alias(f"count{i}"),
-            F.lit(means[f"mean{i}"]).cast("double").alias(f"mean{i}"),
+            F.coalesce(count, F.lit(0)).cast("double").alias(f"count{i}"), mean.alias(f"mean{i}"),
             F.when(count > 1, F.sqrt(squares / (count - 1))).alias(f"std{i}"),
             F.min(f"{name}_min").alias(f"min{i}"), F.max(f"{name}_max").alias(f"max{i}"),
         ]
     return days.agg(*facts)
 
 
-def headline_facts(days: DataFrame, row_of_moments: DataFrame) -> DataFrame:
+def headline_facts(row_of_moments: DataFrame, known: Row) -> DataFrame:
     """The figures of the summary, as ``summary.headline_facts`` has them."""
     power, speed = DESCRIBED.index("active_power"), DESCRIBED.index("wind_speed")
-    rest = days.agg(
-        (F.try_divide(F.sum("ratios"), F.sum("ratio_rows")) * 100).alias("mean_percent"),
-        F.coalesce(F.sum("operational_rows"), F.lit(0)).alias("operational_rows"),
-        F.coalesce(F.sum("excluded_rows"), F.lit(0)).alias("excluded_rows"),
-    ).first()
-    return with_values(row_of_moments, rest).select(
+    return row_of_moments.select(
         F.col(f"mean{power}").alias("mean_power"), F.col(f"max{power}").alias("max_power"),
         F.col(f"std{power}").alias("std_power"), F.col(f"mean{speed}").alias("mean_speed"),
-        F.col(f"max{speed}").alias("max_speed"), *rest.asDict(),
+        F.col(f"max{speed}").alias("max_speed"),
+        F.lit(known["mean_percent"]).cast("double").alias("mean_percent"),
+        *[F.lit(known[n]).cast("bigint").alias(n) for n in ("operational_rows", "excluded_rows")],
     )
 
 
@@ -93,12 +99,11 @@ def daily_total(days: DataFrame) -> DataFrame:
 
 
 def second_pass(
-    table: DataFrame, days: DataFrame, row_of_moments: DataFrame, rows: int, workspace: Workspace,
+    table: DataFrame, row_of_moments: DataFrame, known: Row, rows: int, workspace: Workspace,
     buffer_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The statistics and the wind bins."""
-    low, high = days.agg(F.min("least_direction"), F.max("most_direction")).first()
-    edges = wind.observed_edges(low, high)
+    edges = wind.observed_edges(known["low"], known["high"])
     quartiles = []
     fits = rows <= (config.QUANTILE_BUFFER_ROWS if buffer_rows is None else buffer_rows)
     if fits:

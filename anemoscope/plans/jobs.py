@@ -151,7 +151,7 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
         # The cleaning is final now; its log survives a failure of a later member.
         log_table.append(result.quality_log, options.log)
     with _Stage("analysis"):
-        excluded = report.facts.first()["excluded_rows"]
+        excluded = report.totals["excluded_rows"]
         print(
             f"[ANALYSE] {excluded:,} rows excluded from efficiency "
             "(zero theoretical or non-positive output)"

@@ -4,7 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 
 from anemoscope import config
 from anemoscope.operators import passes, sheets
@@ -32,8 +32,8 @@ class Report:
     table: DataFrame
     rows: int
     days: DataFrame
+    totals: Row
     moments: DataFrame
-    facts: DataFrame
 
 
 def start_report(
@@ -57,8 +57,8 @@ def start_report(
         written = clean.sparkSession.read.schema(shown.schema).parquet(f"{path}/clean_data")
         clean = written.toDF(*clean.columns)  # by position: names may be alike but for case
     days = workspace.stage(passes.first_pass(clean), "days")
-    moments = passes.moments(days)
-    return Report(path, clean, rows, days, moments, passes.headline_facts(days, moments))
+    totals = passes.totals(days)
+    return Report(path, clean, rows, days, totals, passes.moments(days, totals))
 
 
 def finish_report(
@@ -74,7 +74,7 @@ def finish_report(
         jobs = [  # one row per period, used several times
             pool.submit(lambda: workspace.stage(passes.monthly_mean(report.days).coalesce(1), "months")),
             pool.submit(lambda: workspace.stage(passes.daily_total(report.days).coalesce(1), "days-without-gaps")),
-            pool.submit(lambda: passes.second_pass(report.table, report.days, report.moments, report.rows, workspace)),
+            pool.submit(lambda: passes.second_pass(report.table, report.moments, report.totals, report.rows, workspace)),
         ]
         monthly, daily, second = [job.result() for job in jobs]
         members = _members(report, monthly, daily, *second, options)
@@ -91,7 +91,7 @@ def finish_report(
 
 def _members(report, monthly, daily, described, bins, options) -> dict:
     """How to plan each member; planning some of them runs a small job."""
-    table, facts = report.table, report.facts
+    table, facts = report.table, passes.headline_facts(report.moments, report.totals)
 
     def power_curve():
         curve = sheets.with_display_headers(efficiency(table))

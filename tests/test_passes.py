@@ -47,11 +47,12 @@ def test_passes_give_what_the_operators_give(spark, count, buffer_rows):
     table = spark.createDataFrame(readings(count, random.Random(count)), SCHEMA)
     workspace = Workspace(spark)
     days = workspace.stage(passes.first_pass(table), "days")
-    moments = passes.moments(days)
-    described, bins = passes.second_pass(table, days, moments, count, workspace, buffer_rows)
+    totals = passes.totals(days)
+    moments = passes.moments(days, totals)
+    described, bins = passes.second_pass(table, moments, totals, count, workspace, buffer_rows)
     close(described, statistics.describe(table))
     close(bins, wind.wind_bins(table))
-    close(passes.headline_facts(days, moments), summary.headline_facts(table))
+    close(passes.headline_facts(moments, totals), summary.headline_facts(table))
     close(passes.monthly_mean(days), timeseries.monthly_mean(table))
     close(passes.daily_total(days), timeseries.daily_total(table))
 
@@ -78,5 +79,5 @@ def test_a_report_reads_the_clean_table_six_times(spark, tmp_path, monkeypatch):
 def test_std_does_not_cancel(spark):
     rows = [(datetime(2018, 1, 1 + n % 3), 1e9 + n % 2, 1.0, 1.0, 1.0) for n in range(1000)]
     days = passes.first_pass(spark.createDataFrame(rows, SCHEMA))
-    found = passes.moments(days).select(F.round("std0", 9)).first()[0]
+    found = passes.moments(days, passes.totals(days)).select(F.round("std0", 9)).first()[0]
     assert found == round(math.sqrt(250 / 999), 9)
