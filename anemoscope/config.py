@@ -144,6 +144,21 @@ BOTH_INPUTS = "Error: Provide either --file or --folder, not both."
 NO_INPUT = "Error: You must provide either --file or --folder."
 DATES_INFERRED = "[WARN] Date format inferred — verify output timestamps"
 
+# --- Fixed values: progress lines ------------------------------------------------
+FOUND_FILES = "[BATCH] Found {count} CSV file(s) in {folder}"
+PROCESSING = "\n[BATCH] Processing: {name}"
+SKIPPED = "[SKIP] {name} — {reason}"
+CONCATENATING = "\n[BATCH] Concatenating {count} cleaned file(s)..."
+CONSOLIDATED = "[BATCH] Consolidated: {rows:,} total rows"
+LOADED = "[LOAD] {rows:,} rows × {columns} columns"
+CLEANED = "[CLEAN] {rows:,} rows in → {kept:,} rows clean ({dropped:,} dropped)"
+EXCLUDED = (
+    "[ANALYSE] {rows:,} rows excluded from efficiency "
+    "(zero theoretical or non-positive output)"
+)
+ANALYSING, EXPORTING = "[ANALYSE]", "[EXPORT]"
+SAVED = "Report saved → {path}"
+
 # --- Size bounds of this package ------------------------------------------------
 # Lookup tables hold one short row per file; above this many rows they are
 # joined with salted keys instead of being broadcast.

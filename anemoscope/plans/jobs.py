@@ -102,7 +102,7 @@ def _batch(spark, folder, options, workspace) -> JobResult:
         sources = csv_scan.list_sources(spark, folder)
         inputs = csv_scan.inputs_holding(spark, folder, [options.report.output, options.log])
         bundle.check_output(spark, inputs, options.report.output, options.log)
-        print(f"[BATCH] Found {sources.count} CSV file(s) in {folder}")
+        print(config.FOUND_FILES.format(count=sources.count, folder=folder))
         scan = csv_scan.scan(spark, sources, workspace)
     if scan.rows is None:
         _say_skipped(scan.rejected)
@@ -111,18 +111,18 @@ def _batch(spark, folder, options, workspace) -> JobResult:
         result = _clean(spark, scan, options, workspace)
         _say_skipped(scan.rejected)
         for facts in _with_columns(result, scan).orderBy(FILE).toLocalIterator():
-            print(f"\n[BATCH] Processing: {facts[FILE]}")
+            print(config.PROCESSING.format(name=facts[FILE]))
             if facts["stage"] != "load":
                 _say_counts(facts)
             if facts["stage"] is not None:
-                print(f"[SKIP] {facts[FILE]} — {facts['reason']}")
+                print(config.SKIPPED.format(name=facts[FILE], reason=facts["reason"]))
         good = result.files.filter(F.col("stage").isNull())
         totals = good.agg(F.count(F.lit(1)).alias("files"), F.sum("rows_out").alias("rows")).first()
         if not totals["files"]:
             log_table.append(result.quality_log, options.log)
             raise ReportError(config.NOTHING_PROCESSED, "clean")
-    print(f"\n[BATCH] Concatenating {totals['files']} cleaned file(s)...")
-    print(f"[BATCH] Consolidated: {totals['rows']:,} total rows")
+    print(config.CONCATENATING.format(count=totals["files"]))
+    print(config.CONSOLIDATED.format(rows=totals["rows"]))
     return _report(result.table, result, totals["rows"], options, workspace)
 
 
@@ -151,18 +151,14 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
         # The cleaning is final now; its log survives a failure of a later member.
         log_table.append(result.quality_log, options.log)
     with _Stage("analysis"):
-        excluded = report.totals["excluded_rows"]
-        print(
-            f"[ANALYSE] {excluded:,} rows excluded from efficiency "
-            "(zero theoretical or non-positive output)"
-        )
-        print("[ANALYSE]")
+        print(config.EXCLUDED.format(rows=report.totals["excluded_rows"]))
+        print(config.ANALYSING)
         if options.preview:
             _say_previews(analyse(report.table, report.rows, workspace))
     with _Stage("export"):
-        print("[EXPORT]")
+        print(config.EXPORTING)
         finish_report(report, result.quality_log, options.report, workspace)
-        print(f"Report saved → {report.path}")
+        print(config.SAVED.format(path=report.path))
     good = result.files.filter(F.col("stage").isNull())
     last = good.agg(F.max_by("run_id", FILE)).first()[0]
     return JobResult(report.path, last, rows)
@@ -170,16 +166,17 @@ def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> J
 
 def _say_counts(facts) -> None:
     rows_in, kept = facts["rows_in"], facts["rows_kept"]
-    print(f"[LOAD] {rows_in:,} rows × {facts['columns']} columns")
+    print(config.LOADED.format(rows=rows_in, columns=facts["columns"]))
     if facts["dates_not_strict"]:
         print(config.DATES_INFERRED)
     if facts["stage"] is None:
-        print(f"[CLEAN] {rows_in:,} rows in → {kept:,} rows clean ({rows_in - kept:,} dropped)")
+        print(config.CLEANED.format(rows=rows_in, kept=kept, dropped=rows_in - kept))
 
 
 def _say_skipped(rejected: dict) -> None:
     for name, reason in sorted(rejected.items()):
-        print(f"\n[BATCH] Processing: {name}\n[SKIP] {name} — {reason}")
+        print(config.PROCESSING.format(name=name))
+        print(config.SKIPPED.format(name=name, reason=reason))
 
 
 def _say_previews(results: dict) -> None:
