@@ -69,12 +69,44 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
+#: With it Spark removes the shuffle files of a write as soon as the write has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Staging(storage.Workspace):
     """Tables of one operator run in the cluster's shared folder.
 
-    A result that is still lazy reads them, so they outlive the call; whoever
-    materialises the result may call ``release``.
+    What a staged table was shuffled for is removed when it is written: it is read from the
+    table from then on. A result that is still lazy reads its tables, so they outlive the
+    call; whoever materialises the result may call ``release``.
     """
 
+    def stage(self, table: DataFrame, label: str) -> DataFrame:
+        before = self.spark.conf.get(SHUFFLE_CLEANUP, None)
+        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        try:
+            return super().stage(table, label)
+        finally:
+            if before is None:
+                self.spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                self.spark.conf.set(SHUFFLE_CLEANUP, before)
+
+    def discard(self, *labels: str) -> None:
+        """Remove the tables staged so far under these labels, which nothing may read any more."""
+        files = storage.file_system(self.spark, self.path)
+        for label in labels:
+            found = storage.hadoop_path(self.spark, f"{self.path}/[0-9]*-{label}")
+            for status in files.globStatus(found) or []:
+                files.delete(status.getPath(), True)
+
     def release(self) -> None:
         self.__exit__(None, None, None)
+
+
+def fresh(name: str, *taken: DataFrame) -> str:
+    """``name``, with underscores before it until no column of the tables is called so."""
+    used = {c.lower() for table in taken for c in table.columns}
+    while name.lower() in used:
+        name = "_" + name
+    return name

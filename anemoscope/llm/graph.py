@@ -33,9 +33,12 @@ def components(links: DataFrame, staging: common.Staging, rounds: int = 60) -> D
         # A star: nobody who has a smaller neighbour is that of another.
         unfinished = after.join(after.select(F.col("u").alias("v")), "v", "left_semi")
         twice = after.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        staging.discard(f"links-{step - 1}" if step else "links")
         edges = after
         if unfinished.isEmpty() and twice.isEmpty():
             found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
-            return staging.stage(found.unionByName(roots.distinct()), "components")
+            found = staging.stage(found.unionByName(roots.distinct()), "components")
+            staging.discard(f"links-{step}")
+            return found
     raise RuntimeError(f"components are not found after {rounds} rounds")

@@ -106,15 +106,17 @@ def source_weights(sources: DataFrame, target: Target) -> DataFrame:
 def mix(docs: DataFrame, target: Target, staging: common.Staging) -> tuple[DataFrame, DataFrame]:
     """Documents of the mixture, and the weights of the sources.
 
-    ``docs`` needs ``doc_id``, ``text`` and ``source``. The result has its columns and
+    ``docs`` needs ``doc_id``, ``text`` and ``source``. The result has its columns and then
     ``__pass`` (from 0), ``__tokens``, ``__block`` and ``__order`` (the place in the
-    permuted block); a document occurs once for every pass that takes it. A null source is
+    permuted block), with more underscores where the input has such a column; a document
+    occurs once for every pass that takes it. A null source is
     a source of its own. Repeated rows are documents of their own; which of two equal
     rows is taken by a partial pass makes no difference. An empty table gives no rows. A
     document is taken by a partial pass if it begins below the budget, so a source exceeds
     its budget by less than one document.
     """
-    hashed = docs.withColumns({
+    carried = [f"__{n}" if c.startswith("__") else c for n, c in enumerate(docs.columns)]
+    hashed = docs.toDF(*carried).withColumns({
         "__tokens": tokens_of(F.col("text")),
         "__source": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")),
     })
@@ -166,8 +168,9 @@ def mix(docs: DataFrame, target: Target, staging: common.Staging) -> tuple[DataF
     )
     partial = partial.withColumn("__begin", F.coalesce(F.sum("__tokens").over(in_block), F.lit(0)))
     partial = partial.where(F.col("__begin") < F.col("__room")).drop("__room", "__begin")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    kept = ["__pass", "__tokens", "__block", F.col("__hash").alias("__order")]
+    names = [F.col(f"`{now}`").alias(c) for now, c in zip(carried, docs.columns, strict=True)]
+    added = {"__pass": "__pass", "__tokens": "__tokens", "__block": "__block", "__order": "__hash"}
+    kept = [F.col(now).alias(common.fresh(name, docs)) for name, now in added.items()]
     taken = whole.select(*names, *kept).unionByName(partial.select(*names, *kept))
     return taken, weights
 

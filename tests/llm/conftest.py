@@ -11,6 +11,9 @@ SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint
 CLASHING = [
     "score", "lang_pred", "shard", "slot", "chunk", "part", "rest", "whole", "blocks", "kept",
     "n", "cluster", "text_key", "component_id", "ids", "length", "source_tokens", "held_out",
+    "key", "number", "row", "order", "__tokens", "__source", "__pass", "__block", "__place",
+    "__order", "__hash", "__room", "__begin", "__whole", "__rest", "__blocks", "__language",
+    "__likeness", "__key",
 ]
 
 

@@ -1,6 +1,7 @@
 """Suffix arrays, near duplicates of texts and vectors, and components."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from anemoscope.llm import common, countrtree, graph, spherical, twostage
-from tests.llm.conftest import SF, odd_rows, root_of
+from tests.llm.conftest import CLASHING, SF, odd_rows, root_of
 
 
 def test_components(spark, staging):
@@ -185,6 +186,26 @@ def test_keep_one(spark, odd, staging):
     assert kept.columns == odd.columns
     ids = sorted((r.doc_id or -1) for r in kept.collect())
     assert ids.count(1) == 1 and 2 not in ids and 3 not in ids and {4, 5, 6, 7, 12} <= set(ids)
+    assert all(r[name] == 7 for r in kept.collect() for name in CLASHING)
+
+
+def test_keep_one_of_rows_with_equal_id_and_text(spark, staging):
+    rows = [(1, "a b c d e f", source) for source in ("s3", "s1", None, "s2")]
+    docs = spark.createDataFrame([*rows, (2, None, "s"), (2, None, "r")], "doc_id long, text string, source string")
+    for parts in (1, 3):
+        kept = countrtree.keep_one(docs.repartition(parts), countrtree.Rule(), staging)
+        # An absent value writes "{}", which follows every other object.
+        assert sorted(map(tuple, kept.collect()), key=str) == [(1, "a b c d e f", "s1"), (2, None, "r")]
+
+
+def test_staged_tables_go_with_their_use(spark):
+    docs = common.table(spark, SF, "documents")
+    staging = common.Staging(spark)
+    kept = countrtree.keep_one(docs, countrtree.Rule(), staging)
+    assert {name.split("-", 1)[1] for name in os.listdir(staging.path)} == {"kept"}
+    assert 0 < kept.count() <= docs.count()
+    staging.release()
+    assert not os.path.exists(staging.path)
 
 
 VECTORS = "vec_id long, embedding array<float>, label int"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from anemoscope.llm import common, countrtree, mixing, packing, sharding, twostage
-from tests.llm.conftest import SF, odd_rows
+from tests.llm.conftest import CLASHING, SF, odd_rows
 
 
 def exponent_of(counts, target):
@@ -195,6 +195,7 @@ def test_pipeline_on_odd_rows(spark, odd, empty):
             assert found.columns == docs.columns
             docs = common.Staging(spark).stage(found, name)
             count[name] = collections.Counter(r.doc_id for r in docs.collect())
+            assert all(r[column] == 7 for r in docs.collect() for column in CLASHING)
     assert not {4, 5, 6, 14} & set(count["language_id"])
     assert count["ngram_jaccard_join"][1] == 1 and not {2, 3} & set(count["ngram_jaccard_join"])
     assert set(count["mixing"]) == set(count["suffix_array_dedup"])
