@@ -69,8 +69,13 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-#: With it Spark removes the shuffle files of a write as soon as the write has ended.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is staged: Spark removes the write's shuffle files as soon as it has ended,
+#: and sends Python batches of at most so many bytes (or one row), so that two tasks with
+#: long texts don't hold large buffers beside the heap.
+WHILE_STAGING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 
 
 class Staging(storage.Workspace):
@@ -82,15 +87,15 @@ class Staging(storage.Workspace):
     """
 
     def stage(self, table: DataFrame, label: str) -> DataFrame:
-        before = self.spark.conf.get(SHUFFLE_CLEANUP, None)
-        self.spark.conf.set(SHUFFLE_CLEANUP, "true")
+        conf = self.spark.conf
+        before = {name: conf.get(name, None) for name in WHILE_STAGING}
+        for name, value in WHILE_STAGING.items():
+            conf.set(name, value)
         try:
             return super().stage(table, label)
         finally:
-            if before is None:
-                self.spark.conf.unset(SHUFFLE_CLEANUP)
-            else:
-                self.spark.conf.set(SHUFFLE_CLEANUP, before)
+            for name, value in before.items():
+                conf.unset(name) if value is None else conf.set(name, value)
 
     def discard(self, *labels: str) -> None:
         """Remove the tables staged so far under these labels, which nothing may read any more."""
