@@ -181,6 +181,19 @@ def test_leaves_of_a_large_group(spark, staging, monkeypatch):
     assert sorted(map(tuple, found)) == sorted(linked(rows, rule))
 
 
+def test_finer_counts_bound_the_overlap():
+    draw = np.random.default_rng(4)
+    rule = countrtree.Rule(3, 80)
+    for size in (3, 40, 2_000, 150_000):  # the last has counts beyond a byte
+        base = np.unique(draw.integers(0, 1 << 62, size, dtype=np.uint64))
+        other = np.unique(np.concatenate((base[size // 10 :], draw.integers(0, 1 << 62, size // 20, dtype=np.uint64))))
+        far = np.unique(draw.integers(0, 1 << 62, size, dtype=np.uint64))
+        n = np.array([len(base), len(other), len(far)])
+        counts = countrtree.fine_counts([countrtree.fine_of(s) for s in (base, other, far)])
+        able = countrtree.could_link(counts, n, 0, np.array([1, 2]), rule).tolist()
+        assert 1 in able and (size > 200 or 2 not in able)
+
+
 def test_keep_one(spark, odd, staging):
     kept = countrtree.keep_one(odd, countrtree.Rule(), staging)
     assert kept.columns == odd.columns
