@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from anemoscope.llm import common, contextmix, gapkernel, hyperlang, linecrf
 from tests.llm.conftest import SF, odd_rows
 
+LARGER = SF.replace("sf0.001", "sf0.01")
+
 
 def fold(i, n):
     return zlib.crc32(b"" if i is None else str(i).encode()) % n
@@ -29,15 +31,20 @@ def subsequences(word):
 
 
 def test_kernel_is_that_of_plain_loops():
-    landmarks, words = ["^idiot", "^moron", "the"], ["^idxiot", "^ororon", "moron", "", "^zzz"]
-    kernel = gapkernel.Kernel(landmarks)
-    found = kernel(words)
-    for m, landmark in enumerate(landmarks):
-        own = subsequences(landmark)
-        norm = sum(v * v for v in own.values())
+    marks = ["^idiot", "^moron", "the", "^äüaxa", "^aaaa"]
+    words = [*marks, "^idxiot", "^ororon", "moron", "", "^zzz", "^aaaaaaa", "^ü𝄞aäüa"]
+    kernel = gapkernel.Kernel(marks)
+    found, likeness = kernel(words), kernel.likeness(words)
+    for m, mark in enumerate(marks):
+        own = subsequences(mark)
         for n, word in enumerate(words):
-            value = sum(v * own.get(u, 0) for u, v in subsequences(word).items()) / norm
-            assert found[n, m] == pytest.approx(min(1, value) if value >= gapkernel.LEAST else 0)
+            other = subsequences(word)
+            norm = sum(v * v for v in own.values()) * sum(v * v for v in other.values())
+            value = sum(v * own.get(u, 0) for u, v in other.items()) / norm**0.5 if norm else 0
+            assert likeness[n, m] == pytest.approx(value, abs=1e-9)
+            assert found[n, m] == pytest.approx(math.exp(gapkernel.SHARP * (value - 1)))
+    whiten = kernel.whitening()
+    assert np.allclose(whiten @ kernel(marks) @ whiten, np.eye(len(marks)), atol=1e-6)
 
 
 def toxic_sample():
@@ -52,15 +59,46 @@ def toxic_sample():
     return rows
 
 
+def scored(machine, *texts):
+    sets = [{w for w in map(gapkernel.letters_of, gapkernel.distinct_words(t)) if w} for t in texts]
+    return machine.score(sets, gapkernel.Words(machine.kernel))
+
+
 def test_toxicity_of_plain_and_disguised_words():
     machine = gapkernel.train(toxic_sample())
-    score = lambda *w: machine.probability(machine.margins(list(w)))
-    assert score("mutzik", "provnar").min() > 0.7
-    assert score("mutzxik")[0] > score("abcde")[0] and score("abcde")[0] < 0.3
+    scores, worst = scored(machine, "abc mutzik", "Provnar, dale", "abc mutzxik", "abc abcde", "")
+    assert min(scores[:2]) > 0.7 and worst[:2] == ["mutzik", "provnar"]
+    assert scores[2] > 0.5 > 0.3 > max(scores[3:]) and worst[4] is None
     assert gapkernel.spaced_out([b"m", b"u", b"t", b"z", b"ik", b"a", b"b"]) == [b"mutz"]
     assert gapkernel.letters_of("M-u_t.z1ik".lower().encode()) == "mutzik"
 
 
+def test_toxicity_chance_and_copies():
+    for found, among, share in ((3, 5, 0.2), (0, 4, 0.5), (7, 7, 0.1), (2, 9, 0.6)):
+        wanted = sum(
+            math.comb(among, n) * share**n * (1 - share) ** (among - n)
+            for n in range(found, among + 1)
+        )
+        assert gapkernel.by_chance(found, among, share) == pytest.approx(wanted)
+    base = {f"w{n}" for n in range(40)}
+    other = {f"v{n}" for n in range(40)}
+    texts = [base, base - {"w1"} | {"x"}, other, set(), {"w1", "v1"}]
+    assert gapkernel.without_near_copies(texts) == [base, other, set(), {"w1", "v1"}]
+
+
+def test_rare_insults_are_landmarks_at_any_size():
+    draw = np.random.default_rng(7)
+    common_words = ["".join(draw.choice(list("abcdeghl"), 5)) for _ in range(60)]
+    for often in (1, 8):
+        toxic = [{*draw.choice(common_words, 9), "mutzik"} for _ in range(60 * often)]
+        toxic += [{*draw.choice(common_words, 9), "provnar"} for _ in range(8)]
+        toxic += [set(draw.choice(common_words, 9)) for _ in range(10)]
+        clean = [set(draw.choice(common_words, 9)) for _ in range(300 * often)]
+        mined, contrast = gapkernel.mine_landmarks(toxic, clean)
+        assert sorted(mined) == ["^mutzik", "^provnar"]
+        assert len(contrast) == 8 and not set(contrast) & set(mined)
+
+
 def test_toxicity_without_labels_or_rows(spark, odd, empty):
     machine = gapkernel.train([])
     found = gapkernel.score(odd, machine).collect()
@@ -72,13 +110,26 @@ def test_toxicity_without_labels_or_rows(spark, odd, empty):
 
 
 def test_toxicity_holds_out(spark):
-    query = gapkernel.op1_toxicity(spark, SF).toPandas()
-    labels = common.table(spark, SF, "labels").toPandas().set_index("doc_id").toxic
+    query = gapkernel.op1_toxicity(spark, LARGER).toPandas()
+    docs = common.table(spark, LARGER, "documents").toPandas().set_index("doc_id")
+    labels = common.table(spark, LARGER, "labels").toPandas().set_index("doc_id").toxic
     assert (query.held_out == [fold(i, 3) == 1 for i in query.doc_id]).all()
     assert (query.predicted == (query.score >= 0.7)).all()
     held = query[query.held_out & query.doc_id.isin(labels.index)]
-    right = (held.predicted.to_numpy() == labels.loc[held.doc_id].to_numpy()).mean()
-    assert right > 0.85
+    truth = labels.loc[held.doc_id].to_numpy()
+    clean = [set(gapkernel.distinct_words(docs.text[i])) for i in labels.index[labels == 0]]
+    insults = set().union(*(
+        gapkernel.distinct_words(docs.text[i]) for i in labels.index[labels == 1]
+    )) - set().union(*clean)
+    often = collections.Counter(
+        w for i in labels.index[labels == 1]
+        for w in gapkernel.distinct_words(docs.text[i]) & insults
+    )
+    plain = {w for w, n in often.items() if n >= 8}  # words of toxic documents alone
+    holds = [bool(plain & gapkernel.distinct_words(docs.text[i])) for i in held.doc_id]
+    caught = held.predicted.to_numpy()[(truth == 1) & holds]
+    assert len(caught) > 5 and caught.mean() >= 0.9
+    assert held.predicted.to_numpy()[truth == 0].mean() < 0.01
 
 
 def base_counts(text):
