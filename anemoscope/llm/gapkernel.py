@@ -264,14 +264,17 @@ class Words:
     def add(self, words: set[str]) -> None:
         """Adds what is new of ``words``; strings of letters, none of them empty."""
         new = sorted(words.difference(self.at))
-        blocks = [self.values]
+        if len(self.at) + len(new) > len(self.values):  # twice the room, so that few are copied
+            room = np.zeros((2 * (len(self.at) + len(new)), self.values.shape[1]), np.float32)
+            room[: len(self.at)] = self.values[: len(self.at)]
+            self.values = room
         for start in range(0, len(new), 4_096):
             parts = [windows(w) for w in new[start : start + 4_096]]
             found = self.kernel([p for part in parts for p in part])
             starts = np.cumsum([0, *map(len, parts[:-1])])
-            blocks.append(np.maximum.reduceat(found, starts).astype(np.float32))
+            here = len(self.at) + start
+            self.values[here : here + len(parts)] = np.maximum.reduceat(found, starts)
         self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-        self.values = np.concatenate(blocks)
 
     def __getitem__(self, words: list[str]) -> np.ndarray:
         return self.values[[self.at[w] for w in words]]
@@ -386,7 +389,7 @@ def train(texts: list[tuple[int, str | None]]) -> Machine:
     words.add(set().union(*(ws for _, ws in sets)))
     columns = len(mined)
     named = list(words.at)
-    like = words.values[:, :columns] >= NEAR
+    like = words.values[: len(named), :columns] >= NEAR
     seen = np.zeros((2, columns), int)
     for y, ws in sets:
         if ws:
@@ -437,7 +440,7 @@ def learn(docs: DataFrame, labels: DataFrame, training: Column) -> Machine:
 
 OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("worst", pa.string())])
 #: Distinct words whose margins a task remembers.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
