@@ -1,12 +1,14 @@
 """Connected components of a graph given by its links."""
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from anemoscope.llm import common
 
 
-def components(links: DataFrame, staging: common.Staging, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, staging: common.Staging) -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) of every linked node.
 
     ``links`` has columns ``a`` and ``b`` of one type; direction, repeats and loops don't
@@ -14,13 +16,13 @@ def components(links: DataFrame, staging: common.Staging, rounds: int = 60) -> D
     node to the smallest of them, first the larger neighbours, then the others, so that
     every component becomes a star around its smallest node in a few rounds. Links are
     counted before they are shuffled again, and a node with very many neighbours only
-    meets their minimum. Raises if ``rounds`` don't suffice.
+    meets their minimum. Rounds go on until every component is a star, however many they take.
     """
     edges = links.where("a <> b").select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
     edges = staging.stage(edges.distinct(), "links")
-    for step in range(rounds):
+    for step in count():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low"))
         large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
@@ -41,4 +43,3 @@ def components(links: DataFrame, staging: common.Staging, rounds: int = 60) -> D
             found = staging.stage(found.unionByName(roots.distinct()), "components")
             staging.discard(f"links-{step}")
             return found
-    raise RuntimeError(f"components are not found after {rounds} rounds")

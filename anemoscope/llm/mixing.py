@@ -107,10 +107,10 @@ def mix(docs: DataFrame, target: Target, staging: common.Staging) -> tuple[DataF
     """Documents of the mixture, and the weights of the sources.
 
     ``docs`` needs ``doc_id``, ``text`` and ``source``. The result has its columns and then
-    ``__pass`` (from 0), ``__tokens``, ``__block`` and ``__order`` (the place in the
-    permuted block), with more underscores where the input has such a column; a document
-    occurs once for every pass that takes it. A null source is
-    a source of its own. Repeated rows are documents of their own; which of two equal
+    ``__pass`` (from 0), ``__tokens``, ``__block``, ``__place`` (the block's place in the
+    pass over its source) and ``__order`` (the place in the permuted block), with more
+    underscores where the input has such a column; a document occurs once for every pass
+    that takes it. A null source is a source of its own. Repeated rows are documents of their own; which of two equal
     rows is taken by a partial pass makes no difference. An empty table gives no rows. A
     document is taken by a partial pass if it begins below the budget, so a source exceeds
     its budget by less than one document.
@@ -169,7 +169,8 @@ def mix(docs: DataFrame, target: Target, staging: common.Staging) -> tuple[DataF
     partial = partial.withColumn("__begin", F.coalesce(F.sum("__tokens").over(in_block), F.lit(0)))
     partial = partial.where(F.col("__begin") < F.col("__room")).drop("__room", "__begin")
     names = [F.col(f"`{now}`").alias(c) for now, c in zip(carried, docs.columns, strict=True)]
-    added = {"__pass": "__pass", "__tokens": "__tokens", "__block": "__block", "__order": "__hash"}
+    added = {"__pass": "__pass", "__tokens": "__tokens", "__block": "__block", "__place": "__place",
+             "__order": "__hash"}
     kept = [F.col(now).alias(common.fresh(name, docs)) for name, now in added.items()]
     taken = whole.select(*names, *kept).unionByName(partial.select(*names, *kept))
     return taken, weights
@@ -185,4 +186,5 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.join(weights, F.col("source").eqNullSafe(F.col("name"))).select(
         "doc_id", "source", F.col("__pass").alias("pass"), F.col("__tokens").alias("tokens"),
         F.col("__block").alias("block"), F.col("__order").alias("place"), "weight",
+        F.col("__place").alias("block_place"),
     )

@@ -84,6 +84,42 @@ def test_budgets_are_met(spark, staging, budget):
     assert taken.columns[:4] == docs.columns
 
 
+@pytest.mark.parametrize("budget", [None, 900, 5000])
+def test_mixture_by_plain_loops(spark, staging, budget):
+    target = mixing.Target(budget=budget, most_repeats=50, block_rows=8, entropy_share=0.999)
+    docs = mixture_rows(spark)
+    taken, weights = mixing.mix(docs, target, staging)
+    got = collections.Counter((r["__pass"], r.doc_id) for r in taken.collect())
+    assert set(got.values()) <= {1}
+    plan = {r.source: r for r in weights.collect()}
+    hashes = docs.select(
+        "doc_id", "text", F.expr("coalesce('=' || source, '')").alias("s"),
+        F.xxhash64(F.lit(target.seed), "doc_id", F.length("text")).alias("block"),
+    ).collect()
+    sizes = collections.Counter(r.s for r in hashes)
+    names = spark.createDataFrame(
+        [(s, plan[s].budget // plan[s].tokens, b) for s, n in sizes.items() for b in range(-(-n // 8))],
+        "s string, p long, block long",
+    )
+    places = {(r.s, r.block): (r.place, r.block) for r in names.select(
+        "s", "block", F.xxhash64(F.lit(target.seed), "p", "s", "block").alias("place")).collect()}
+    order = {r.doc_id: (r.h, r.doc_id) for r in docs.join(
+        names.select(F.col("s"), "p").distinct(), F.expr("coalesce('=' || source, '') = s")
+    ).select("doc_id", F.xxhash64(F.lit(target.seed), "p", "doc_id", "text").alias("h")).collect()}
+    wanted = set()
+    for source, count in sizes.items():
+        whole = plan[source].budget // plan[source].tokens
+        left = plan[source].budget - whole * plan[source].tokens
+        own = [r for r in hashes if r.s == source]
+        wanted |= {(n, r.doc_id) for n in range(whole) for r in own}
+        own.sort(key=lambda r: (places[source, r.block % -(-count // 8)], order[r.doc_id]))
+        for r in own:
+            if left > 0:
+                wanted.add((whole, r.doc_id))
+            left -= len(r.text.split()) + 1
+    assert set(got) == wanted
+
+
 def test_mixing_edge_cases(spark, odd, staging, empty):
     taken, _ = mixing.mix(odd, mixing.Target(), staging)
     plain = collections.Counter((r.doc_id, r.text) for r in odd.collect())
