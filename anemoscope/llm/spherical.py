@@ -8,6 +8,7 @@ cell is cut into blocks, pairs of blocks are multiplied, and every pair counts o
 the home cell of its smaller id.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,8 +23,9 @@ LEAST_COSINE = 0.98
 SAMPLE, ROUNDS = 20_000, 8
 #: Vectors to a centre, centres of all labels at most, and rows of a block.
 PER_CELL, MOST_CENTRES, BLOCK = 2_000, 4_000, 1_000
-#: Products in double precision may differ from exact ones by this much.
-SLACK = 1e-12
+#: Products in double precision may differ from exact ones by this much; closer to the
+#: threshold they are computed again. Rows compared with the centres at once.
+SLACK, AT_ONCE = 1e-12, 500
 
 
 def usable() -> Column:
@@ -42,6 +44,13 @@ def unit(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def cosine(x: np.ndarray, y: np.ndarray) -> float:
+    """The cosine of two vectors of double precision, from sums rounded once."""
+    x, y = x / np.abs(x).max(), y / np.abs(y).max()
+    dot, xx, yy = (math.fsum(p) for p in (x * y, x * x, y * y))
+    return dot / (math.sqrt(xx) * math.sqrt(yy))
+
+
 def centres_of(x: np.ndarray, count: int) -> np.ndarray:
     """Spherical k-means from spread starting points; deterministic."""
     count = min(count, len(x))
@@ -119,12 +128,16 @@ def near_duplicates(
                 if own is None or len(own) == 1:
                     parts.append(part.assign(cell=0, home=0))
                     continue
-                apart = np.linalg.norm(own[:, None] - own[None], axis=2)
-                gains = unit(part.embedding) @ own.T
-                home = gains.argmax(1)
-                best = gains[np.arange(len(part)), home]
-                at, cell = np.nonzero(best[:, None] - gains <= reach * apart[home] + 1e-9)
-                parts.append(part.iloc[at].assign(cell=cell, home=home[at]))
+                squares = (own * own).sum(1)
+                for start in range(0, len(part), AT_ONCE):
+                    some = part.iloc[start : start + AT_ONCE]
+                    gains = unit(some.embedding) @ own.T
+                    home = gains.argmax(1)
+                    best = gains[np.arange(len(some)), home]
+                    apart = squares[home][:, None] + squares - 2 * (own[home] @ own.T)
+                    apart = np.sqrt(np.maximum(apart, 0)) + 1e-7  # rounding only adds copies
+                    at, cell = np.nonzero(best[:, None] - gains <= reach * apart + 1e-9)
+                    parts.append(some.iloc[at].assign(cell=cell, home=home[at]))
             if parts:
                 out = pd.concat(parts)
                 yield out.astype({"cell": "int64", "home": "int64"})
@@ -152,7 +165,11 @@ def near_duplicates(
         counts = np.zeros(len(part), np.int64)
         partner = np.full(len(part), -1)
         at_home = part.home.to_numpy() == key[2]
-        close = x[left] @ x[right].T >= least - SLACK
+        values = x[left] @ x[right].T
+        close = values >= least - SLACK
+        for n, m in zip(*np.nonzero(close & (values <= least + SLACK)), strict=True):
+            one, two = (part.embedding.iloc[at].astype(np.float64) for at in (left[n], right[m]))
+            close[n, m] = cosine(one, two) >= least
         a, b = np.nonzero(close)
         a, b = left[a], right[b]
         once = a < b if first == second else np.ones(len(a), bool)

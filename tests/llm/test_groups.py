@@ -28,6 +28,32 @@ def test_components(spark, staging):
     assert set(found) >= set(parent) - alone
 
 
+def test_no_link_below_the_threshold(spark, staging):
+    """Cosines of 49/50, and less by half the precision of products, with equal labels."""
+    vectors = [[1, 0, 0, 0], [49, 9, 3, 3], [-1, 0, 0, 0], [-49, 9, 3, 3 + 4e-10]]
+    rows = spark.createDataFrame(
+        [(n, "x", list(map(float, v))) for n, v in enumerate(vectors)], "vec_id long, label string, embedding array<double>"
+    )
+    found = {r.vec_id: (r.n_links, r.component_id) for r in
+             spherical.near_duplicates(rows, staging, 0.98).collect()}
+    assert found == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (0, 3)}
+
+
+def test_cells_hold_every_partner(spark, staging, monkeypatch):
+    """Many small cells, so that partners lie in different ones."""
+    monkeypatch.setattr(spherical, "PER_CELL", 5)
+    monkeypatch.setattr(spherical, "BLOCK", 7)
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=(40, 3))
+    x = np.concatenate([base + draw.normal(size=base.shape) * 0.1 for _ in range(4)])
+    rows = [(n, v.tolist(), 1) for n, v in enumerate(x)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    units = x / np.linalg.norm(x, axis=1, keepdims=True)
+    wanted = ((units @ units.T) >= 0.98).sum(1) - 1
+    found = spherical.near_duplicates(docs, staging).collect()
+    assert [r.n_links for r in sorted(found)] == wanted.tolist() and wanted.sum() > 50
+
+
 @pytest.mark.parametrize("letters", ["a", "ab", "abcdefgh", "\x00\x01\xff"])
 def test_two_stage_order(letters):
     draw = random.Random(4)
