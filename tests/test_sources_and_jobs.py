@@ -348,3 +348,25 @@ def test_groups_get_salts_by_their_weight(spark, monkeypatch):
         assert sorted(map(tuple, found.collect())) == expected
     semi = attach(rows, lookup.where("k < 2"), ["k"], "left_semi", 3, "n", 300)
     assert semi.columns == ["k", "v"] and semi.count() == 3_000
+
+
+def test_lines_of_a_farm_make_bounded_part_files(spark, tmp_path, monkeypatch):
+    from anemoscope.plans import adapter
+    from anemoscope.sources import csv_scan
+
+    spark.range(4_000).selectExpr("id AS l_orderkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def view(spark, sf_dir):
+        rows = adapter.lineitem(spark, sf_dir).selectExpr(
+            "concat('farm_', l_orderkey % 4) AS source_file", "concat('2018-01-01 00:00:00,', l_orderkey, ',2,3,4') AS line"
+        )
+        return adapter._with_headers(rows, dict.fromkeys(range(4), adapter._header(adapter.STANDARD)))
+
+    monkeypatch.setattr(adapter, "BYTES_PER_PART", 1_500)
+    folder = adapter.line_folder(spark, str(tmp_path), view)
+    parts = sorted((tmp_path / folder).glob("farm=0.csv/part-*"))
+    assert len(parts) > 2
+    assert max(len(p.read_text().splitlines()) for p in parts) < 900
+    found = csv_scan.scan(spark, csv_scan.list_sources(spark, folder))
+    assert found.rows.count() == 4_000 and not found.rejected
+    assert found.rows.select("active_power").distinct().count() == 4_000
