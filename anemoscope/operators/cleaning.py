@@ -7,9 +7,10 @@ shuffle of whole rows), profile the typed rows, fill.
 """
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -290,12 +291,19 @@ class Run:
 
 @dataclass(frozen=True)
 class CleanResult:
-    """Clean rows of the valid files, and one row of facts per file."""
+    """Clean rows of the valid files, and one row of facts per file.
 
-    table: DataFrame
+    Medians are only looked for when the rows are asked for.
+    """
+
+    rows: Callable[[], DataFrame]
     files: DataFrame
     quality_log: DataFrame
 
+    @cached_property
+    def table(self) -> DataFrame:
+        return self.rows()
+
 
 def typed_profile(typed: DataFrame) -> DataFrame:
     """Per file: every count the audit log and the validity check need."""
@@ -413,7 +421,9 @@ def clean(
     typed = workspace.stage(parse_dates(distinct, dayfirst), "typed")
     typed_facts = typed_profile(typed)
     files = workspace.stage(file_facts(raw_facts, typed_facts, run, names), "files")
-    return CleanResult(_clean_rows(typed, files, workspace), files, quality_log(files))
+    return CleanResult(
+        lambda: _clean_rows(typed, files, workspace), files, quality_log(files)
+    )
 
 
 def _clean_rows(typed: DataFrame, files: DataFrame, workspace: Workspace) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import argparse
 import sys
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +142,7 @@ def _clean(spark, scan: Scan, options: JobOptions, workspace: Workspace) -> Clea
     if not options.flag_skipped:
         return result
     log = quality_log(result.files, flag_skipped=True)
-    return CleanResult(result.table, result.files, log)
+    return replace(result, quality_log=log)
 
 
 def _report(table, result, rows, options: JobOptions, workspace: Workspace) -> JobResult:

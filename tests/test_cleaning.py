@@ -224,3 +224,13 @@ def test_cleaning_without_broadcast_gives_the_same_rows(spark, golden, monkeypat
 
 def test_raw_scan_keeps_every_row(spark, golden):
     assert scan_one(spark, golden).rows.count() == GOLDEN.count("\n")
+
+
+def test_medians_wait_until_the_rows_are_asked_for(spark, golden, monkeypatch):
+    from anemoscope.operators import cleaning
+
+    asked = []
+    monkeypatch.setattr(cleaning, "file_medians", lambda *a, f=cleaning.file_medians, **k: asked.append(1) or f(*a, **k))
+    result = clean_one(spark, golden)
+    assert log_rows(result) == GOLDEN_LOG and not asked
+    assert result.table.count() and result.table is result.table and asked == [1]
