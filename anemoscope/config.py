@@ -164,6 +164,8 @@ SAVED = "Report saved → {path}"
 # joined with salted keys instead of being broadcast.
 BROADCAST_ROWS = 100_000
 SALTS = 64
+# At most so many groups of such a join are spread over several tasks.
+SPREAD_GROUPS = 100_000
 # Rows, or bytes of text, of a group that one task of such a join takes.
 ROWS_PER_SALT = 1_000_000
 BYTES_PER_SALT = 64_000_000

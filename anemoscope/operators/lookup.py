@@ -40,7 +40,7 @@ def attach(
         lookup = lookup.withColumn("__salts", F.lit(config.SALTS))
     else:
         lookup = _with_salts(lookup, weight, per_salt or config.ROWS_PER_SALT)
-        # No more groups than may be broadcast have more than one salt.
+        # Only so few groups have more than one salt that they can be broadcast.
         heavy = lookup.filter("__salts > 1").select(*keys, "__salts")
         salted = rows.join(F.broadcast(heavy), keys, "left").fillna(1, ["__salts"])
     salted = salted.withColumn("__salt", F.pmod(spread, F.col("__salts")).cast("int")).drop("__salts")
@@ -51,6 +51,6 @@ def attach(
 def _with_salts(lookup: DataFrame, weight: str, per_salt: int) -> DataFrame:
     """As many salts for a group as it has units, with units large enough for few such groups."""
     total = lookup.agg(F.sum(weight)).first()[0] or 0
-    unit = max(per_salt, -(-total // max(1, config.BROADCAST_ROWS)))
+    unit = max(per_salt, -(-total // config.SPREAD_GROUPS))
     salts = F.greatest(F.lit(1), F.ceil(F.col(weight) / unit)).cast("bigint")
     return lookup.withColumn("__salts", salts).drop(weight)

@@ -234,3 +234,12 @@ def test_medians_wait_until_the_rows_are_asked_for(spark, golden, monkeypatch):
     result = clean_one(spark, golden)
     assert log_rows(result) == GOLDEN_LOG and not asked
     assert result.table.count() and result.table is result.table and asked == [1]
+
+
+def test_groups_are_spread_without_a_broadcast(spark, monkeypatch):
+    from anemoscope.operators import lookup
+
+    monkeypatch.setattr(config, "BROADCAST_ROWS", 0)
+    table = spark.createDataFrame([("a", 5_000), ("b", 10)], "k string, n bigint")
+    found = {r["k"]: r["__salts"] for r in lookup._with_salts(table, "n", 1_000).collect()}
+    assert found == {"a": 5, "b": 1}
