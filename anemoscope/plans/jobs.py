@@ -81,7 +81,7 @@ def _single(spark, path, options, workspace) -> JobResult:
         if facts["stage"] == "clean":
             log_table.append(result.quality_log, options.log)
             raise ReportError(facts["reason"], "clean")
-    table = result.table.drop(FILE)
+        table = result.table.drop(FILE)
     return _report(table, result, facts["rows_out"], options, workspace)
 
 
@@ -121,9 +121,10 @@ def _batch(spark, folder, options, workspace) -> JobResult:
         if not totals["files"]:
             log_table.append(result.quality_log, options.log)
             raise ReportError(config.NOTHING_PROCESSED, "clean")
+        table = result.table
     print(config.CONCATENATING.format(count=totals["files"]))
     print(config.CONSOLIDATED.format(rows=totals["rows"]))
-    return _report(result.table, result, totals["rows"], options, workspace)
+    return _report(table, result, totals["rows"], options, workspace)
 
 
 def skipped_files(sources: DataFrame, files: DataFrame) -> DataFrame:

@@ -370,3 +370,16 @@ def test_lines_of_a_farm_make_bounded_part_files(spark, tmp_path, monkeypatch):
     found = csv_scan.scan(spark, csv_scan.list_sources(spark, folder))
     assert found.rows.count() == 4_000 and not found.rejected
     assert found.rows.select("active_power").distinct().count() == 4_000
+
+
+def test_a_failure_of_the_medians_is_one_of_the_cleaning(spark, golden, tmp_path, monkeypatch):
+    from anemoscope.operators import cleaning
+
+    def fail(*args, **options):
+        raise ValueError("no medians")
+
+    monkeypatch.setattr(cleaning, "file_medians", fail)
+    options = jobs.JobOptions(jobs.ReportOptions(str(tmp_path / "out")), str(tmp_path / "log"))
+    for run, path in ((jobs.run_single, golden), (jobs.run_batch, str(tmp_path / "in"))):
+        with pytest.raises(ReportError, match="during cleaning: no medians"):
+            run(spark, path, options)
