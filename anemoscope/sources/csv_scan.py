@@ -38,6 +38,9 @@ PATH, SIZE, KIND = "__path", "__size", "__kind"
 DATA, HEADER, BLANK = 0, 1, 2
 #: The headers of so many files are read before tasks for them could start.
 FEW_FILES = 32
+#: The same for the part files of that few sources: a task for a large file costs the start of
+#: a Python worker, and parts grow in number with the sources' size.
+FEW_PARTS = 512
 #: Files up to this size share tasks when headers are read; of a larger one the task that
 #: has it alone reads the first lines and stops.
 SMALL_FILE = 64 * 1024
@@ -274,17 +277,17 @@ def _read_headers(spark: SparkSession, sources: Sources) -> DataFrame:
 
 
 def _few_files(spark: SparkSession, sources: Sources) -> list | None:
-    """Statuses of the files, if they are few."""
+    """Statuses of the files, if they are few, or parts of few sources."""
     if sources.count > FEW_FILES:
         return None
-    found = []
+    found, most = [], max(FEW_FILES, FEW_PARTS)
     for entry in _entries(spark, sources.pattern):
         inner = [entry]
         if entry.isDirectory():
             fs = storage.file_system(spark, sources.pattern)
             inner = [status for status in fs.listStatus(entry.getPath()) if status.isFile()]
         found += [status for status in inner if not status.getPath().getName().startswith(("_", "."))]
-        if len(found) > FEW_FILES:
+        if len(found) > most:
             return None
     return [status for status in found if status.getLen()]
 

@@ -171,6 +171,25 @@ def test_headers_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypatch):
     assert many.columns["large.csv"] == 5
 
 
+def test_headers_of_parts_of_few_sources_start_no_tasks(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    for n in range(40):
+        header = HEADER + ",note" if n % 7 == 3 else HEADER
+        write_csv(folder / f"{n % 3}.csv" / f"part-{n:02}", f"2018-01-01 00:00:00,{n},2,3,4\n", header)
+    (folder / "0.csv" / "part-99").write_text("")
+    write_csv(folder / "2.csv" / "part-98", "1,2\n", "Date/Time,x")
+    asked = []
+    read = csv_scan._read_headers
+    monkeypatch.setattr(csv_scan, "_read_headers", lambda *a: asked.append(a) or read(*a))
+    few = scan_folder(spark, folder)
+    assert not asked
+    monkeypatch.setattr(csv_scan, "FEW_PARTS", 0)
+    many = scan_folder(spark, folder)
+    assert asked
+    assert rows_of(few) == rows_of(many) and few.rows.count() == 27
+    assert few.columns == many.columns and few.rejected.keys() == many.rejected.keys() == {"2.csv"}
+
+
 def test_two_thousand_files(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
