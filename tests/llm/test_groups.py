@@ -207,6 +207,32 @@ def test_leaves_of_a_large_group(spark, staging, monkeypatch):
     assert sorted(map(tuple, found)) == sorted(linked(rows, rule))
 
 
+def test_leaves_are_as_few_with_many_partitions(spark, staging, monkeypatch):
+    """Near copies of a base, most of them not linked, dealt over more partitions than leaves."""
+    monkeypatch.setattr(countrtree, "LEAF", 64)
+    draw = random.Random(9)
+    rows = []
+    for n in range(200):
+        words = [f"w{k}" for k in range(150)]
+        for k in range(draw.choice([1, 4, 4, 4])):
+            words[draw.randint(0, 149)] = f"z{n}-{k}"
+        rows.append((n, " ".join(words)))
+    staged = {}
+    monkeypatch.setattr(
+        staging, "stage", lambda table, label, f=staging.stage: staged.setdefault(label, f(table, label))
+        if label == "bounds" else f(table, label),
+    )
+    monkeypatch.setattr(staging, "discard", lambda *labels: None)
+    docs, rule = spark.createDataFrame(rows, "doc_id long, text string"), countrtree.Rule(3, 90)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        found = countrtree.join(docs, rule, staging).select("doc_id", "n_shingles", "component_id").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(map(tuple, found)) == sorted(linked(rows, rule))
+    assert staged["bounds"].count() <= 8
+
+
 def test_finer_counts_bound_the_overlap():
     draw = np.random.default_rng(4)
     rule = countrtree.Rule(3, 80)
