@@ -224,11 +224,13 @@ def test_leaves_are_as_few_with_many_partitions(spark, staging, monkeypatch):
     )
     monkeypatch.setattr(staging, "discard", lambda *labels: None)
     docs, rule = spark.createDataFrame(rows, "doc_id long, text string"), countrtree.Rule(3, 90)
-    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         found = countrtree.join(docs, rule, staging).select("doc_id", "n_shingles", "component_id").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(map(tuple, found)) == sorted(linked(rows, rule))
     assert staged["bounds"].count() <= 8
 
