@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,6 +236,49 @@ def test_leaves_are_as_few_with_many_partitions(spark, staging, monkeypatch):
     assert staged["bounds"].count() <= 8
 
 
+def test_sets_are_sent_of_points_that_could_be_linked(spark, staging, monkeypatch):
+    """One pair of near copies among texts that only share a passage: two sets are compared."""
+    draw = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(80))
+    rows = [(n, passage + " " + " ".join(f"u{n}-{k}" for k in range(60))) for n in range(40)]
+    rows.append((40, rows[7][1] + " more"))
+    draw.shuffle(rows)
+    staged = {}
+    monkeypatch.setattr(
+        staging, "stage", lambda table, label, f=staging.stage: staged.setdefault(label, f(table, label))
+        if label in ("members", "early", "late") else f(table, label),
+    )
+    monkeypatch.setattr(staging, "discard", lambda *labels: None)
+    docs, rule = spark.createDataFrame(rows, "doc_id long, text string"), countrtree.Rule(3, 90)
+    found = countrtree.join(docs, rule, staging).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted(linked(rows, rule))
+    assert staged["members"].count() > 20
+    assert staged["early"].select("set1", "set2").distinct().count() == 2
+    assert staged["late"].count() == 0
+
+
+def test_able_points_by_plain_loops():
+    draw = np.random.default_rng(6)
+    rule = countrtree.Rule(3, 80)
+    bases = [draw.integers(0, 1 << 62, 60, dtype=np.uint64) for _ in range(4)]
+    sets = [np.unique(bases[draw.integers(4)][: draw.integers(20, 61)]) for _ in range(30)]
+    part = pd.DataFrame({
+        "leaf": draw.integers(0, 2, 30), "n": list(map(len, sets)), "fine": list(map(countrtree.fine_of, sets)),
+    })
+    for first, second in ((0, 1), (0, 0)):
+        expected = set()
+        for i in range(30):
+            for j in range(30):
+                if i == j or part.leaf[i] != first or part.leaf[j] != second:
+                    continue
+                a, b = (np.frombuffer(part.fine[k], np.uint8).astype(int) for k in (i, j))
+                both, n, m = int(np.minimum(a, b).sum()), int(part.n[i]), int(part.n[j])
+                if 100 * min(n, m) >= 80 * max(n, m) and 100 * both >= 80 * (n + m - both):
+                    expected |= {i, j}
+        assert set(np.flatnonzero(countrtree.able_points(part, rule, first, second)).tolist()) == expected
+        assert 0 < len(expected) < 30
+
+
 def test_finer_counts_bound_the_overlap():
     draw = np.random.default_rng(4)
     rule = countrtree.Rule(3, 80)
