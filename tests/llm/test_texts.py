@@ -251,6 +251,27 @@ def test_every_context_has_its_own_counts(spark, monkeypatch):
         assert own == collections.Counter((k[3], n) for k, n in expected.items() if k[0] == order)
 
 
+def test_nodes_are_hashed_once(monkeypatch):
+    """Contexts of shared beginnings are taken once, and are those of all bytes."""
+    words = {w.encode() for _, text in many_words(60) for w in text.split()}
+    tokens = sorted([*contextmix.spelled(words), contextmix.END_OF_TEXT, b"x" * 70_000 + b" "])
+    every = contextmix.positions(tokens)
+    hashed = []
+    whole = contextmix.positions
+    monkeypatch.setattr(contextmix, "positions", lambda *a: hashed.append(whole(*a)) or hashed[-1])
+    token, node, needs = contextmix.nodes_of(tokens)
+    begins = {}
+    for at, (t, n) in enumerate(zip(token.tolist(), node.tolist())):
+        place = at - sum(map(len, tokens[:t])) if at < 2_000 else None
+        if place is not None:
+            assert begins.setdefault(tokens[t][: place + 1], n) == n
+    assert len(set(begins.values())) == len(begins)
+    entries = every[2] >> np.uint64(11) << np.uint64(11)
+    entries |= (np.arange(contextmix.ORDERS, dtype=np.uint64) << np.uint64(8))[:, None]
+    assert (needs[:, node] == entries | every[1].astype(np.uint64)).all()
+    assert sum(found[2].shape[1] for found in hashed) == needs.shape[1] < len(node)
+
+
 def test_weights_are_learned_from_all_texts(spark, monkeypatch):
     monkeypatch.setattr(contextmix, "PER_PART", 10_000)
     rows = many_words()
