@@ -257,6 +257,61 @@ def test_sets_are_sent_of_points_that_could_be_linked(spark, staging, monkeypatc
     assert staged["late"].count() == 0
 
 
+@pytest.mark.parametrize("rule", [countrtree.Rule(3, 90), countrtree.Rule()])
+def test_texts_that_share_a_frequent_passage_make_no_cluster(spark, staging, monkeypatch, rule):
+    """Only near copies are members of clusters, and no staged table holds their sets."""
+    monkeypatch.setattr(countrtree, "COUNTED", 0, raising=False)
+    draw = random.Random(13)
+    passage = " ".join(f"p{k}" for k in range(80))
+    rows = [(n, passage + " " + " ".join(f"u{n}-{k}" for k in range(60))) for n in range(40)]
+    rows += [(40, rows[7][1] + " more"), (41, None), (42, ""), (43, "one"), (44, "one"), (45, passage)]
+    draw.shuffle(rows)
+    staged = {}
+    monkeypatch.setattr(
+        staging, "stage", lambda table, label, f=staging.stage: staged.update({label: f(table, label)}) or staged[label]
+    )
+    monkeypatch.setattr(staging, "discard", lambda *labels: None)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = countrtree.join(docs, rule, staging).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, found.collect())) == sorted(linked(rows, rule))
+    assert staged["members"].count() == 2
+    assert not [label for label, table in staged.items() if "shingles" in table.columns]
+
+
+def test_first_shingles_lose_no_link():
+    """Whatever the counts are, linked sets share a signature; shingles that are rare come first."""
+    draw = np.random.default_rng(7)
+    for rule in (countrtree.Rule(3, 90), countrtree.Rule(5, 80)):
+        for size in (1, 2, 5, 11, 100, 1000):
+            for most in (1, 3, 256):
+                counts = draw.integers(0, most, 1 << 16).astype(np.uint8)
+                a = np.unique(draw.integers(0, 2**63, size, np.int64).astype(np.uint64) * np.uint64(2))
+                out = int(rule.spare(len(a)) / 2)
+                b = np.unique(np.concatenate((a[out:], draw.integers(0, 2**63, out, np.int64).astype(np.uint64))))
+                both = len(np.intersect1d(a, b))
+                assert 100 * both >= rule.percent * (len(a) + len(b) - both)
+                one, two = (countrtree.signatures(s, rule, counts) for s in (a, b))
+                assert set(one.tolist()) & set(two.tolist())
+    rare = np.ones(1 << 16, np.uint8)
+    rare[: 1 << 15] = 9
+    found = countrtree.signatures(np.sort(a), rule, rare)
+    assert set(found.tolist()) <= set(common.mixed(a[a >= np.uint64(1 << 63)]).tolist())
+
+
+def test_counts_are_of_documents(spark, staging, monkeypatch):
+    monkeypatch.setattr(countrtree, "COUNTED", 0)
+    monkeypatch.setattr(countrtree, "COUNTED_TOGETHER", 500)
+    rule = countrtree.Rule(3, 90)
+    rows = [(n, " ".join(f"w{k}" for k in range(n % 7, 40 + n % 11))) for n in range(400)] + [(0, None), (1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = countrtree.shingle_counts(docs, rule, 1 << 23, staging)
+    hashes, expected = countrtree.WordHashes(), np.zeros(len(counts), np.int64)
+    assert len(counts) == 1 << 18
+    for _, text in rows:
+        np.add.at(expected, countrtree._count_places(countrtree.shingles(text, 3, hashes), len(counts)), 1)
+    assert counts.tolist() == np.minimum(expected, 255).tolist() and max(expected) > 255
+
+
 def test_able_points_by_plain_loops():
     draw = np.random.default_rng(6)
     rule = countrtree.Rule(3, 80)
