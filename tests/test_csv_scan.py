@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from anemoscope import config
 from anemoscope.plans import jobs
 from anemoscope.sources import csv_scan, records
+from anemoscope.sources.storage import Workspace
 from tests.test_sources_and_jobs import options
 
 NOTES = f"{HEADER},note"
@@ -106,6 +107,22 @@ def test_records_over_several_lines_and_splits(spark, tmp_path, size, first):
     assert scan.rows.where(csv_scan.TOO_LONG).count() == 0
 
 
+def test_lines_of_records_are_not_kept(spark, tmp_path):
+    """Where all files have records over several lines, the parsed records alone stay on disk."""
+    draw = random.Random(5)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a.csv", "b.csv"):
+        with open(folder / name, "w", newline="", encoding="utf-8") as file:
+            csv.writer(file, lineterminator="\n").writerows([NOTES.split(","), *quoted_rows(draw, 80)])
+    session = small_splits(spark, 300)
+    workspace = Workspace(session)
+    scan = csv_scan.scan(session, csv_scan.list_sources(session, str(folder)), workspace)
+    assert scan.rows.count() == 160 and scan.rejected == {}
+    kept = {path.name.split("-", 1)[1] for path in Path(workspace.path).iterdir()}
+    assert kept <= {"read-files", "read-again", "blocks", "records"}
+
+
 def test_headers_over_two_lines_returns_and_open_quotes(spark, tmp_path):
     body = "2018-01-01 00:00:00,1,2,3,4,x\n"
     folder = tmp_path / "in"
